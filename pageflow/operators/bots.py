@@ -24,15 +24,15 @@ def bot_metrics(counts: DataFrame, k: int = 5) -> DataFrame:
     """Bot and human pages, bot percentage and the top users of each kind, from `user_counts`.
 
     Users with as many pages rank by name. A user whose bot flag is unknown is neither bot nor
-    human; where nobody's flag is known the percentage is NULL.
+    human; where nobody's flag is known the percentage is NULL. Both branches read `counts`
+    unfiltered, so that its shuffle is run once and reused.
     """
     bot, pages = F.col("user_is_bot"), F.col("pages")
     totals = counts.groupBy("window", "domain").agg(
         F.sum(F.when(bot, pages).otherwise(0)).alias("bots"),
         F.sum(F.when(~bot, pages).otherwise(0)).alias("humans"))
     ranked = top_per_group(
-        counts.where(bot.isNotNull()), ["window", "domain", "user_is_bot"],
-        [pages.desc(), F.col("user_name").asc()], k)
+        counts, ["window", "domain", "user_is_bot"], [pages.desc(), F.col("user_name").asc()], k)
     top = ranked.groupBy("window", "domain").agg(
         in_rank_order(F.col("user_name"), ~bot).alias("top_humans"),
         in_rank_order(F.col("user_name"), bot).alias("top_bots"))

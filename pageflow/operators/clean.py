@@ -1,6 +1,6 @@
 """From raw messages to typed events."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from pageflow.schema import EVENT_FIELDS, PAGE_CREATE
@@ -53,16 +53,12 @@ def _examined(raw: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     parsed = F.from_json(text, "meta VARIANT, _corrupt_record STRING")
     rows = raw.select("*", F.inline(F.array(parsed)))
-    domain = F.expr("variant_get(meta, '$.domain', 'variant')")
-
-    def absent_or(kind: str, value: Column) -> Column:
-        return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(True))
-
+    domain_kind = F.schema_of_variant(F.expr("variant_get(meta, '$.domain', 'variant')"))
+    meta_sound = F.col("meta").isNull() | F.schema_of_variant("meta").startswith("OBJECT")
     sound = (
         F.coalesce(text.rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False))
         & F.col("_corrupt_record").isNull()
-        & absent_or("OBJECT", F.col("meta"))
-        & absent_or("STRING", domain)
+        & F.when(domain_kind.isNull(), meta_sound).otherwise(domain_kind == "STRING")
     )
     return rows.select(
         *raw.columns,

@@ -37,16 +37,18 @@ def activity_spikes(events: DataFrame, window: str = "1 hour", slide: str = "5 m
     spikes = score_spikes(
         windows.withColumn("window_end", end), panes_per_window(window, slide), threshold, min_baseline)
 
-    pane = F.timestamp_seconds(F.unix_seconds("window_end") - step)
-    reported = spikes.where(F.col("pages_last_5min") > 0).select("domain", pane.alias("pane"))
+    # The last slide is never NULL. Saying so keeps both uses of `last` alike, for one shuffle.
+    newest_pane = F.timestamp_seconds(F.unix_seconds("window_end") - step)
+    last = spikes.withColumn("pane", newest_pane).where(F.col("pane").isNotNull())
     recent = salted_join(
         titled.select("domain", pane_start(slide).alias("pane"), "event_time", "page_title"),
-        reported, ["domain", "pane"], ["event_time", "page_title"])
+        last.where(F.col("pages_last_5min") > 0).select("domain", "pane"),
+        ["domain", "pane"], ["event_time", "page_title"])
     first = top_per_group(recent, ["domain", "pane"], ["event_time", "page_title"], samples)
     titles = first.groupBy("domain", "pane").agg(
         in_rank_order(F.col("page_title")).alias("sample_pages"))
     none = F.array().cast("array<string>")
-    return spikes.withColumn("pane", pane).join(titles, ["domain", "pane"], "left").select(
+    return last.join(titles, ["domain", "pane"], "left").select(
         *spikes.columns, F.coalesce("sample_pages", none).alias("sample_pages"))
 
 

@@ -13,7 +13,7 @@ from pageflow.plans import batch
 from pageflow.schema import LANGUAGE_ACTIVITY, TABLE_KEYS
 from pageflow.session import configure, scratch_dir
 from pageflow.sources.files import file_source, read_archive
-from pageflow.sources.samples import page_creates, raw_messages
+from pageflow.sources.samples import mixed_messages, page_creates, raw_messages
 from pageflow.streaming import jobs, sinks
 
 NOW = {"availableNow": True}
@@ -56,29 +56,14 @@ def parse_events(spark, sf_dir):
     return clean.parse_events(raw_messages(creates(spark, sf_dir)), require=("page_id",))
 
 
-def mixed_messages(spark, sf_dir):
-    """Messages of which some are broken, some test events, some without a domain."""
-    good = raw_messages(creates(spark, sf_dir))
-    number = F.get_json_object("value", "$.page_id").cast("bigint")
-    rest = F.concat(F.lit(',"page_id":'), number.cast("string"), F.lit("}"))
-    value = (
-        F.when(number % 31 == 0, F.concat(F.lit('{"page_id": '), number.cast("string")))
-        .when(number % 53 == 0, F.concat(F.lit('{"meta":null'), rest))
-        .when(number % 59 == 0, F.concat(F.lit("["), number.cast("string"), F.lit("]")))
-        .when(number % 23 == 0, F.concat(F.lit('{"meta":{}'), rest))
-        .when(number % 29 == 0, F.concat(F.lit('{"meta":{"domain":"canary"}'), rest))
-        .otherwise(F.col("value")))
-    return good.select(value.alias("value"), "timestamp")
-
-
 def clean_raw(spark, sf_dir):
-    kept = clean.clean_raw(mixed_messages(spark, sf_dir))
+    kept = clean.clean_raw(mixed_messages(creates(spark, sf_dir)))
     return kept.select(
         F.get_json_object("value", "$.page_id").cast("bigint").alias("page_id"), "key", "timestamp")
 
 
 def clean_rejects(spark, sf_dir):
-    return clean.split_rejects(mixed_messages(spark, sf_dir))[1]
+    return clean.split_rejects(mixed_messages(creates(spark, sf_dir)))[1]
 
 
 # -- bots -----------------------------------------------------------------------------------

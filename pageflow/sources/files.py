@@ -15,10 +15,16 @@ def file_source(spark: SparkSession, path: str, schema=RAW, fmt: str = "parquet"
     return reader.load(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Parquet under `path`, or no rows if nothing has been written yet. Other errors surface."""
+def read_or_empty(spark: SparkSession, path: str, schema, base: str | None = None) -> DataFrame:
+    """Parquet under `path`, or no rows if nothing has been written yet. Other errors surface.
+
+    `base` is the table's root where `path` names only some of its partitions.
+    """
+    reader = spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

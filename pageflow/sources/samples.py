@@ -1,6 +1,6 @@
 """Page-creation events derived from the shared `events` table, for checks and benchmarks."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The rule that gives every event a title, some of them suspicious or odd.
 TITLE = """
@@ -25,15 +25,35 @@ def page_creates(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_messages(creates: DataFrame) -> DataFrame:
-    """The same events as JSON messages (value, timestamp)."""
-    body = F.struct(
+def message_body() -> Column:
+    """A typed event as JSON."""
+    return F.to_json(F.struct(
         F.col("page_id").cast("bigint").alias("page_id"),
         "page_title",
         F.struct("domain").alias("meta"),
         F.struct(
             F.col("user_id").cast("bigint").alias("user_id"),
             F.col("user_name").alias("user_text"),
-            "user_is_bot").alias("performer"),
-    )
-    return creates.select(F.to_json(body).alias("value"), F.col("event_time").alias("timestamp"))
+            "user_is_bot").alias("performer")))
+
+
+def raw_messages(creates: DataFrame) -> DataFrame:
+    """The same events as messages (value, timestamp)."""
+    return creates.select(message_body().alias("value"), F.col("event_time").alias("timestamp"))
+
+
+def mixed_messages(creates: DataFrame) -> DataFrame:
+    """Messages of which some are broken, some test events, some without a domain."""
+    number = F.col("page_id").cast("bigint")
+
+    def instead(text: str) -> Column:
+        return F.format_string(text, number)
+
+    value = (
+        F.when(number % 31 == 0, instead('{"page_id": %d'))
+        .when(number % 53 == 0, instead('{"meta":null,"page_id":%d}'))
+        .when(number % 59 == 0, instead("[%d]"))
+        .when(number % 23 == 0, instead('{"meta":{},"page_id":%d}'))
+        .when(number % 29 == 0, instead('{"meta":{"domain":"canary"},"page_id":%d}'))
+        .otherwise(message_body()))
+    return creates.select(value.alias("value"), F.col("event_time").alias("timestamp"))

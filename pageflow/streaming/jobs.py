@@ -76,9 +76,9 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
     def publish(windows: DataFrame, batch_id: int) -> None:
         changed = domains.activity_rows(windows)
         start = F.col("window_start")
-        span = changed.select(F.min(start) - step, F.max(start) + step).first()
+        days = changed.select(F.to_date(F.min(start) - step), F.to_date(F.max(start) + step)).first()
         stored = read_table(
-            changed.sparkSession, activity_path, LANGUAGE_ACTIVITY, keys, "window_start", between=tuple(span)
+            changed.sparkSession, activity_path, LANGUAGE_ACTIVITY, keys, "window_start", between=tuple(days)
         ).drop("trend_percent")
         merged = latest(
             stored.withColumn("arrival", F.lit(0)).unionByName(changed.withColumn("arrival", F.lit(1))),

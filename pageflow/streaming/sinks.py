@@ -3,13 +3,15 @@
 A sink handed to a job is a function (rows, batch_id) called for each micro-batch.
 """
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
 
 from pageflow.operators.alerts import to_alert_json
+from pageflow.operators.spam import TITLES_PER_PART, spam_messages, spam_titles
 from pageflow.operators.upsert import latest
-from pageflow.sources.files import read_or_empty
+from pageflow.sources.files import read_archive, read_or_empty
 
 # Column of a keyed table that holds the micro-batch a row came in.
 BATCH = "batch_id"
@@ -42,50 +44,68 @@ def archive_writer(events: DataFrame, path: str, checkpoint: str, files_per_day:
 def table_sink(path: str, day_of: str | None = None):
     """Appends each micro-batch to the keyed table at `path`; `read_table` keeps the latest rows.
 
-    A micro-batch has a folder of its own and replaces it when it is run again, so a repeated
+    A micro-batch has folders of its own and replaces them when it is run again, so a repeated
     batch changes nothing and no write touches rows of earlier batches. `day_of` names a time
-    column of the key by whose date the table is also partitioned.
+    column of the key; the table is then partitioned by its date first.
     """
     def write(rows: DataFrame, batch_id: int) -> None:
-        writer = rows.withColumn("day", F.to_date(day_of)).write.partitionBy("day") if day_of else rows.write
-        writer.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if day_of is None:
+            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+            return
+        dated_rows = rows.withColumn("day", F.to_date(day_of)).withColumn(BATCH, F.lit(batch_id))
+        dated_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day", BATCH).parquet(path)
 
     return write
 
 
-def table_changes(spark: SparkSession, path: str, schema, day_of: str | None = None) -> DataFrame:
-    """All rows ever written to a keyed table, with their micro-batch."""
-    columns = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    stored = StructType([*columns.fields]).add(BATCH, "long")
-    return read_or_empty(spark, path, stored.add("day", "date") if day_of else stored)
-
-
-def read_table(spark: SparkSession, path: str, schema, keys: list, day_of: str | None = None,
-               order: list | None = None, between=None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str, keys: list, day_of: str | None = None,
+               order: list | None = None, between: tuple | None = None) -> DataFrame:
     """The latest row of each key: the greatest in `order`, then of the latest micro-batch.
 
-    `between` = (first, last) limits a table partitioned by day to the days of these times.
+    `between` = (first, last) reads only the days of these dates; other days are not even listed.
     """
-    rows = table_changes(spark, path, schema, day_of)
+    stored = f"{schema}, day date, {BATCH} long" if day_of else f"{schema}, {BATCH} long"
+    where = path
     if between is not None:
-        first, last = (F.lit(t).cast("timestamp").cast("date") for t in between)
-        rows = rows.where(F.col("day").between(first, last))
-    if day_of:
-        rows = rows.drop("day")
-    return latest(rows, keys, [*(order or []), BATCH]).drop(BATCH)
+        first, last = between
+        days = [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
+        where = f"{path}/day={{{','.join(days)}}}"
+    rows = read_or_empty(spark, where, stored, base=path)
+    return latest(rows.drop("day") if day_of else rows, keys, [*(order or []), BATCH]).drop(BATCH)
 
 
-def compact_table(spark: SparkSession, path: str, target: str, schema, keys: list,
+def compact_table(spark: SparkSession, path: str, target: str, schema: str, keys: list,
                   day_of: str | None = None, order: list | None = None) -> None:
     """Writes a keyed table's latest rows to a new place, as that table's batch -1."""
     table_sink(target, day_of)(read_table(spark, path, schema, keys, day_of, order), -1)
 
 
-def topic_sink(options: dict):
-    """Sends each micro-batch's rows to a topic as JSON, unless there are none."""
+def store_sink(fmt: str, options: dict, mode: str = "append"):
+    """Writes each micro-batch through a connector, for stores that overwrite by key themselves."""
     def write(rows: DataFrame, batch_id: int) -> None:
         if not rows.isEmpty():
-            to_alert_json(rows).write.format("kafka").options(**options).save()
+            rows.write.format(fmt).options(**options).mode(mode).save()
+
+    return write
+
+
+def formed(sink, form):
+    """`sink` for rows brought into another form first, such as alerts into messages."""
+    return lambda rows, batch_id: sink(form(rows), batch_id)
+
+
+def topic_sink(options: dict, form=None):
+    """Sends each micro-batch's rows, after `form`, to a topic as JSON. Nothing is sent for none."""
+    return formed(store_sink("kafka", options), lambda rows: to_alert_json(form(rows) if form else rows))
+
+
+def with_titles(sink, archive: str, window: str = "5 minutes", part_size: int = TITLES_PER_PART):
+    """A sink for spam alerts that adds the titles found in the archive for their windows."""
+    def write(alerts: DataFrame, batch_id: int) -> None:
+        span = alerts.agg(F.min("window_start"), F.max("window_end")).first()
+        events = read_archive(alerts.sparkSession, archive, *span)
+        sink(spam_messages(alerts, spam_titles(events, alerts, window, part_size), part_size), batch_id)
 
     return write
 
