@@ -3,7 +3,7 @@
 Triggers are given as keywords of `trigger` (processingTime, availableNow); default one minute.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageflow.functions.durations import seconds
@@ -82,9 +82,10 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
         ).drop("trend_percent")
         merged = latest(
             stored.withColumn("arrival", F.lit(0)).unionByName(changed.withColumn("arrival", F.lit(1))),
-            keys, ["arrival"]).drop("arrival")
-        affected = changed.select("domain", start).union(changed.select("domain", start + step)).distinct()
-        rows = domains.with_trend(merged, window, previous=merged).join(affected, keys, "left_semi").persist()
+            keys, ["arrival"])
+        earlier = F.lag("arrival", 1, 0).over(Window.partitionBy("domain").orderBy("window_start"))
+        rows = domains.with_trend(merged, window).withColumn("earlier", earlier).where(
+            (F.col("arrival") == 1) | (F.col("earlier") == 1)).drop("arrival", "earlier").persist()
         try:
             write_activity(rows, batch_id)
             write_stats(domains.domain_latest(rows), batch_id)
