@@ -8,39 +8,58 @@ from pyspark.sql import DataFrame, functions as F
 from pageflow.functions.durations import panes_per_window, seconds
 
 
+# Up to this many slides per window a block is counted in one row, one column per slide.
+MAX_PANES = 64
+
+
 def sliding_counts(events: DataFrame, keys: list, window: str, slide: str, above: int = 0) -> DataFrame:
-    """Rows per (keys, window) with more than `above` events: keys, window_start, window_end, pages.
+    """Rows per (keys, window) with more than `above` events: keys, window_start, window_end, pages."""
+    width, step, panes = seconds(window), seconds(slide), panes_per_window(window, slide)
+    timed = events.where(F.col("event_time").isNotNull())
+    if panes <= MAX_PANES:
+        counts = _block_counts(timed, keys, width, step, panes, above)
+    else:
+        counts = _pane_counts(timed, keys, width, slide, step, above)
+    return counts.select(
+        *keys,
+        F.timestamp_seconds("start").alias("window_start"),
+        F.timestamp_seconds(F.col("start") + width).alias("window_end"),
+        "pages")
+
 
-    A block is two windows long and blocks start every window length, so each window lies whole
-    in the block its start falls in. Every event goes to its two blocks; one aggregation counts a
-    block per slide, and the windows are sums of neighbouring counts. One shuffle, two copies
-    per event at most (before map-side combining), whatever the number of slides.
+def _block_counts(timed: DataFrame, keys: list, width: int, step: int, panes: int, above: int) -> DataFrame:
+    """(keys, start in seconds, pages) by blocks of two window lengths.
+
+    Blocks start every window length, so each window lies whole in the block its start falls
+    in. Every event goes to its two blocks; one aggregation counts a block per slide, and the
+    windows are sums of neighbouring counts. One shuffle, and two copies per event at most
+    (before map-side combining), whatever the number of slides.
     """
-    width, step, panes = seconds(window), seconds(slide), panes_per_window(window, slide)
     at = F.unix_seconds("event_time")
     own = at - F.pmod(at, F.lit(width))
-    placed = events.where(F.col("event_time").isNotNull()).select(
-        *keys, at.alias("at"), F.explode(F.array(own, own - width)).alias("block"))
-    slot = F.expr(f"(at - block) div {step}")
-    counts = [f"slot_{i}" for i in range(2 * panes - 1)]
-    blocks = placed.withColumn("slot", slot).groupBy(*keys, "block").agg(
-        *[F.count_if(F.col("slot") == i).alias(name) for i, name in enumerate(counts)])
+    placed = timed.select(*keys, at.alias("at"), F.explode(F.array(own, own - width)).alias("block"))
+    slots = [f"slot_{i}" for i in range(2 * panes - 1)]
+    blocks = placed.withColumn("slot", F.expr(f"(at - block) div {step}")).groupBy(*keys, "block").agg(
+        *[F.count_if(F.col("slot") == i).alias(name) for i, name in enumerate(slots)])
 
     def total(names):
         return sum((F.col(n) for n in names[1:]), F.col(names[0]))
 
     windows = F.array(*[
-        F.struct(F.lit(i * step).alias("offset"), total(counts[i:i + panes]).alias("pages"))
+        F.struct((F.col("block") + i * step).alias("start"), total(slots[i:i + panes]).alias("pages"))
         for i in range(panes)])
-    return (
-        blocks.where(total(counts) > above)
-        .select(*keys, "block", F.inline(F.filter(windows, lambda w: w["pages"] > above)))
-        .select(
-            *keys,
-            F.timestamp_seconds(F.col("block") + F.col("offset")).alias("window_start"),
-            F.timestamp_seconds(F.col("block") + F.col("offset") + width).alias("window_end"),
-            "pages")
-    )
+    busy = blocks.where(total(slots) > above)
+    return busy.select(*keys, F.inline(F.filter(windows, lambda w: w["pages"] > above)))
+
+
+def _pane_counts(timed: DataFrame, keys: list, width: int, slide: str, step: int, above: int) -> DataFrame:
+    """The same by slides: events are counted per slide, and the counts copied into windows."""
+    panes = timed.groupBy(*keys, pane_start(slide).alias("pane")).agg(F.count("*").alias("pages"))
+    offset = F.explode(F.sequence(F.lit(0), F.lit(width - step), F.lit(step)))
+    copies = panes.select(*keys, "pane", "pages", offset.alias("offset"))
+    start = F.unix_seconds("pane") - F.col("offset")
+    windows = copies.groupBy(*keys, start.alias("start")).agg(F.sum("pages").alias("pages"))
+    return windows.where(F.col("pages") > above)
 
 
 def pane_start(slide: str):

@@ -114,6 +114,21 @@ def domain_trend_minute(spark, sf_dir):
     return domains.with_trend(domains.domain_activity(creates(spark, sf_dir), exact=True))
 
 
+def domain_trend_joined(spark, sf_dir):
+    """The trend against a stored table, here the same one."""
+    activity = domain_activity_exact(spark, sf_dir)
+    return domains.with_trend(activity, "1 day", previous=activity)
+
+
+def domain_activity_sketch(spark, sf_dir):
+    """The sketch's estimate of the authors, as whether it is within a quarter of their number."""
+    exact = domain_activity_exact(spark, sf_dir).select(
+        "domain", "window_start", F.col("unique_authors").alias("authors"))
+    rows = domains.domain_activity(creates(spark, sf_dir), "1 day").join(exact, ["domain", "window_start"])
+    close = F.abs(F.col("unique_authors") - F.col("authors")) * 4 <= F.col("authors")
+    return rows.withColumn("close", close).drop("unique_authors", "authors")
+
+
 def domain_latest(spark, sf_dir):
     return domains.domain_latest(domain_activity_exact(spark, sf_dir))
 
@@ -231,6 +246,18 @@ def upsert_batch_wins(spark, sf_dir):
 
 # -- streams --------------------------------------------------------------------------------
 
+def stream_ingest(spark, sf_dir):
+    """The routing keys and page ids of the messages kept."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = page_creates(file_source(spark, f"{sf_dir}/{{events.parquet}}", schema))
+    path = scratch_dir(spark, "kept")
+    jobs.start_ingest(
+        mixed_messages(events), sinks.table_sink(path), _ignore, scratch_dir(spark, "checkpoint"), **NOW
+    ).awaitTermination()
+    return spark.read.parquet(path).select(
+        F.get_json_object("value", "$.page_id").cast("bigint").alias("page_id"), "key")
+
+
 def _archived(spark, sf_dir):
     path = scratch_dir(spark, "archive")
     query = jobs.start_archive(
@@ -369,14 +396,15 @@ QUERIES = [
     "parse_events", "clean_raw", "clean_rejects",
     "bot_activity", "bot_activity_minute", "high_bot_alerts", "high_bot_alerts_min_pages",
     "bot_alert_messages", "bot_spam", "bot_spam_minutes",
-    "domain_activity", "domain_activity_exact", "domain_trend", "domain_trend_minute", "domain_latest",
+    "domain_activity", "domain_activity_exact", "domain_trend", "domain_trend_minute",
+    "domain_trend_joined", "domain_activity_sketch", "domain_latest",
     "spam_alerts", "spam_alerts_rules", "spam_alert_messages",
     "activity_spikes", "activity_spike_windows", "activity_spikes_minutes",
     "hourly_report", "hourly_report_history", "hourly_top_authors", "editor_patterns", "editor_gap_lag",
     "pages_by_user", "page_details", "pages_by_domain",
     "q_hourly_report", "q_editor_patterns", "q_list_domains", "q_user_pages", "q_page",
     "q_domain_pages", "q_domain_pages_between", "upsert_latest", "upsert_batch_wins",
-    "archive_roundtrip", "archive_between", "archive_hourly_report", "archive_editor_patterns",
+    "stream_ingest", "archive_roundtrip", "archive_between", "archive_hourly_report", "archive_editor_patterns",
     "stream_bot_activity", "stream_high_bot_alerts", "stream_bot_spam", "stream_domain_trend",
     "stream_domain_latest", "stream_spam_alerts", "stream_spikes",
     "stream_pages_by_user", "stream_page_details", "stream_pages_by_domain",

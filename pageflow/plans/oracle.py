@@ -264,6 +264,9 @@ def statements() -> dict:
         "domain_activity_exact": with_events("SELECT * FROM activity", day),
         "domain_trend": with_events(trend("day"), day),
         "domain_trend_minute": with_events(trend("minute"), activity("minute")),
+        "domain_trend_joined": with_events(trend("day"), day),
+        "domain_activity_sketch": with_events(
+            "SELECT * EXCLUDE (unique_authors), true AS close FROM activity", day),
         "domain_latest": with_events(LATEST, day),
         "spam_alerts": with_events(alerts, day_spam),
         "spam_alerts_rules": with_events(alerts, spam(TEN_DAYS, "10 DAY", 20)),
@@ -302,6 +305,8 @@ def statements() -> dict:
             "SELECT * FROM bot_activity UNION ALL SELECT a.* FROM activity a "
             "WHERE NOT EXISTS (SELECT 1 FROM bot_activity b "
             "WHERE a.domain = b.domain AND a.window_start = b.window_start)", day, bot_figures),
+        "stream_ingest": with_events(
+            "SELECT event_id AS page_id, key FROM mixed WHERE broken IS NULL AND key <> 'canary'", MIXED),
         "archive_roundtrip": with_events(
             f"SELECT {ARCHIVED}, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, "
             "CAST(day(ts) AS INT) AS day FROM ev"),

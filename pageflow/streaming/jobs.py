@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageflow.functions.durations import seconds
-from pageflow.operators import bots, domains, spam, spikes, views
+from pageflow.operators import bots, clean, domains, spam, spikes, views
 from pageflow.operators.upsert import latest
 from pageflow.schema import LANGUAGE_ACTIVITY, TABLE_KEYS
 from pageflow.streaming.sinks import archive_writer, read_table, table_sink
@@ -30,6 +30,16 @@ def start_each_batch(rows: DataFrame, handle, checkpoint: str, mode: str, trigge
         .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start())
 
 
+def start_ingest(raw: DataFrame, sink, reject_sink, checkpoint: str, **trigger) -> StreamingQuery:
+    """Raw messages cleaned on their way in: kept ones as (key, value), unsound ones apart."""
+    def publish(messages: DataFrame, batch_id: int) -> None:
+        kept, rejects = clean.split_rejects(messages)
+        sink(kept.select("key", "value"), batch_id)
+        reject_sink(rejects, batch_id)
+
+    return start_each_batch(raw, publish, checkpoint, "append", trigger)
+
+
 def start_archive(events: DataFrame, path: str, checkpoint: str, files_per_day: int | None = None,
                   **trigger) -> StreamingQuery:
     return archive_writer(events, path, checkpoint, files_per_day, **trigger).start()

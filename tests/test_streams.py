@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow.operators import bots, domains, spam, spikes, views
+from pageflow.operators.clean import parse_events
 from pageflow.plans.checks import HUMAN_SPAM, METRICS, PAGES, SPAM, SPIKES
 from pageflow.schema import EVENTS, LANGUAGE_ACTIVITY, TABLE_KEYS
 from pageflow.sources.files import file_source, read_archive
@@ -56,6 +57,28 @@ def test_archive_keeps_everything_once_and_goes_on_after_a_restart(spark, batch,
     assert set(spark.read.parquet(path).columns) >= {"year", "month", "day"}
 
 
+def test_unparsable_messages_are_archived_too(spark, folder):
+    source, path = folder(), folder()
+    spark.sql("""select * from values ('bad{', timestamp'2024-03-01 10:00:00'),
+        ('{"page_title":"T"}', timestamp'2024-03-01 11:00:00') as t(value, timestamp)""").write.parquet(source)
+    columns = ("page_title", "domain", "user_name", "user_is_bot")
+    finished(jobs.start_archive(parse_events(file_source(spark, source), columns), path, folder(), **NOW))
+    stored = read_archive(spark, path).orderBy("event_time").collect()
+    assert [tuple(r) for r in stored] == [
+        (None, None, None, None, at("10:00:00")), ("T", None, None, None, at("11:00:00"))]
+
+
+def test_ingest_separates_rejects(spark, folder):
+    source, kept, rejects = folder(), folder(), folder()
+    spark.sql("""select * from values ('bad{', current_timestamp()), ('{"meta":{"domain":"d"}}', current_timestamp()),
+        ('{"meta":{"domain":"canary"}}', current_timestamp()) as t(value, timestamp)""").write.parquet(source)
+    finished(jobs.start_ingest(
+        file_source(spark, source), sinks.table_sink(kept), sinks.table_sink(rejects), folder(), **NOW))
+    row, = spark.read.parquet(kept).collect()
+    assert (row.key, row.value) == ("d", '{"meta":{"domain":"d"}}')
+    assert [r.value for r in spark.read.parquet(rejects).collect()] == ["bad{"]
+
+
 def test_archive_gathers_a_backlog_by_day(spark, batch, feed, folder):
     path = folder()
     finished(jobs.start_archive(feed(), path, folder(), files_per_day=1, **NOW))
