@@ -45,10 +45,10 @@ def present(events: DataFrame, *columns: str) -> DataFrame:
     return events
 
 
-def _examined(raw: DataFrame) -> DataFrame:
-    """Messages with their domain and whether they are objects whose meta, if any, is sound.
+def examined(raw: DataFrame) -> DataFrame:
+    """Messages with their `domain` and whether they are `sound`.
 
-    Sound means: `meta` absent or an object, `meta.domain` absent or a string.
+    Sound are JSON objects with `meta` absent or an object and `meta.domain` absent or a string.
     """
     text = F.col("value").cast("string")
     parsed = F.from_json(text, "meta VARIANT, _corrupt_record STRING")
@@ -66,16 +66,24 @@ def _examined(raw: DataFrame) -> DataFrame:
         sound.alias("sound"))
 
 
-def clean_raw(raw: DataFrame) -> DataFrame:
-    """Messages worth keeping, with the routing `key`: their domain, or 'unknown'.
+def kept(messages: DataFrame) -> DataFrame:
+    """Of examined messages the sound ones, test events left out, with their routing `key`."""
+    rest = [c for c in messages.columns if c not in ("domain", "sound")]
+    keyed = messages.where(F.col("sound")).withColumn("key", F.coalesce("domain", F.lit(UNKNOWN)))
+    return keyed.where(F.col("key") != CANARY).select(*rest, "key")
 
-    Test events and messages that are not sound JSON objects are left out.
-    """
-    key = F.coalesce("domain", F.lit(UNKNOWN))
-    rows = _examined(raw).where(F.col("sound")).withColumn("key", key)
-    return rows.where(F.col("key") != CANARY).select(*raw.columns, "key")
+
+def rejected(messages: DataFrame) -> DataFrame:
+    """Of examined messages those that are not sound."""
+    return messages.where(~F.col("sound")).drop("domain", "sound")
+
+
+def clean_raw(raw: DataFrame) -> DataFrame:
+    """Messages worth keeping, with the routing `key`: their domain, or 'unknown'."""
+    return kept(examined(raw))
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(`clean_raw(raw)`, the messages that are not sound); test events are in neither."""
-    return clean_raw(raw), _examined(raw).where(~F.col("sound")).select(*raw.columns)
+    messages = examined(raw)
+    return kept(messages), rejected(messages)

@@ -4,19 +4,20 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from pageflow.functions.durations import instant
 from pageflow.functions.ranking import in_rank_order, top_per_group
 from pageflow.functions.ratios import percent
 from pageflow.operators.clean import present
 
 
-def last_full_hours(events: DataFrame, as_of: datetime, hours: int) -> DataFrame:
+def last_full_hours(events: DataFrame, as_of: str | datetime, hours: int) -> DataFrame:
     """Events of the `hours` whole hours before the hour `as_of` lies in."""
     start, end = hour_bounds(as_of, hours)
     return events.where((F.col("event_time") >= start) & (F.col("event_time") < end))
 
 
-def hour_bounds(as_of: datetime, hours: int):
-    end = F.date_trunc("hour", F.lit(as_of).cast("timestamp"))
+def hour_bounds(as_of: str | datetime, hours: int):
+    end = F.date_trunc("hour", instant(as_of))
     return end - F.make_dt_interval(hours=F.lit(hours)), end
 
 
@@ -59,7 +60,7 @@ def report_of(authors: DataFrame, k: int = 10) -> DataFrame:
         F.to_json("authors", {"ignoreNullFields": "false"}).alias("top_authors"))
 
 
-def hourly_report(events: DataFrame, as_of: datetime | None = None, hours: int = 6, k: int = 10) -> DataFrame:
+def hourly_report(events: DataFrame, as_of: str | datetime | None = None, hours: int = 6, k: int = 10) -> DataFrame:
     """Pages, authors, bot share and top authors of every domain, for the last full hours.
 
     as_of=None reports every hour there is.

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from pageflow.functions.durations import instant
+
 # Fixed value: the record behind one entry of a report's top authors.
 AUTHORS = "array<struct<name:string,pages:int,is_bot:boolean>>"
 
@@ -37,9 +39,9 @@ def pages_of_domain(pages: DataFrame, domain: str, from_ts=None, to_ts=None, lim
     """A domain's newest pages between two times, both inclusive; either may be left open."""
     rows = pages.where(F.col("domain") == domain)
     if from_ts is not None:
-        rows = rows.where(F.col("created_at") >= F.lit(from_ts).cast("timestamp"))
+        rows = rows.where(F.col("created_at") >= instant(from_ts))
     if to_ts is not None:
-        rows = rows.where(F.col("created_at") <= F.lit(to_ts).cast("timestamp"))
+        rows = rows.where(F.col("created_at") <= instant(to_ts))
     return _newest(rows, limit)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.functions.skew import salted_join
+from pageflow.functions.skew import SALTS, salted_join
 from pageflow.operators.alerts import alert_time
 from pageflow.operators.clean import present
 
@@ -51,18 +51,19 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
 
 
 def spam_titles(events: DataFrame, alerts: DataFrame, window: str = "5 minutes",
-                part_size: int = TITLES_PER_PART) -> DataFrame:
+                part_size: int = TITLES_PER_PART, salts: int = SALTS) -> DataFrame:
     """The titles behind each alert: window_start, user_name, part, titles.
 
     All titles come out, dealt over ceil(page_count / part_size) parts, so that one user's
-    window, however large, is never gathered into a single row or task.
+    window, however large, is never gathered into a single row or task. `salts` is the number of
+    tasks the titles of one window are joined in.
     """
     spread = [c for c in ("page_id", "page_title", "event_time") if c in events.columns]
     created = present(events, "user_name", "page_title").where(~F.col("user_is_bot")).select(
         F.window("event_time", window)["start"].alias("window_start"), "user_name", *spread)
     keyed = alerts.select("window_start", "user_name", _parts(part_size).alias("parts"))
     part = F.pmod(F.xxhash64(F.lit("part"), *spread), "parts").cast("int")
-    hits = salted_join(created, keyed, ["window_start", "user_name"], spread)
+    hits = salted_join(created, keyed, ["window_start", "user_name"], spread, salts)
     return hits.groupBy("window_start", "user_name", part.alias("part")).agg(
         F.sort_array(F.collect_list("page_title")).alias("titles"))
 

@@ -9,7 +9,7 @@ from pageflow.operators.reports import hour_bounds, hourly_report
 from pageflow.sources.files import read_archive
 
 
-def hourly_report_job(spark: SparkSession, archive: str, as_of: datetime, hours: int = 6, k: int = 10) -> DataFrame:
+def hourly_report_job(spark: SparkSession, archive: str, as_of: str | datetime, hours: int = 6, k: int = 10) -> DataFrame:
     """The hourly report, reading only the archive days that hold the hours in question."""
     return hourly_report(read_archive(spark, archive, *hour_bounds(as_of, hours)), as_of, hours, k)
 

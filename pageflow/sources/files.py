@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pageflow.functions.durations import instant
 from pageflow.schema import ARCHIVE, RAW
 
 
@@ -40,9 +41,9 @@ def read_archive(spark: SparkSession, path: str, start=None, end=None) -> DataFr
     rows = read_or_empty(spark, path, ARCHIVE + ", year int, month int, day int")
     date = F.make_date("year", "month", "day")
     if start is not None:
-        since = F.lit(start).cast("timestamp")
+        since = instant(start)
         rows = rows.where((F.col("event_time") >= since) & (date >= since.cast("date")))
     if end is not None:
-        until = F.lit(end).cast("timestamp")
+        until = instant(end)
         rows = rows.where((F.col("event_time") < until) & (date <= until.cast("date")))
     return rows.drop("year", "month", "day")

@@ -31,13 +31,15 @@ def start_each_batch(rows: DataFrame, handle, checkpoint: str, mode: str, trigge
 
 
 def start_ingest(raw: DataFrame, sink, reject_sink, checkpoint: str, **trigger) -> StreamingQuery:
-    """Raw messages cleaned on their way in: kept ones as (key, value), unsound ones apart."""
+    """Raw messages cleaned on their way in: kept ones as (key, value), unsound ones apart.
+
+    A micro-batch is examined once; both outputs come from the cached result.
+    """
     def publish(messages: DataFrame, batch_id: int) -> None:
-        kept, rejects = clean.split_rejects(messages)
-        sink(kept.select("key", "value"), batch_id)
-        reject_sink(rejects, batch_id)
+        sink(clean.kept(messages).select("key", "value"), batch_id)
+        reject_sink(clean.rejected(messages), batch_id)
 
-    return start_each_batch(raw, publish, checkpoint, "append", trigger)
+    return start_each_batch(clean.examined(raw), publish, checkpoint, "append", trigger)
 
 
 def start_archive(events: DataFrame, path: str, checkpoint: str, files_per_day: int | None = None,

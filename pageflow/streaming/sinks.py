@@ -103,7 +103,7 @@ def topic_sink(options: dict, form=None):
 def with_titles(sink, archive: str, window: str = "5 minutes", part_size: int = TITLES_PER_PART):
     """A sink for spam alerts that adds the titles found in the archive for their windows."""
     def write(alerts: DataFrame, batch_id: int) -> None:
-        span = alerts.agg(F.min("window_start"), F.max("window_end")).first()
+        span = alerts.agg(F.min("window_start").cast("string"), F.max("window_end").cast("string")).first()
         events = read_archive(alerts.sparkSession, archive, *span)
         sink(spam_messages(alerts, spam_titles(events, alerts, window, part_size), part_size), batch_id)
 
