@@ -20,6 +20,26 @@ def user_counts(events: DataFrame, window: str = "1 minute") -> DataFrame:
     ).agg(F.count("*").alias("pages"))
 
 
+def shares(totals: DataFrame) -> DataFrame:
+    """(domain, window bounds, human and bot pages, bot percentage) from sums `bots`, `humans`."""
+    return totals.select(
+        "domain",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        F.col("humans").cast("int").alias("human_count"),
+        F.col("bots").cast("int").alias("bot_count"),
+        percent(F.col("bots"), F.col("bots") + F.col("humans")).alias("bot_percentage"),
+        *[c for c in ("top_humans", "top_bots") if c in totals.columns])
+
+
+def bot_shares(events: DataFrame, window: str = "1 minute") -> DataFrame:
+    """`bot_activity` without the top users: one aggregation, all that the alerts need."""
+    bot = F.col("user_is_bot")
+    return shares(present(events, "domain", "user_name").groupBy(
+        F.window("event_time", window), "domain"
+    ).agg(F.count_if(bot).alias("bots"), F.count_if(~bot).alias("humans")))
+
+
 def bot_metrics(counts: DataFrame, k: int = 5) -> DataFrame:
     """Bot and human pages, bot percentage and the top users of each kind, from `user_counts`.
 
@@ -36,15 +56,7 @@ def bot_metrics(counts: DataFrame, k: int = 5) -> DataFrame:
     top = ranked.groupBy("window", "domain").agg(
         in_rank_order(F.col("user_name"), ~bot).alias("top_humans"),
         in_rank_order(F.col("user_name"), bot).alias("top_bots"))
-    return totals.join(top, ["window", "domain"], "left").select(
-        "domain",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        F.col("humans").cast("int").alias("human_count"),
-        F.col("bots").cast("int").alias("bot_count"),
-        percent(F.col("bots"), F.col("bots") + F.col("humans")).alias("bot_percentage"),
-        "top_humans",
-        "top_bots")
+    return shares(totals.join(top, ["window", "domain"], "left"))
 
 
 def bot_activity(events: DataFrame, window: str = "1 minute", k: int = 5) -> DataFrame:

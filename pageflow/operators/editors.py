@@ -10,21 +10,40 @@ def human_pages(events: DataFrame) -> DataFrame:
     return present(events, "user_name").where(~F.col("user_is_bot"))
 
 
-def editor_patterns(events: DataFrame, min_pages: int = 5) -> DataFrame:
-    """Pages, mean gap between pages, active hours, domains and main domain of each editor.
+def editor_parts(events: DataFrame) -> DataFrame:
+    """What `patterns_of` needs of each (editor, domain): counts, first and last time, hours.
 
-    The gaps of sorted times add up to last minus first, so their mean needs no sort. Hours
-    are a 24-bit mask. So one hash aggregation per (editor, domain) carries everything, and
-    only its rows, at most one per domain, meet per editor. Equally used domains: first name.
+    Hours are a 24-bit mask, so one hash aggregation over fixed-width values carries it all.
     """
     at = F.unix_seconds("event_time")
-    per_domain = human_pages(events).groupBy("user_name", "domain").agg(
+    return human_pages(events).groupBy("user_name", "domain").agg(
         F.count("*").alias("pages"),
         F.count("event_time").alias("timed"),
         F.min(at).alias("first"),
         F.max(at).alias("last"),
         F.bit_or(F.expr("shiftleft(1, hour(event_time))")).alias("hours"))
-    per_user = per_domain.groupBy("user_name").agg(
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several stretches of the history, such as stored daily ones, made into one.
+
+    A profile of the whole history can so be kept up without reading the old events again.
+    """
+    return parts.groupBy("user_name", "domain").agg(
+        F.sum("pages").alias("pages"),
+        F.sum("timed").alias("timed"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.bit_or("hours").alias("hours"))
+
+
+def patterns_of(parts: DataFrame, min_pages: int = 5) -> DataFrame:
+    """Profiles from one part per (editor, domain).
+
+    The gaps between sorted times add up to last minus first, so their mean needs no sort.
+    Of equally used domains the first by name is the main one.
+    """
+    per_user = parts.groupBy("user_name").agg(
         F.sum("pages").alias("total"),
         F.sum("timed").alias("timed"),
         F.min("first").alias("first"),
@@ -42,6 +61,11 @@ def editor_patterns(events: DataFrame, min_pages: int = 5) -> DataFrame:
         F.col("total").cast("int").alias("total_pages"))
 
 
+def editor_patterns(events: DataFrame, min_pages: int = 5) -> DataFrame:
+    """Pages, mean gap between pages, active hours, domains and main domain of each editor."""
+    return patterns_of(editor_parts(events), min_pages)
+
+
 def creation_gaps(events: DataFrame) -> DataFrame:
     """Each human page with the whole seconds since its editor's previous one (NULL for the first).
 

@@ -77,11 +77,11 @@ def bot_activity_minute(spark, sf_dir):
 
 
 def high_bot_alerts(spark, sf_dir):
-    return bots.high_bot_alerts(bot_activity_minute(spark, sf_dir))
+    return bots.high_bot_alerts(bots.bot_shares(creates(spark, sf_dir)))
 
 
 def high_bot_alerts_min_pages(spark, sf_dir):
-    return bots.high_bot_alerts(bot_activity(spark, sf_dir), threshold=20.0, min_pages=5)
+    return bots.high_bot_alerts(bots.bot_shares(creates(spark, sf_dir), "1 hour"), threshold=20.0, min_pages=5)
 
 
 def bot_alert_messages(spark, sf_dir):
@@ -180,6 +180,14 @@ def editor_patterns(spark, sf_dir):
     return editors.editor_patterns(creates(spark, sf_dir))
 
 
+def editor_patterns_merged(spark, sf_dir):
+    """Profiles from parts of two stretches of the history, here even and odd pages."""
+    events = creates(spark, sf_dir)
+    odd = F.col("page_id").cast("bigint") % 2 == 1
+    parts = editors.editor_parts(events.where(odd)).unionByName(editors.editor_parts(events.where(~odd)))
+    return editors.patterns_of(editors.merge_parts(parts))
+
+
 def editor_gap_lag(spark, sf_dir):
     return editors.creation_gaps(creates(spark, sf_dir))
 
@@ -400,7 +408,8 @@ QUERIES = [
     "domain_trend_joined", "domain_activity_sketch", "domain_latest",
     "spam_alerts", "spam_alerts_rules", "spam_alert_messages",
     "activity_spikes", "activity_spike_windows", "activity_spikes_minutes",
-    "hourly_report", "hourly_report_history", "hourly_top_authors", "editor_patterns", "editor_gap_lag",
+    "hourly_report", "hourly_report_history", "hourly_top_authors", "editor_patterns",
+    "editor_patterns_merged", "editor_gap_lag",
     "pages_by_user", "page_details", "pages_by_domain",
     "q_hourly_report", "q_editor_patterns", "q_list_domains", "q_user_pages", "q_page",
     "q_domain_pages", "q_domain_pages_between", "upsert_latest", "upsert_batch_wins",

@@ -282,6 +282,7 @@ def statements() -> dict:
         "hourly_report_history": report,
         "hourly_top_authors": with_events("SELECT * FROM ranked WHERE rn <= 10", AUTHORS),
         "editor_patterns": patterns,
+        "editor_patterns_merged": patterns,
         "editor_gap_lag": with_events("SELECT * EXCLUDE (domain) FROM gaps", EDITORS),
         "pages_by_user": with_events(BY_USER),
         "page_details": with_events(DETAILS),

@@ -26,6 +26,8 @@ def test_unknown_flags_count_for_neither(events):
     row, = bots.bot_activity(events(("10:00:01", "a", None, "d"), ("10:00:02", "b", None, "d"))).collect()
     assert (row.human_count, row.bot_count, row.bot_percentage) == (0, 0, None)
     assert row.top_bots is None and row.top_humans is None
+    shares, = bots.bot_shares(events(("10:00:01", "a", None, "d"))).collect()
+    assert (shares.human_count, shares.bot_count, shares.bot_percentage) == (0, 0, None)
 
 
 def test_ties_at_the_cut_go_by_name(events):
@@ -41,6 +43,8 @@ def test_high_bot_alerts(events):
                   ("10:00:01", "x", True, "small"), *[("10:00:01", n, True, "even") for n in "abcd"],
                   ("10:00:01", "h", False, "even"))
     metrics = bots.bot_activity(rows)
+    assert sorted(map(tuple, bots.bot_shares(rows).collect())) == sorted(
+        map(tuple, metrics.drop("top_humans", "top_bots").collect()))
     assert {r.domain for r in bots.high_bot_alerts(metrics).collect()} == {"d", "small"}
     assert {r.domain for r in bots.high_bot_alerts(metrics, min_pages=5).collect()} == {"d"}
     assert {r.domain for r in bots.high_bot_alerts(metrics, 79.9).collect()} == {"d", "small", "even"}
