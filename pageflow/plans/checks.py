@@ -149,6 +149,14 @@ def spam_alert_messages(spark, sf_dir):
     return spam.spam_messages(found, spam.spam_titles(events, found, "1 day")).drop("part")
 
 
+def spam_alert_titles(spark, sf_dir):
+    """One row per title, however many parts an alert has."""
+    events = creates(spark, sf_dir)
+    found = spam.spam_alerts(events, "10 days", velocity=20)
+    titles = spam.spam_titles(events, found, "10 days", part_size=20)
+    return titles.select("window_start", "user_name", F.explode("titles").alias("page_title"))
+
+
 def activity_spikes(spark, sf_dir):
     return spikes.activity_spikes(creates(spark, sf_dir), "12 hours", "1 hour")
 
@@ -406,7 +414,7 @@ QUERIES = [
     "bot_alert_messages", "bot_spam", "bot_spam_minutes",
     "domain_activity", "domain_activity_exact", "domain_trend", "domain_trend_minute",
     "domain_trend_joined", "domain_activity_sketch", "domain_latest",
-    "spam_alerts", "spam_alerts_rules", "spam_alert_messages",
+    "spam_alerts", "spam_alerts_rules", "spam_alert_messages", "spam_alert_titles",
     "activity_spikes", "activity_spike_windows", "activity_spikes_minutes",
     "hourly_report", "hourly_report_history", "hourly_top_authors", "editor_patterns",
     "editor_patterns_merged", "editor_gap_lag",

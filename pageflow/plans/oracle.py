@@ -273,6 +273,9 @@ def statements() -> dict:
         "spam_alert_messages": with_events(
             "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_time, "
             "* EXCLUDE (window_start, window_end) FROM alerts", day_spam),
+        "spam_alert_titles": with_events(
+            f"SELECT a.window_start, a.user_name, e.page_title FROM alerts a JOIN ev e ON a.user_name = e.user_name "
+            f"AND a.window_start = {TEN_DAYS.replace('ts,', 'e.ts,')}", spam(TEN_DAYS, "10 DAY", 20)),
         "activity_spikes": with_events("SELECT * FROM spikes WHERE spike_ratio > 3", twelve_hours),
         "activity_spike_windows": with_events("SELECT * FROM spikes", twelve_hours),
         "activity_spikes_minutes": with_events(

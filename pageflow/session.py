@@ -6,13 +6,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Windows, hours and days are cut in UTC. Adaptive execution sizes the shuffles and picks
-# broadcast joins from measured sizes. State lives in RocksDB, off the JVM heap. The
-# object-hash threshold keeps set and list aggregates from sorting after 128 groups.
+# broadcast joins, and hash joins where every partition is small, from measured sizes. State
+# lives in RocksDB, off the JVM heap. The object-hash threshold keeps set and list aggregates
+# from sorting after 128 groups.
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
