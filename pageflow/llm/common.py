@@ -38,7 +38,7 @@ def ship(spark: SparkSession) -> None:
     uri = scratch_dir(spark, "code") + f"/pageflow-llm-{uuid.uuid4().hex}.zip"
     files, path = opened(uri)
     files.create_dir(path.rpartition("/")[0], recursive=True)
-    with files.open_output_stream(path) as out:
+    with files.open_output_stream(path, compression=None) as out:
         out.write(data.getvalue())
     context.addPyFile(uri)
 
