@@ -29,7 +29,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Bound of a candidate span and of a word in it; longer words are no part of any.
 MOST_WORDS, MOST_CHARS = 5, 80
 # Documents the field is fitted on at most, and how much better than nothing a span must score.
-SAMPLE, MARGIN = 400, 2.0
+SAMPLE, MARGIN = 400, 1.0
 
 ACTIVE = re.compile(r"[0-9@]|[(\[](?:at|dot)[)\]]", re.IGNORECASE)
 TAIL = re.compile(r"[^\x20\x09-\x0D]*")
@@ -248,11 +248,12 @@ def _variants(kind: int, span: str, rnd: random.Random) -> list[tuple[str, int |
                      (f"{local[:3]}.{local[3:6]}.{local[6:]}", 3), (f"00{digits[:-10]} {local[:3]} {local[3:6]} {local[6:]}", 3),
                      (f"{local[3:6]}-{local[6:]}", None), (local, None), (local[:4], None),
                      (f"{local[:4]}-{local[4:6]}-{local[6:8]}", None), (f"{local[:2]}.{local[2:4]}", None),
-                     (f"({local[:2]})", None), (f"{local[:2]}:{local[2:4]}", None), (f"{local[:1]}-{local[1:3]}", None)]
+                     (f"({local[:2]})", None), (f"{local[:2]}:{local[2:4]}", None), (f"{local[:1]}-{local[1:3]}", None),
+                     (f"{local[:3]}-{local[3]}-{local[4:6]}-{local[4:]}-{local[0]}", None)]
     return kept
 
 
-def trained(texts: list[str], rounds: int = 6, rate: float = 0.5, decay: float = 1e-4) -> Field:
+def trained(texts: list[str], rounds: int = 10, rate: float = 0.5, decay: float = 1e-4) -> Field:
     """Maximises the conditional likelihood of the labelled runs, by gradient steps over forward and backward sums."""
     rnd = random.Random(7)
     examples = [(k, s) for k, kind in enumerate(KINDS) for s in EXAMPLES[kind]]

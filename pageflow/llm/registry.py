@@ -1,11 +1,11 @@
 """The queries of this package, and SQL for those that SQL can express."""
 
 import corpus_pipeline
-from pageflow.llm import bpe, lm, mixing, mtree, near_dup, pii, quality, substrings, warc
+from pageflow.llm import bpe, licenses, lm, mixing, mtree, near_dup, pii, quality, substrings, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
-    "op2_quality": quality.op2_quality, "op3_near_dup": near_dup.op3_near_dup, "op4_warc": warc.op4_warc,
+    "op1_licenses": licenses.op1_licenses, "op2_quality": quality.op2_quality, "op3_near_dup": near_dup.op3_near_dup, "op4_warc": warc.op4_warc,
     "op5_mixing": mixing.op5_mixing, "op6_bpe": bpe.op6_bpe, "op7_pii": pii.op7_pii, "op8_lm": lm.op8_lm,
     "op9_mtree": mtree.op9_mtree, "op10_substrings": substrings.op10_substrings,
 }
