@@ -2,15 +2,14 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-SALTS = 16
-
-
-def salted_join(rows: DataFrame, keyed: DataFrame, on: list, spread: list, salts: int = SALTS) -> DataFrame:
+def salted_join(rows: DataFrame, keyed: DataFrame, on: list, spread: list, salts: int | None = None) -> DataFrame:
     """Inner join of many `rows` to few `keyed` rows, each key's rows dealt over `salts` tasks.
 
-    `spread` names the columns whose hash deals the rows; `keyed` is repeated once per salt.
+    `spread` names the columns whose hash deals the rows; `keyed` is repeated once per salt. Without `salts` a key is
+    dealt over as many tasks as a shuffle has.
     If adaptive execution measures `keyed` small enough, the join is broadcast instead.
     """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     copies = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(copies, [*on, "salt"]).drop("salt")

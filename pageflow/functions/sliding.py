@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 from pageflow.functions.durations import panes_per_window, seconds
 
 
-# Up to this many slides per window a block is counted in one row, one column per slide.
-MAX_PANES = 64
+def sliding_counts(events: DataFrame, keys: list, window: str, slide: str, above: int = 0,
+                   method: str = "blocks") -> DataFrame:
+    """Rows per (keys, window) with more than `above` events: keys, window_start, window_end, pages.
 
-
-def sliding_counts(events: DataFrame, keys: list, window: str, slide: str, above: int = 0) -> DataFrame:
-    """Rows per (keys, window) with more than `above` events: keys, window_start, window_end, pages."""
+    Both methods give the same rows for any window. "blocks" copies each event twice at most, into rows with a
+    column per slide; it suits windows of up to some dozens of slides. "panes" counts slides first and copies those
+    counts into each window; it suits windows of any number of slides.
+    """
     width, step, panes = seconds(window), seconds(slide), panes_per_window(window, slide)
     timed = events.where(F.col("event_time").isNotNull())
-    if panes <= MAX_PANES:
+    if method not in ("blocks", "panes"):
+        raise ValueError(f"no such method: {method!r}")
+    if method == "blocks":
         counts = _block_counts(timed, keys, width, step, panes, above)
     else:
         counts = _pane_counts(timed, keys, width, slide, step, above)

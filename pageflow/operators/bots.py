@@ -26,8 +26,8 @@ def shares(totals: DataFrame) -> DataFrame:
         "domain",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        F.col("humans").cast("int").alias("human_count"),
-        F.col("bots").cast("int").alias("bot_count"),
+        F.col("humans").alias("human_count"),
+        F.col("bots").alias("bot_count"),
         percent(F.col("bots"), F.col("bots") + F.col("humans")).alias("bot_percentage"),
         *[c for c in ("top_humans", "top_bots") if c in totals.columns])
 
@@ -75,9 +75,9 @@ def high_bot_alerts(metrics: DataFrame, threshold: float = 80.0, min_pages: int
 
 
 def bot_spam(events: DataFrame, window: str = "10 minutes", slide: str = "1 minute",
-             threshold: int = 50) -> DataFrame:
-    """Bots with more than `threshold` pages in one domain within a sliding window."""
-    spammers = sliding_counts(_bots(events), ["domain", "user_name"], window, slide, above=threshold)
+             threshold: int = 50, method: str = "blocks") -> DataFrame:
+    """Bots with more than `threshold` pages in one domain within a sliding window, counted by `method`."""
+    spammers = sliding_counts(_bots(events), ["domain", "user_name"], window, slide, threshold, method)
     return spammers.select(
         "window_start", "window_end", "domain",
         F.col("user_name").alias("bot_name"), F.col("pages").alias("pages_created"))

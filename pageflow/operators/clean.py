@@ -48,21 +48,28 @@ def present(events: DataFrame, *columns: str) -> DataFrame:
 def examined(raw: DataFrame) -> DataFrame:
     """Messages with their `domain` and whether they are `sound`.
 
-    Sound are JSON objects with `meta` absent or an object and `meta.domain` absent or a string.
+    Sound are JSON objects with `meta` absent or an object and `meta.domain` absent or a string. Of equal names in an
+    object the last counts. The reader stops after the first value of a text, so each message is read as the first of two
+    elements of an array, the second a mark made of the message's hash: whatever else the text holds, quotes of
+    another kind included, there are then not just these two.
     """
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, "meta VARIANT, _corrupt_record STRING")
-    rows = raw.select("*", F.inline(F.array(parsed)))
-    domain_kind = F.schema_of_variant(F.expr("variant_get(meta, '$.domain', 'variant')"))
-    meta_sound = F.col("meta").isNull() | F.schema_of_variant("meta").startswith("OBJECT")
+    mark = F.sha2(text.cast("binary"), 256)
+    wrapped = F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))
+    items = F.from_json(wrapped, "array<variant>", {"allowSingleQuotes": "false"})
+    rows = raw.select("*", F.inline(F.array(F.struct(mark.alias("mark"), items.alias("items")))))
+    item = rows.withColumn("item", F.get("items", F.lit(0)))
+    only = (F.size("items") == 2) & (F.expr("try_variant_get(get(items, 1), '$', 'string')") == F.col("mark"))
+    meta_kind = F.schema_of_variant(F.expr("variant_get(item, '$.meta', 'variant')"))
+    domain_kind = F.schema_of_variant(F.expr("variant_get(item, '$.meta.domain', 'variant')"))
     sound = (
-        F.coalesce(text.rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False))
-        & F.col("_corrupt_record").isNull()
-        & F.when(domain_kind.isNull(), meta_sound).otherwise(domain_kind == "STRING")
+        F.coalesce(only, F.lit(False))
+        & F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False))
+        & F.when(domain_kind.isNull(), meta_kind.isNull() | meta_kind.startswith("OBJECT")).otherwise(domain_kind == "STRING")
     )
-    return rows.select(
+    return item.select(
         *raw.columns,
-        F.expr("try_variant_get(meta, '$.domain', 'string')").alias("domain"),
+        F.expr("try_variant_get(item, '$.meta.domain', 'string')").alias("domain"),
         sound.alias("sound"))
 
 

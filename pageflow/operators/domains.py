@@ -25,8 +25,8 @@ def activity_rows(windows: DataFrame) -> DataFrame:
         "domain",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        F.col("pages").cast("int").alias("pages_count"),
-        F.col("authors").cast("int").alias("unique_authors"),
+        F.col("pages").alias("pages_count"),
+        F.col("authors").alias("unique_authors"),
         "avg_title_length")
 
 

@@ -56,9 +56,9 @@ def patterns_of(parts: DataFrame, min_pages: int = 5) -> DataFrame:
         "user_name",
         F.coalesce(mean_gap, F.lit(0.0)).alias("avg_gap_seconds"),
         F.expr("filter(sequence(0, 23), h -> coalesce(hours, 0) & shiftleft(1, h) != 0)").alias("active_hours"),
-        F.col("domains").cast("int").alias("domains_count"),
+        F.col("domains").alias("domains_count"),
         "specialization",
-        F.col("total").cast("int").alias("total_pages"))
+        F.col("total").alias("total_pages"))
 
 
 def editor_patterns(events: DataFrame, min_pages: int = 5) -> DataFrame:

@@ -44,17 +44,17 @@ def report_of(authors: DataFrame, k: int = 10) -> DataFrame:
     pages, hour = F.col("pages"), ["domain", "time_start"]
     totals = authors.groupBy(*hour).agg(
         F.sum("pages").alias("total"),
-        F.count("user_name").cast("int").alias("unique_authors"),
+        F.count("user_name").alias("unique_authors"),
         F.sum(F.when(F.col("user_is_bot"), pages).otherwise(0)).alias("by_bots"))
     author = F.struct(
-        F.col("user_name").alias("name"), pages.cast("int").alias("pages"),
+        F.col("user_name").alias("name"), pages,
         F.col("user_is_bot").alias("is_bot"))
     top = top_authors(authors, k).groupBy(*hour).agg(in_rank_order(author).alias("authors"))
     return totals.join(top, hour).select(
         "domain",
         "time_start",
         (F.col("time_start") + F.make_dt_interval(hours=F.lit(1))).alias("time_end"),
-        F.col("total").cast("int").alias("pages_created"),
+        F.col("total").alias("pages_created"),
         "unique_authors",
         percent(F.col("by_bots"), F.col("total")).alias("bot_percent"),
         F.to_json("authors", {"ignoreNullFields": "false"}).alias("top_authors"))

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from pageflow.functions.durations import instant
 
 # Fixed value: the record behind one entry of a report's top authors.
-AUTHORS = "array<struct<name:string,pages:int,is_bot:boolean>>"
+AUTHORS = "array<struct<name:string,pages:bigint,is_bot:boolean>>"
 
 
 def get_hourly_report(report: DataFrame, domain: str, hours: int = 6) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.functions.skew import SALTS, salted_join
+from pageflow.functions.skew import salted_join
 from pageflow.operators.alerts import alert_time
 from pageflow.operators.clean import present
 
@@ -19,13 +19,12 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
                 min_len: int = 3, max_len: int = 80, pattern: str = SUSPICIOUS_TITLE) -> DataFrame:
     """Scores each human user's window by four rules; windows no rule applies to are left out.
 
-    Works on streams too. State and shuffle hold flags, a count and the set of domains per
-    user and window, never the titles; `spam_titles` adds those afterwards.
+    Shuffles hold flags, a count and the set of domains per user and window, never the titles; `spam_titles` adds those
+    afterwards.
     """
     title, length = F.col("page_title"), F.length("page_title")
-    humans = present(events, "user_name").where(~F.col("user_is_bot"))
-    scored = humans.groupBy(F.window("event_time", window), "user_name").agg(
-        F.count("*").cast("int").alias("page_count"),
+    scored = human_pages(events).groupBy(F.window("event_time", window), "user_name").agg(
+        F.count("*").alias("page_count"),
         F.sort_array(F.collect_set("domain")).alias("domains"),
         F.coalesce(F.bool_or(title.rlike(pattern)), F.lit(False)).alias("suspicious"),
         F.coalesce(F.bool_or((length < min_len) | (length > max_len)), F.lit(False)).alias("odd_length"))
@@ -50,8 +49,12 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
         reasons.alias("reasons"))
 
 
+def human_pages(events: DataFrame) -> DataFrame:
+    return present(events, "user_name").where(~F.col("user_is_bot"))
+
+
 def spam_titles(events: DataFrame, alerts: DataFrame, window: str = "5 minutes",
-                part_size: int = TITLES_PER_PART, salts: int = SALTS) -> DataFrame:
+                part_size: int = TITLES_PER_PART, salts: int | None = None) -> DataFrame:
     """The titles behind each alert: window_start, user_name, part, titles.
 
     All titles come out, dealt over ceil(page_count / part_size) parts, so that one user's
@@ -59,7 +62,7 @@ def spam_titles(events: DataFrame, alerts: DataFrame, window: str = "5 minutes",
     tasks the titles of one window are joined in.
     """
     spread = [c for c in ("page_id", "page_title", "event_time") if c in events.columns]
-    created = present(events, "user_name", "page_title").where(~F.col("user_is_bot")).select(
+    created = present(human_pages(events), "page_title").select(
         F.window("event_time", window)["start"].alias("window_start"), "user_name", *spread)
     keyed = alerts.select("window_start", "user_name", _parts(part_size).alias("parts"))
     part = F.pmod(F.xxhash64(F.lit("part"), *spread), "parts").cast("int")
@@ -69,15 +72,14 @@ def spam_titles(events: DataFrame, alerts: DataFrame, window: str = "5 minutes",
 
 
 def spam_messages(alerts: DataFrame, titles: DataFrame, part_size: int = TITLES_PER_PART) -> DataFrame:
-    """Alert messages with titles. `part` is set only where an alert takes several rows."""
+    """Alert messages with titles: `part` of `parts`, a row each, whatever the size of an alert."""
     parts = _parts(part_size).cast("int")
     rows = alerts.withColumn("parts", parts).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return rows.join(titles, ["window_start", "user_name", "part"], "left").select(
         alert_time(F.col("window_start")),
         "user_name", "severity", "page_count", "domains", "reasons",
-        F.coalesce("titles", F.array().cast("array<string>")).alias("titles"),
-        F.when(F.col("parts") > 1, F.col("part")).alias("part"))
+        F.coalesce("titles", F.array().cast("array<string>")).alias("titles"), "part", "parts")
 
 
 def _parts(part_size: int):

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from pageflow.functions.durations import panes_per_window, seconds
 from pageflow.functions.ranking import in_rank_order, top_per_group
 from pageflow.functions.ratios import ratio
+from pageflow.functions.skew import salted_join
 from pageflow.functions.sliding import pane_start
 from pageflow.operators.alerts import alert_time
 from pageflow.operators.clean import present
@@ -18,62 +19,74 @@ def activity_spikes(events: DataFrame, window: str = "1 hour", slide: str = "5 m
                     min_baseline: float | None = None, exclude_namespaces=()) -> DataFrame:
     """Windows whose last slide has more than `threshold` times the mean of the other slides.
 
-    Events are counted per slide first; only those counts are copied into windows. The sample
-    is the slide's `samples` earliest titles; each task sends on no more than that many per
-    slide, so titles are sorted where they are read but hardly shuffled. threshold=None reports
-    every window.
+    Events are counted per slide first; only those counts are copied into windows. The sample is the slide's
+    `samples` earliest titles: once the spikes are known, the titles of their last slides alone are ranked, each task
+    sending on no more than that many per slide. threshold=None reports every window.
     """
-    titled = _titled(events, exclude_namespaces)
-    panes = titled.groupBy("domain", pane_start(slide).alias("pane")).agg(F.count("*").alias("pages"))
+    titled = placed_titles(events, slide, exclude_namespaces)
+    found = spikes_of(pane_counts(titled), window, slide, threshold, min_baseline)
+    sought = found.select("domain", newest_pane(slide).alias("pane"))
+    hits = salted_join(titled, sought, ["domain", "pane"], ["event_time", "page_title"])
+    return with_samples(found, first_titles(hits, samples), slide)
+
+
+def placed_titles(events: DataFrame, slide: str, exclude_namespaces=()) -> DataFrame:
+    """domain, pane (start of the slide), event_time and page_title of the pages that count."""
+    titled = present(events, "page_title", "domain", "event_time")
+    for namespace in exclude_namespaces:
+        titled = titled.where(~F.col("page_title").startswith(f"{namespace}:"))
+    return titled.select("domain", pane_start(slide).alias("pane"), "event_time", "page_title")
+
+
+def pane_counts(titled: DataFrame) -> DataFrame:
+    return titled.groupBy("domain", "pane").agg(F.count("*").alias("pages"))
+
+
+def first_titles(titled: DataFrame, samples: int) -> DataFrame:
+    """The `samples` earliest pages of each domain and pane, as an array of (event_time, page_title)."""
+    first = top_per_group(titled, ["domain", "pane"], ["event_time", "page_title"], samples)
+    return first.groupBy("domain", "pane").agg(in_rank_order(F.struct("event_time", "page_title")).alias("titles"))
+
+
+def merged_panes(panes: DataFrame, samples: int) -> DataFrame:
+    """Panes of several stretches of the input made into one each: counts added, the earliest titles kept."""
+    titles = F.slice(F.sort_array(F.flatten(F.collect_list("titles"))), 1, samples)
+    return panes.groupBy("domain", "pane").agg(F.sum("pages").alias("pages"), titles.alias("titles"))
+
+
+def covering(panes: DataFrame, window: str, slide: str) -> DataFrame:
+    """Each pane once for every window it lies in, with that window's start and the pane's place in it."""
+    width, step = seconds(window), seconds(slide)
+    copies = panes.select("*", F.explode(F.array(*[F.lit(o) for o in range(0, width, step)])).alias("offset"))
+    return copies.withColumn("window_start", F.timestamp_seconds(F.unix_seconds("pane") - F.col("offset")))
+
+
+def spikes_of(panes: DataFrame, window: str, slide: str, threshold: float | None, min_baseline: float | None,
+              among: DataFrame | None = None) -> DataFrame:
+    """The spikes that (domain, pane, pages) hold; with `among` only in those (domain, window_start)."""
     width, step = seconds(window), seconds(slide)
-    offsets = F.array(*[F.lit(o) for o in range(0, width, step)])
-    covering = panes.select("domain", "pane", "pages", F.explode(offsets).alias("offset"))
-    start = F.timestamp_seconds(F.unix_seconds("pane") - F.col("offset"))
+    copies = covering(panes.select("domain", "pane", "pages"), window, slide)
+    if among is not None:
+        copies = copies.join(among, ["domain", "window_start"], "left_semi")
     newest = F.col("offset") == width - step
-    windows = covering.groupBy("domain", start.alias("window_start")).agg(
-        F.sum("pages").alias("pages"),
-        F.sum(F.when(newest, F.col("pages")).otherwise(0)).alias("recent"))
+    windows = copies.groupBy("domain", "window_start").agg(
+        F.sum("pages").alias("pages"), F.sum(F.when(newest, F.col("pages")).otherwise(0)).alias("recent"))
     end = F.timestamp_seconds(F.unix_seconds("window_start") + width)
-    spikes = score_spikes(
-        windows.withColumn("window_end", end), panes_per_window(window, slide), threshold, min_baseline)
-
-    first = top_per_group(
-        titled.select("domain", pane_start(slide).alias("pane"), "event_time", "page_title"),
-        ["domain", "pane"], ["event_time", "page_title"], samples)
-    titles = first.groupBy("domain", "pane").agg(
-        in_rank_order(F.col("page_title")).alias("sample_pages"))
-    newest_pane = F.timestamp_seconds(F.unix_seconds("window_end") - step)
-    none = F.array().cast("array<string>")
-    return spikes.withColumn("pane", newest_pane).join(titles, ["domain", "pane"], "left").select(
-        *spikes.columns, F.coalesce("sample_pages", none).alias("sample_pages"))
-
-
-def spike_stream(events: DataFrame, window: str = "1 hour", slide: str = "5 minutes",
-                 threshold: float | None = 3.0, samples: int = 5, slots: int = 16,
-                 min_baseline: float | None = None, exclude_namespaces=()) -> DataFrame:
-    """`activity_spikes` over a stream with a watermark.
-
-    A window's state is two counts and a fixed number of titles: titles are hashed to `slots`
-    slots, each keeping its earliest, and the sample is the earliest of those. It always holds
-    the slide's first title; in a slide with few pages two titles may share a slot.
-    """
-    titled = _titled(events, exclude_namespaces).withColumn("window", F.window("event_time", window, slide))
-    recent = F.unix_seconds("event_time") >= F.unix_seconds("window.end") - seconds(slide)
-    page = F.struct("event_time", "page_title")
-    slot = F.pmod(F.xxhash64("page_title", "event_time"), F.lit(slots))
-    earliest = [f"earliest_{i}" for i in range(slots)]
-    windows = titled.groupBy("window", "domain").agg(
-        F.count("*").alias("pages"),
-        F.count_if(recent).alias("recent"),
-        *[F.min(F.when(recent & (slot == i), page)).alias(name) for i, name in enumerate(earliest)])
-    kept = F.slice(F.sort_array(F.array_compact(F.array(*earliest))), 1, samples)
-    rows = windows.select(
-        "domain", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "pages", "recent", F.transform(kept, lambda p: p["page_title"]).alias("sample_pages"))
-    return score_spikes(rows, panes_per_window(window, slide), threshold, min_baseline, "sample_pages")
-
-
-def score_spikes(windows: DataFrame, panes: int, threshold, min_baseline=None, *extra: str) -> DataFrame:
+    return score_spikes(windows.withColumn("window_end", end), panes_per_window(window, slide), threshold, min_baseline)
+
+
+def newest_pane(slide: str):
+    return F.timestamp_seconds(F.unix_seconds("window_end") - seconds(slide))
+
+
+def with_samples(found: DataFrame, titles: DataFrame, slide: str) -> DataFrame:
+    """The spikes with the titles of their last slide."""
+    sample = F.transform("titles", lambda t: t["page_title"])
+    return found.withColumn("pane", newest_pane(slide)).join(titles, ["domain", "pane"], "left").select(
+        *found.columns, F.coalesce(sample, F.array().cast("array<string>")).alias("sample_pages"))
+
+
+def score_spikes(windows: DataFrame, panes: int, threshold, min_baseline=None) -> DataFrame:
     """Mean of the earlier slides (1 if there were none or it is zero) and the ratio to it."""
     mean = ratio(F.col("pages") - F.col("recent"), F.lit(panes - 1))
     baseline = F.when(mean > 0, mean).otherwise(F.lit(1.0))
@@ -81,11 +94,10 @@ def score_spikes(windows: DataFrame, panes: int, threshold, min_baseline=None, *
         baseline = F.greatest(baseline, F.lit(float(min_baseline)))
     scored = windows.withColumn("baseline", baseline).select(
         "domain", "window_start", "window_end",
-        F.col("pages").cast("int").alias("pages_last_1hour"),
-        F.col("recent").cast("int").alias("pages_last_5min"),
+        F.col("pages").alias("pages_last_1hour"),
+        F.col("recent").alias("pages_last_5min"),
         F.col("baseline").alias("avg_pages_per_5min"),
-        ratio(F.col("recent"), F.col("baseline")).alias("spike_ratio"),
-        *extra)
+        ratio(F.col("recent"), F.col("baseline")).alias("spike_ratio"))
     return scored if threshold is None else scored.where(F.col("spike_ratio") > threshold)
 
 
@@ -93,10 +105,3 @@ def spike_alerts(spikes: DataFrame) -> DataFrame:
     return spikes.select(
         alert_time(F.col("window_end")), F.lit(ACTIVITY_SPIKE).alias("alert_type"), "domain",
         "pages_last_5min", "avg_pages_per_5min", "spike_ratio", "sample_pages")
-
-
-def _titled(events: DataFrame, exclude_namespaces) -> DataFrame:
-    titled = present(events, "page_title", "domain", "event_time")
-    for namespace in exclude_namespaces:
-        titled = titled.where(~F.col("page_title").startswith(f"{namespace}:"))
-    return titled

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 def latest(rows: DataFrame, keys: list, order: list) -> DataFrame:
     """One row per key, the one greatest in `order`; rows equal in that by their values.
 
-    The aggregate combines before the shuffle, so many versions of one key do not meet.
+    The aggregate combines before the shuffle, so many versions of one key do not meet, and each column is in it once.
     """
     values = [c for c in rows.columns if c not in keys]
     if not values:
         return rows.distinct()
-    newest = F.max_by(F.struct(*values), F.struct(*order, *[v for v in values if v not in order]))
+    newest = F.max(F.struct(*order, *[v for v in values if v not in order]))
     return rows.groupBy(*keys).agg(newest.alias("newest")).select(
         *[c if c in keys else f"newest.{c}" for c in rows.columns])
 

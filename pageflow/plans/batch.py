@@ -2,11 +2,13 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageflow.operators.editors import editor_patterns
+from pageflow.functions.durations import instant
+from pageflow.operators.editors import editor_parts, editor_patterns, merge_parts, patterns_of
 from pageflow.operators.reports import hour_bounds, hourly_report
 from pageflow.sources.files import read_archive
+from pageflow.streaming.sinks import read_rows, table_sink
 
 
 def hourly_report_job(spark: SparkSession, archive: str, as_of: str | datetime, hours: int = 6, k: int = 10) -> DataFrame:
@@ -19,6 +21,24 @@ def editor_patterns_job(spark: SparkSession, archive: str, min_pages: int = 5) -
     return editor_patterns(read_archive(spark, archive), min_pages)
 
 
+EDITOR_PARTS = "user_name string, domain string, pages bigint, timed bigint, first bigint, last bigint, hours int"
+
+
+def editor_parts_job(spark: SparkSession, archive: str, parts: str, since: str, until: str) -> None:
+    """Adds what profiles need of the pages since <= event_time < until to the table `parts`.
+
+    A run reads only the archive days of its stretch. Run again for the same stretch it replaces its own rows; stretches
+    of different runs must not overlap.
+    """
+    number = spark.range(1).select(F.unix_seconds(instant(since))).first()[0]
+    table_sink(parts)(editor_parts(read_archive(spark, archive, since, until)), number)
+
+
+def stored_editor_patterns(spark: SparkSession, parts: str, min_pages: int = 5) -> DataFrame:
+    """Profiles of all editors from the stored parts, without the history."""
+    return patterns_of(merge_parts(read_rows(spark, parts, EDITOR_PARTS)), min_pages)
+
+
 def run_job(result: DataFrame, sink, run_id: int) -> bool:
     """Hands a job's result to a sink; False if there is nothing to write."""
     result.persist()

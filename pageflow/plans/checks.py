@@ -4,13 +4,15 @@ The table is sparse (a few hundred events per day and domain at the smallest sca
 queries widen the windows; the operators' defaults are the production values.
 """
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
 from pageflow.operators import (
     alerts, bots, clean, domains, editors, reports, serving, spam, spikes, upsert, views)
 from pageflow.plans import batch
-from pageflow.schema import LANGUAGE_ACTIVITY, TABLE_KEYS
+from pageflow.schema import LANGUAGE_ACTIVITY, PAGES, TABLE_KEYS
 from pageflow.session import configure, scratch_dir
 from pageflow.sources.files import file_source, read_archive
 from pageflow.sources.samples import mixed_messages, page_creates, raw_messages
@@ -46,6 +48,16 @@ def creates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.parse_events(raw_messages(page_creates(events)))
 
 
+def creates_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events in three micro-batches in the order of time. Files are taken in the order they were written."""
+    path, events = scratch_dir(spark, "feed"), spark.read.parquet(f"{sf_dir}/events.parquet")
+    cuts = ["1970-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
+    for first, last in zip(cuts, cuts[1:]):
+        events.where((F.col("ts") >= first) & (F.col("ts") < last)).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    return clean.parse_events(raw_messages(page_creates(file_source(spark, path, events.schema, files_per_trigger=1))))
+
+
 def _last_time(events: DataFrame) -> str:
     return events.agg(F.max("event_time").cast("string")).first()[0]
 
@@ -57,9 +69,7 @@ def parse_events(spark, sf_dir):
 
 
 def clean_raw(spark, sf_dir):
-    kept = clean.clean_raw(mixed_messages(creates(spark, sf_dir)))
-    return kept.select(
-        F.get_json_object("value", "$.page_id").cast("bigint").alias("page_id"), "key", "timestamp")
+    return clean.clean_raw(mixed_messages(creates(spark, sf_dir)))
 
 
 def clean_rejects(spark, sf_dir):
@@ -88,6 +98,11 @@ def bot_alert_messages(spark, sf_dir):
     return alerts.to_alert_json(bots.high_bot_alerts(bot_activity(spark, sf_dir), threshold=20.0))
 
 
+def bot_spam_wide(spark, sf_dir):
+    """Windows of 240 slides."""
+    return bots.bot_spam(creates(spark, sf_dir), "10 days", "1 hour", 5, method="panes")
+
+
 def bot_spam(spark, sf_dir):
     return bots.bot_spam(creates(spark, sf_dir), "10 days", "1 day", 5)
 
@@ -98,8 +113,17 @@ def bot_spam_minutes(spark, sf_dir):
 
 # -- domains --------------------------------------------------------------------------------
 
+def _with_close(rows, exact, *keys):
+    """For the sketch's estimate of the authors, whether it is within 15 % (three standard errors) of their number."""
+    known = exact.select(*keys, F.col("unique_authors").alias("authors"))
+    close = F.abs(F.col("unique_authors") - F.col("authors")) * 100 <= F.col("authors") * 15
+    return rows.join(known, list(keys)).withColumn("close", close).drop("unique_authors", "authors")
+
+
 def domain_activity(spark, sf_dir):
-    return domains.domain_activity(creates(spark, sf_dir), "1 hour")
+    events = creates(spark, sf_dir)
+    return _with_close(domains.domain_activity(events, "1 hour"), domains.domain_activity(events, "1 hour", exact=True),
+                       "domain", "window_start")
 
 
 def domain_activity_exact(spark, sf_dir):
@@ -121,12 +145,8 @@ def domain_trend_joined(spark, sf_dir):
 
 
 def domain_activity_sketch(spark, sf_dir):
-    """The sketch's estimate of the authors, as whether it is within a quarter of their number."""
-    exact = domain_activity_exact(spark, sf_dir).select(
-        "domain", "window_start", F.col("unique_authors").alias("authors"))
-    rows = domains.domain_activity(creates(spark, sf_dir), "1 day").join(exact, ["domain", "window_start"])
-    close = F.abs(F.col("unique_authors") - F.col("authors")) * 4 <= F.col("authors")
-    return rows.withColumn("close", close).drop("unique_authors", "authors")
+    return _with_close(domains.domain_activity(creates(spark, sf_dir), "1 day"), domain_activity_exact(spark, sf_dir),
+                       "domain", "window_start")
 
 
 def domain_latest(spark, sf_dir):
@@ -146,7 +166,7 @@ def spam_alerts_rules(spark, sf_dir):
 def spam_alert_messages(spark, sf_dir):
     events = creates(spark, sf_dir)
     found = spam.spam_alerts(events, "1 day")
-    return spam.spam_messages(found, spam.spam_titles(events, found, "1 day")).drop("part")
+    return spam.spam_messages(found, spam.spam_titles(events, found, "1 day"))
 
 
 def spam_alert_titles(spark, sf_dir):
@@ -215,7 +235,11 @@ def pages_by_domain(spark, sf_dir):
 
 
 def q_hourly_report(spark, sf_dir):
-    rows = serving.get_hourly_report(hourly_report_history(spark, sf_dir), DOMAIN)
+    return _listed(serving.get_hourly_report(hourly_report_history(spark, sf_dir), DOMAIN))
+
+
+def _listed(rows):
+    """The authors' records as texts."""
     return rows.withColumn("top_authors", F.transform("top_authors", lambda a: F.concat_ws(
         ":", a["name"], a["pages"].cast("string"), a["is_bot"].cast("string"))))
 
@@ -263,22 +287,21 @@ def upsert_batch_wins(spark, sf_dir):
 # -- streams --------------------------------------------------------------------------------
 
 def stream_ingest(spark, sf_dir):
-    """The routing keys and page ids of the messages kept."""
+    """The messages kept with their routing keys, and the rejected ones without."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = page_creates(file_source(spark, f"{sf_dir}/{{events.parquet}}", schema))
-    path = scratch_dir(spark, "kept")
+    path, rejects = scratch_dir(spark, "kept"), scratch_dir(spark, "rejects")
     jobs.start_ingest(
-        mixed_messages(events), sinks.table_sink(path), _ignore, scratch_dir(spark, "checkpoint"), **NOW
+        mixed_messages(events), sinks.table_sink(path), sinks.table_sink(rejects), scratch_dir(spark, "checkpoint"), **NOW
     ).awaitTermination()
-    return spark.read.parquet(path).select(
-        F.get_json_object("value", "$.page_id").cast("bigint").alias("page_id"), "key")
+    return spark.read.parquet(path).select("value", "key").union(
+        spark.read.parquet(rejects).select("value", F.lit(None).cast("string")))
 
 
 def _archived(spark, sf_dir):
     path = scratch_dir(spark, "archive")
     query = jobs.start_archive(
-        creates_stream(spark, sf_dir).drop("page_id", "user_id"), path, scratch_dir(spark, "checkpoint"),
-        files_per_day=1, **NOW)
+        creates_stream(spark, sf_dir).drop("page_id", "user_id"), path, scratch_dir(spark, "checkpoint"), **NOW)
     query.awaitTermination()
     return path
 
@@ -301,6 +324,48 @@ def archive_editor_patterns(spark, sf_dir):
     return batch.editor_patterns_job(spark, _archived(spark, sf_dir))
 
 
+def editor_patterns_incremental(spark, sf_dir):
+    """Profiles from the parts that two runs stored, each of which read only its own days."""
+    path, parts = _archived(spark, sf_dir), scratch_dir(spark, "parts")
+    for since, until in (("2023-01-01 00:00:00", FROM), (FROM, "2025-01-01 00:00:00")):
+        batch.editor_parts_job(spark, path, parts, since, until)
+    return batch.stored_editor_patterns(spark, parts)
+
+
+# -- reads of tables that jobs wrote --------------------------------------------------------
+
+def _stored_pages(spark, sf_dir, name, key, value):
+    path = scratch_dir(spark, "table")
+    jobs.start_views(creates_stream(spark, sf_dir), {name: sinks.table_sink(path, bucket_of=key)},
+                     scratch_dir(spark, "checkpoint"), **NOW).awaitTermination()
+    return sinks.read_table(spark, path, PAGES[name], TABLE_KEYS[name], of=(key, value))
+
+
+def stored_user_pages(spark, sf_dir):
+    return serving.pages_of_user(_stored_pages(spark, sf_dir, "pages_by_user", "user_id", USER), USER)
+
+
+def stored_page(spark, sf_dir):
+    return serving.page(_stored_pages(spark, sf_dir, "page_details", "page_id", PAGE), PAGE)
+
+
+def stored_domain_pages(spark, sf_dir):
+    return serving.pages_of_domain(_stored_pages(spark, sf_dir, "pages_by_domain", "domain", DOMAIN), DOMAIN)
+
+
+def stored_hourly_report(spark, sf_dir):
+    path = scratch_dir(spark, "table")
+    batch.run_job(reports.hourly_report(creates(spark, sf_dir)), sinks.table_sink(path, bucket_of="domain"), 0)
+    return _listed(serving.get_hourly_report(sinks.read_table(
+        spark, path, REPORT, TABLE_KEYS["hourly_activity_report"], of=("domain", DOMAIN)), DOMAIN))
+
+
+def stored_editor_patterns(spark, sf_dir):
+    path = scratch_dir(spark, "table")
+    batch.run_job(editors.editor_patterns(creates(spark, sf_dir)), sinks.table_sink(path, bucket_of="user_name"), 0)
+    return serving.get_editor_patterns(sinks.read_table(spark, path, EDITORS, TABLE_KEYS["editor_patterns"]), 50)
+
+
 def _table_of(spark, start, schema, keys, **read):
     """Runs start(sink, checkpoint) to its end and reads the keyed table it wrote."""
     path = scratch_dir(spark, "table")
@@ -309,20 +374,24 @@ def _table_of(spark, start, schema, keys, **read):
 
 
 METRICS = (
-    "domain string, window_start timestamp, window_end timestamp, human_count int, bot_count int, "
+    "domain string, window_start timestamp, window_end timestamp, human_count bigint, bot_count bigint, "
     "bot_percentage double, top_humans array<string>, top_bots array<string>")
 SPAM = "window_start timestamp, window_end timestamp, domain string, bot_name string, pages_created bigint"
 HUMAN_SPAM = (
-    "window_start timestamp, window_end timestamp, user_name string, severity string, page_count int, "
+    "window_start timestamp, window_end timestamp, user_name string, severity string, page_count bigint, "
     "domains array<string>, reasons array<string>")
 SPIKES = (
-    "domain string, window_start timestamp, window_end timestamp, pages_last_1hour int, "
-    "pages_last_5min int, avg_pages_per_5min double, spike_ratio double")
-PAGES = {
-    "pages_by_user": "user_id string, created_at timestamp, page_id string, page_title string, domain string",
-    "page_details": "page_id string, page_title string, domain string, user_name string, created_at timestamp",
-    "pages_by_domain": "domain string, created_at timestamp, page_id string, page_title string, user_name string",
-}
+    "domain string, window_start timestamp, window_end timestamp, pages_last_1hour bigint, "
+    "pages_last_5min bigint, avg_pages_per_5min double, spike_ratio double, sample_pages array<string>")
+MESSAGES = (
+    "alert_time string, user_name string, severity string, page_count bigint, domains array<string>, "
+    "reasons array<string>, titles array<string>, part int, parts int")
+REPORT = (
+    "domain string, time_start timestamp, time_end timestamp, pages_created bigint, unique_authors bigint, "
+    "bot_percent double, top_authors string")
+EDITORS = (
+    "user_name string, avg_gap_seconds double, active_hours array<int>, domains_count bigint, "
+    "specialization string, total_pages bigint")
 
 
 def _ignore(rows, batch_id):
@@ -342,7 +411,7 @@ def stream_high_bot_alerts(spark, sf_dir):
     return _table_of(
         spark, lambda sink, checkpoint: jobs.start_bot_activity(
             events, _ignore, sink, checkpoint, window="1 hour", threshold=20.0, **NOW),
-        "alert_time string, alert_type string, domain string, bot_percentage double, bot_count int, human_count int",
+        "alert_time string, alert_type string, domain string, bot_percentage double, bot_count bigint, human_count bigint",
         ["alert_type", "domain", "alert_time"])
 
 
@@ -363,34 +432,42 @@ def _stream_domains(spark, sf_dir):
 
 
 def stream_domain_trend(spark, sf_dir):
-    """Without the authors, whose number is a sketch's estimate."""
     activity, _ = _stream_domains(spark, sf_dir)
-    return sinks.read_table(
-        spark, activity, LANGUAGE_ACTIVITY, TABLE_KEYS["language_activity"], "window_start").drop("unique_authors")
+    rows = sinks.read_table(spark, activity, LANGUAGE_ACTIVITY, TABLE_KEYS["language_activity"], "window_start")
+    return _with_close(rows, domain_activity_exact(spark, sf_dir), "domain", "window_start")
 
 
 def stream_domain_latest(spark, sf_dir):
     _, stats = _stream_domains(spark, sf_dir)
-    return sinks.read_table(
+    rows = sinks.read_table(
         spark, stats,
-        "domain string, pages_count int, unique_authors int, avg_title_length double, last_updated timestamp",
-        TABLE_KEYS["domain_stats"], order=["last_updated"]).drop("unique_authors")
+        "domain string, pages_count bigint, unique_authors bigint, avg_title_length double, last_updated timestamp",
+        TABLE_KEYS["domain_stats"], order=["last_updated"])
+    return _with_close(rows, domain_latest(spark, sf_dir), "domain")
 
 
 def stream_spam_alerts(spark, sf_dir):
-    events = creates_stream(spark, sf_dir)
+    events = creates_in_batches(spark, sf_dir)
     return _table_of(
-        spark, lambda sink, checkpoint: jobs.start_spam_alerts(events, sink, checkpoint, "1 day", **NOW),
+        spark, lambda sink, checkpoint: jobs.start_spam_alerts(
+            events, sink, scratch_dir(spark, "pages"), checkpoint, "1 day", **NOW),
         HUMAN_SPAM, ["window_start", "user_name"])
 
 
+def stream_spam_messages(spark, sf_dir):
+    """Alerts with all their titles, which the job keeps itself."""
+    events = creates_in_batches(spark, sf_dir)
+    return _table_of(
+        spark, lambda sink, checkpoint: jobs.start_spam_alerts(
+            events, _ignore, scratch_dir(spark, "pages"), checkpoint, "1 day", message_sink=sink, **NOW),
+        MESSAGES, ["alert_time", "user_name", "part"])
+
+
 def stream_spikes(spark, sf_dir):
-    """Without the sample, which a stream draws from bounded state."""
-    events = creates_stream(spark, sf_dir)
+    events = creates_in_batches(spark, sf_dir)
     return _table_of(
         spark, lambda sink, checkpoint: jobs.start_activity_spikes(
-            events, lambda rows, batch_id: sink(rows.drop("sample_pages"), batch_id), checkpoint,
-            "12 hours", "1 hour", **NOW),
+            events, sink, scratch_dir(spark, "panes"), checkpoint, "12 hours", "1 hour", **NOW),
         SPIKES, ["domain", "window_start"])
 
 
@@ -411,7 +488,7 @@ stream_pages_by_domain = _stream_view("pages_by_domain")
 QUERIES = [
     "parse_events", "clean_raw", "clean_rejects",
     "bot_activity", "bot_activity_minute", "high_bot_alerts", "high_bot_alerts_min_pages",
-    "bot_alert_messages", "bot_spam", "bot_spam_minutes",
+    "bot_alert_messages", "bot_spam", "bot_spam_minutes", "bot_spam_wide",
     "domain_activity", "domain_activity_exact", "domain_trend", "domain_trend_minute",
     "domain_trend_joined", "domain_activity_sketch", "domain_latest",
     "spam_alerts", "spam_alerts_rules", "spam_alert_messages", "spam_alert_titles",
@@ -422,8 +499,10 @@ QUERIES = [
     "q_hourly_report", "q_editor_patterns", "q_list_domains", "q_user_pages", "q_page",
     "q_domain_pages", "q_domain_pages_between", "upsert_latest", "upsert_batch_wins",
     "stream_ingest", "archive_roundtrip", "archive_between", "archive_hourly_report", "archive_editor_patterns",
+    "editor_patterns_incremental", "stored_user_pages", "stored_page", "stored_domain_pages", "stored_hourly_report",
+    "stored_editor_patterns",
     "stream_bot_activity", "stream_high_bot_alerts", "stream_bot_spam", "stream_domain_trend",
-    "stream_domain_latest", "stream_spam_alerts", "stream_spikes",
+    "stream_domain_latest", "stream_spam_alerts", "stream_spam_messages", "stream_spikes",
     "stream_pages_by_user", "stream_page_details", "stream_pages_by_domain",
 ]
 

@@ -45,8 +45,8 @@ ranked AS (
   FROM users),
 metrics AS (
   SELECT domain, w AS window_start, w + INTERVAL 1 {unit} AS window_end,
-    CAST(coalesce(sum(n) FILTER (WHERE NOT user_is_bot), 0) AS INT) AS human_count,
-    CAST(coalesce(sum(n) FILTER (WHERE user_is_bot), 0) AS INT) AS bot_count,
+    CAST(coalesce(sum(n) FILTER (WHERE NOT user_is_bot), 0) AS BIGINT) AS human_count,
+    CAST(coalesce(sum(n) FILTER (WHERE user_is_bot), 0) AS BIGINT) AS bot_count,
     {percent("coalesce(sum(n) FILTER (WHERE user_is_bot), 0)", "sum(n)")} AS bot_percentage,
     string_agg(user_name, '|' ORDER BY rn) FILTER (WHERE rn <= 5 AND NOT user_is_bot) AS top_humans,
     string_agg(user_name, '|' ORDER BY rn) FILTER (WHERE rn <= 5 AND user_is_bot) AS top_bots
@@ -83,8 +83,8 @@ def activity(unit: str) -> str:
 activity AS (
   SELECT domain, date_trunc('{unit}', ts) AS window_start,
     date_trunc('{unit}', ts) + INTERVAL 1 {unit} AS window_end,
-    CAST(count(*) AS INT) AS pages_count,
-    CAST(count(DISTINCT user_name) AS INT) AS unique_authors,
+    CAST(count(*) AS BIGINT) AS pages_count,
+    CAST(count(DISTINCT user_name) AS BIGINT) AS unique_authors,
     {half_up("sum(length(page_title))", "count(*)")} AS avg_title_length
   FROM ev GROUP BY ALL)"""
 
@@ -110,7 +110,7 @@ def spam(bucket: str, length: str, velocity: int) -> str:
 spam AS (
   SELECT *, page_count > {velocity} AS fast, wikis > 1 AS wide FROM (
     SELECT {bucket} AS window_start, {bucket} + INTERVAL {length} AS window_end, user_name,
-      CAST(count(*) AS INT) AS page_count,
+      CAST(count(*) AS BIGINT) AS page_count,
       count(DISTINCT domain) AS wikis,
       string_agg(DISTINCT domain, '|' ORDER BY domain) AS domains,
       string_agg(page_title, '|' ORDER BY page_title) AS titles,
@@ -151,8 +151,8 @@ firsts AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY domain, pane ORDER BY ts, page_title) AS rn FROM paned)
   WHERE rn <= 5 GROUP BY ALL),
 spikes AS (
-  SELECT s.domain, window_start, window_end, CAST(pages AS INT) AS pages_last_1hour,
-    CAST(recent AS INT) AS pages_last_5min, cents / CAST(100 AS DOUBLE) AS avg_pages_per_5min,
+  SELECT s.domain, window_start, window_end, CAST(pages AS BIGINT) AS pages_last_1hour,
+    CAST(recent AS BIGINT) AS pages_last_5min, cents / CAST(100 AS DOUBLE) AS avg_pages_per_5min,
     {half_up("100 * recent", "cents")} AS spike_ratio, coalesce(f.sample_pages, '') AS sample_pages
   FROM scored s LEFT JOIN firsts f ON s.domain = f.domain AND s.window_end - INTERVAL {step} = f.pane)"""
 
@@ -171,7 +171,7 @@ ranked AS (
 REPORT = f"""
 report AS (
   SELECT domain, time_start, time_start + INTERVAL 1 HOUR AS time_end,
-    CAST(sum(pages) AS INT) AS pages_created, CAST(count(user_name) AS INT) AS unique_authors,
+    CAST(sum(pages) AS BIGINT) AS pages_created, CAST(count(user_name) AS BIGINT) AS unique_authors,
     {percent("coalesce(sum(pages) FILTER (WHERE user_is_bot), 0)", "sum(pages)")} AS bot_percent,
     '[' || string_agg(
       '{{"name":"' || user_name || '","pages":' || pages || ',"is_bot":' || user_is_bot || '}}', ',' ORDER BY rn
@@ -198,7 +198,7 @@ favourite AS (
 profile AS (
   SELECT user_name, coalesce({half_up("sum(gap_seconds)", "count(gap_seconds)")}, 0.0::DOUBLE) AS avg_gap_seconds,
     array_to_string(list_sort(list(DISTINCT hour(event_time))), '|') AS active_hours,
-    CAST(count(DISTINCT domain) AS INT) AS domains_count, CAST(count(*) AS INT) AS total_pages
+    CAST(count(DISTINCT domain) AS BIGINT) AS domains_count, CAST(count(*) AS BIGINT) AS total_pages
   FROM gaps GROUP BY user_name),
 patterns AS (
   SELECT user_name, avg_gap_seconds, active_hours, domains_count, specialization, total_pages
@@ -212,14 +212,29 @@ DETAILS = "SELECT page_id, page_title, domain, user_name, ts AS created_at FROM
 BY_DOMAIN = "SELECT domain, ts AS created_at, page_id, page_title, user_name FROM ev"
 NEWEST = "ORDER BY created_at DESC, page_id LIMIT"
 
-# What became of each event in the mixed messages, in the order the cases are tried.
+# What became of each event in the mixed messages, in the order the cases are tried: the text, and the routing key, NULL
+# for a rejected message.
 MIXED = """
 mixed AS (
-  SELECT event_id, domain, ts,
+  SELECT ts,
     CASE WHEN event_id % 31 = 0 THEN '{"page_id": ' || event_id
          WHEN event_id % 53 = 0 THEN '{"meta":null,"page_id":' || event_id || '}'
-         WHEN event_id % 59 = 0 THEN '[' || event_id || ']' END AS broken,
-    CASE WHEN event_id % 23 = 0 THEN 'unknown' WHEN event_id % 29 = 0 THEN 'canary' ELSE domain END AS key
+         WHEN event_id % 59 = 0 THEN '[' || event_id || ']'
+         WHEN event_id % 23 = 0 THEN '{"meta":{},"page_id":' || event_id || '}'
+         WHEN event_id % 29 = 0 THEN '{"meta":{"domain":"canary"},"page_id":' || event_id || '}'
+         WHEN event_id % 61 = 0 THEN '{''meta'':{''domain'':''x''},''page_id'':' || event_id || '}'
+         WHEN event_id % 67 = 0 THEN '{"meta":{"domain":"x"},"page_id":' || event_id || '} {"a":1}'
+         WHEN event_id % 71 = 0 THEN '{"meta":{"domain":"x"},"page_id":' || event_id || '} junk }'
+         WHEN event_id % 73 = 0 THEN '{"meta":{"domain":"x","domain":"y"},"page_id":' || event_id || '}'
+         WHEN event_id % 79 = 0 THEN '{"meta":{"domain":"x"},"page_id":' || event_id || '}] [1'
+         WHEN event_id % 83 = 0 THEN '{"meta":{"domain":"x"}},{"page_id":' || event_id || '}'
+         ELSE '{"page_id":' || event_id || ',"page_title":"' || page_title || '","meta":{"domain":"' || domain
+           || '"},"performer":{"user_id":' || user_id || ',"user_text":"' || user_name || '","user_is_bot":'
+           || user_is_bot || '}}' END AS value,
+    CASE WHEN event_id % 31 = 0 OR event_id % 53 = 0 OR event_id % 59 = 0 THEN NULL
+         WHEN event_id % 23 = 0 THEN 'unknown' WHEN event_id % 29 = 0 THEN 'canary'
+         WHEN event_id % 61 = 0 OR event_id % 67 = 0 OR event_id % 71 = 0 THEN NULL WHEN event_id % 73 = 0 THEN 'y'
+         WHEN event_id % 79 = 0 OR event_id % 83 = 0 THEN NULL ELSE domain END AS key
   FROM ev)"""
 
 CLOSED = "(SELECT max(ts) - INTERVAL 1 MINUTE FROM events)"
@@ -233,7 +248,7 @@ def statements() -> dict:
     message = (
         """SELECT '{"alert_time":"' || alert_time || '","alert_type":"' || alert_type || '","domain":"' || domain """
         """|| '","bot_percentage":' || bot_percentage || ',"bot_count":' || bot_count || ',"human_count":' """
-        f"""|| human_count || '}}' AS value FROM ({HIGH_BOT} WHERE bot_percentage > 20)""")
+        f"""|| human_count || '}}' AS value, 'high_bot_activity|' || domain || '|' || alert_time AS key FROM ({HIGH_BOT} WHERE bot_percentage > 20)""")
     day_spam = spam("date_trunc('day', ts)", "1 DAY", 10)
     twelve_hours, one_hour = spike_windows(12, "1 HOUR"), spike_windows(12, "5 MINUTE")
     alerts = "SELECT * EXCLUDE (titles) FROM alerts"
@@ -244,23 +259,35 @@ def statements() -> dict:
     bot_figures = activity("day").replace("activity AS", "bot_activity AS").replace(
         "FROM ev", "FROM ev WHERE user_is_bot")
     newest = "EXCLUDE (unique_authors)"
+    user_pages = with_events(f"{BY_USER} WHERE user_id = '7' {NEWEST} 100")
+    one_page = with_events(f"{DETAILS} WHERE page_id = '42'")
+    domain_pages = with_events(f"{BY_DOMAIN} WHERE domain = 'click' {NEWEST} 100")
+    newest_hours = with_events(
+        "SELECT strftime(time_start, '%H:%M') AS time_start, strftime(time_end, '%H:%M') AS time_end, "
+        "domain, pages_created, unique_authors, bot_percent, listed AS top_authors FROM ("
+        "SELECT * FROM report WHERE domain = 'click' ORDER BY time_start DESC LIMIT 6)", AUTHORS, REPORT)
+    busy = with_events("SELECT * FROM patterns WHERE total_pages >= 50", EDITORS)
+    messages = with_events(
+        "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_time, "
+        "* EXCLUDE (window_start, window_end), 0 AS part, 1 AS parts FROM alerts", day_spam)
     return {
         "parse_events": with_events(
             "SELECT page_id, page_title, domain, user_name, user_id, user_is_bot, ts AS event_time FROM ev"),
         "clean_raw": with_events(
-            "SELECT event_id AS page_id, key, ts AS timestamp FROM mixed WHERE broken IS NULL AND key <> 'canary'",
-            MIXED),
+            "SELECT value, key, ts AS timestamp FROM mixed WHERE key <> 'canary'", MIXED),
         "clean_rejects": with_events(
-            "SELECT broken AS value, ts AS timestamp FROM mixed WHERE broken IS NOT NULL", MIXED),
+            "SELECT value, ts AS timestamp FROM mixed WHERE key IS NULL", MIXED),
         "bot_activity": with_events("SELECT * FROM metrics", hour),
         "bot_activity_minute": with_events("SELECT * FROM metrics", minute),
         "high_bot_alerts": with_events(f"{HIGH_BOT} WHERE bot_percentage > 80", minute),
         "high_bot_alerts_min_pages": with_events(high_min_pages, hour),
         "bot_alert_messages": with_events(message, hour),
         "bot_spam": spam_ten_days,
+        "bot_spam_wide": with_events("SELECT * FROM spam WHERE pages_created > 5", sliding(240, "hour"), BOT_SPAM),
         "bot_spam_minutes": with_events(
             f"SELECT {ALERT_TIME} AS alert_time, 'bot_spam' AS alert_type, domain, bot_name, pages_created "
             "FROM spam WHERE pages_created > 1", sliding(10, "minute"), BOT_SPAM),
+        "domain_activity": with_events("SELECT * EXCLUDE (unique_authors), true AS close FROM activity", activity("hour")),
         "domain_activity_exact": with_events("SELECT * FROM activity", day),
         "domain_trend": with_events(trend("day"), day),
         "domain_trend_minute": with_events(trend("minute"), activity("minute")),
@@ -270,9 +297,8 @@ def statements() -> dict:
         "domain_latest": with_events(LATEST, day),
         "spam_alerts": with_events(alerts, day_spam),
         "spam_alerts_rules": with_events(alerts, spam(TEN_DAYS, "10 DAY", 20)),
-        "spam_alert_messages": with_events(
-            "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_time, "
-            "* EXCLUDE (window_start, window_end) FROM alerts", day_spam),
+        "spam_alert_messages": messages,
+        "stream_spam_messages": messages,
         "spam_alert_titles": with_events(
             f"SELECT a.window_start, a.user_name, e.page_title FROM alerts a JOIN ev e ON a.user_name = e.user_name "
             f"AND a.window_start = {TEN_DAYS.replace('ts,', 'e.ts,')}", spam(TEN_DAYS, "10 DAY", 20)),
@@ -290,15 +316,18 @@ def statements() -> dict:
         "pages_by_user": with_events(BY_USER),
         "page_details": with_events(DETAILS),
         "pages_by_domain": with_events(BY_DOMAIN),
-        "q_hourly_report": with_events(
-            "SELECT strftime(time_start, '%H:%M') AS time_start, strftime(time_end, '%H:%M') AS time_end, "
-            "domain, pages_created, unique_authors, bot_percent, listed AS top_authors FROM ("
-            "SELECT * FROM report WHERE domain = 'click' ORDER BY time_start DESC LIMIT 6)", AUTHORS, REPORT),
-        "q_editor_patterns": with_events("SELECT * FROM patterns WHERE total_pages >= 50", EDITORS),
+        "q_hourly_report": newest_hours,
+        "stored_hourly_report": newest_hours,
+        "q_editor_patterns": busy,
+        "stored_editor_patterns": busy,
+        "editor_patterns_incremental": patterns,
         "q_list_domains": with_events(LATEST, day),
-        "q_user_pages": with_events(f"{BY_USER} WHERE user_id = '7' {NEWEST} 100"),
-        "q_page": with_events(f"{DETAILS} WHERE page_id = '42'"),
-        "q_domain_pages": with_events(f"{BY_DOMAIN} WHERE domain = 'click' {NEWEST} 100"),
+        "q_user_pages": user_pages,
+        "stored_user_pages": user_pages,
+        "q_page": one_page,
+        "stored_page": one_page,
+        "q_domain_pages": domain_pages,
+        "stored_domain_pages": domain_pages,
         "q_domain_pages_between": with_events(
             f"{BY_DOMAIN} WHERE domain = 'click' AND {BETWEEN.format('<=')} {NEWEST} 50"),
         "upsert_latest": with_events(
@@ -310,7 +339,7 @@ def statements() -> dict:
             "WHERE NOT EXISTS (SELECT 1 FROM bot_activity b "
             "WHERE a.domain = b.domain AND a.window_start = b.window_start)", day, bot_figures),
         "stream_ingest": with_events(
-            "SELECT event_id AS page_id, key FROM mixed WHERE broken IS NULL AND key <> 'canary'", MIXED),
+            "SELECT value, key FROM mixed WHERE key IS DISTINCT FROM 'canary'", MIXED),
         "archive_roundtrip": with_events(
             f"SELECT {ARCHIVED}, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, "
             "CAST(day(ts) AS INT) AS day FROM ev"),
@@ -321,11 +350,10 @@ def statements() -> dict:
         "stream_high_bot_alerts": with_events(
             f"{HIGH_BOT} WHERE bot_percentage > 20 AND window_end <= {CLOSED}", hour),
         "stream_bot_spam": spam_ten_days,
-        "stream_domain_trend": with_events(trend("day", newest), day),
-        "stream_domain_latest": with_events(f"SELECT * {newest} FROM ({LATEST})", day),
+        "stream_domain_trend": with_events(trend("day", f"{newest}, true AS close"), day),
+        "stream_domain_latest": with_events(f"SELECT * {newest}, true AS close FROM ({LATEST})", day),
         "stream_spam_alerts": with_events(alerts, day_spam),
-        "stream_spikes": with_events(
-            "SELECT * EXCLUDE (sample_pages) FROM spikes WHERE spike_ratio > 3", twelve_hours),
+        "stream_spikes": with_events("SELECT * FROM spikes WHERE spike_ratio > 3", twelve_hours),
         "stream_pages_by_user": with_events(BY_USER),
         "stream_page_details": with_events(DETAILS),
         "stream_pages_by_domain": with_events(BY_DOMAIN),

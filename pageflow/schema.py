@@ -61,7 +61,20 @@ TABLE_KEYS = {
     "pages_by_domain": ["domain", "created_at", "page_id"],
 }
 
+# What the spam and spike jobs keep of their input.
+HUMAN_PAGES = (
+    "page_id string, page_title string, domain string, user_name string, user_is_bot boolean, "
+    "event_time timestamp, window_start timestamp")
+PANES = "domain string, pane timestamp, pages bigint, titles array<struct<event_time:timestamp,page_title:string>>"
+
+# The columns of the page listings.
+PAGES = {
+    "pages_by_user": "user_id string, created_at timestamp, page_id string, page_title string, domain string",
+    "page_details": "page_id string, page_title string, domain string, user_name string, created_at timestamp",
+    "pages_by_domain": "domain string, created_at timestamp, page_id string, page_title string, user_name string",
+}
+
 LANGUAGE_ACTIVITY = (
-    "domain string, window_start timestamp, window_end timestamp, pages_count int, "
-    "unique_authors int, avg_title_length double, trend_percent double"
+    "domain string, window_start timestamp, window_end timestamp, pages_count bigint, "
+    "unique_authors bigint, avg_title_length double, trend_percent double"
 )

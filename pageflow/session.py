@@ -1,21 +1,19 @@
 """Session settings the operators expect, and the folder for written intermediates."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Windows, hours and days are cut in UTC. Adaptive execution sizes the shuffles and picks
 # broadcast joins, and hash joins where every partition is small, from measured sizes. State
-# lives in RocksDB, off the JVM heap. The object-hash threshold keeps set and list aggregates
-# from sorting after 128 groups.
+# lives in RocksDB, off the JVM heap. Of a JSON object's equal names the last counts.
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -29,11 +27,6 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the cluster names; a local folder only in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="pageflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A new path in the shared folder the cluster names, or else in the session's warehouse, which is shared as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -55,5 +55,11 @@ def mixed_messages(creates: DataFrame) -> DataFrame:
         .when(number % 59 == 0, instead("[%d]"))
         .when(number % 23 == 0, instead('{"meta":{},"page_id":%d}'))
         .when(number % 29 == 0, instead('{"meta":{"domain":"canary"},"page_id":%d}'))
+        .when(number % 61 == 0, instead("{'meta':{'domain':'x'},'page_id':%d}"))
+        .when(number % 67 == 0, instead('{"meta":{"domain":"x"},"page_id":%d} {"a":1}'))
+        .when(number % 71 == 0, instead('{"meta":{"domain":"x"},"page_id":%d} junk }'))
+        .when(number % 73 == 0, instead('{"meta":{"domain":"x","domain":"y"},"page_id":%d}'))
+        .when(number % 79 == 0, instead('{"meta":{"domain":"x"},"page_id":%d}] [1'))
+        .when(number % 83 == 0, instead('{"meta":{"domain":"x"}},{"page_id":%d}'))
         .otherwise(message_body()))
     return creates.select(value.alias("value"), F.col("event_time").alias("timestamp"))

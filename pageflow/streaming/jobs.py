@@ -9,15 +9,20 @@ from pyspark.sql.streaming import StreamingQuery
 from pageflow.functions.durations import seconds
 from pageflow.operators import bots, clean, domains, spam, spikes, views
 from pageflow.operators.upsert import latest
-from pageflow.schema import LANGUAGE_ACTIVITY, TABLE_KEYS
-from pageflow.streaming.sinks import archive_writer, read_table, table_sink
+from pageflow.schema import HUMAN_PAGES, LANGUAGE_ACTIVITY, PANES, TABLE_KEYS
+from pageflow.streaming.sinks import (
+    archive_sink, read_rows, read_table, read_windows, table_sink, watermark, window_sink)
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
 
-def start_each_batch(rows: DataFrame, handle, checkpoint: str, mode: str, trigger: dict) -> StreamingQuery:
-    """Calls handle(rows, batch_id) for each micro-batch that has rows, which are cached for it."""
+def start_each_batch(rows: DataFrame, handle, checkpoint: str, mode: str, trigger: dict,
+                     once: bool = False) -> StreamingQuery:
+    """Calls handle(rows, batch_id) for each micro-batch that has rows, which are cached for it unless read `once`."""
     def process(batch: DataFrame, batch_id: int) -> None:
+        if once:
+            handle(batch, batch_id)
+            return
         batch.persist()
         try:
             if not batch.isEmpty():
@@ -44,11 +49,12 @@ def start_ingest(raw: DataFrame, sink, reject_sink, checkpoint: str, **trigger)
 
 def start_archive(events: DataFrame, path: str, checkpoint: str, files_per_day: int | None = None,
                   **trigger) -> StreamingQuery:
-    return archive_writer(events, path, checkpoint, files_per_day, **trigger).start()
+    return start_each_batch(events, archive_sink(path, files_per_day), checkpoint, "append", trigger, once=True)
 
 
 def start_bot_activity(events: DataFrame, metrics_sink, alert_sink, checkpoint: str, window: str = "1 minute",
-                       k: int = 5, threshold: float = 80.0, delay: str = "1 minute", **trigger) -> StreamingQuery:
+                       k: int = 5, threshold: float = 80.0, delay: str = "1 minute",
+                       min_pages: int | None = None, **trigger) -> StreamingQuery:
     """Metrics and high-bot alerts of each window, once it is closed.
 
     Users are counted in the stream; their ranking runs on the counts of the closed windows.
@@ -57,7 +63,7 @@ def start_bot_activity(events: DataFrame, metrics_sink, alert_sink, checkpoint:
         metrics = bots.bot_metrics(counts, k).persist()
         try:
             metrics_sink(metrics, batch_id)
-            alert_sink(bots.high_bot_alerts(metrics, threshold), batch_id)
+            alert_sink(bots.high_bot_alerts(metrics, threshold, min_pages), batch_id)
         finally:
             metrics.unpersist()
 
@@ -108,18 +114,83 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
     return start_each_batch(windows, publish, checkpoint, "update", trigger)
 
 
-def start_spam_alerts(events: DataFrame, sink, checkpoint: str, window: str = "5 minutes",
-                      delay: str = "2 minutes", rules: dict | None = None, **trigger) -> StreamingQuery:
-    """Spam alerts as users' windows fill; `rules` are keywords of `spam_alerts`."""
-    alerts = spam.spam_alerts(events.withWatermark("event_time", delay), window, **(rules or {}))
-    return start_each_batch(alerts, sink, checkpoint, "update", trigger)
+def start_spam_alerts(events: DataFrame, sink, store: str, checkpoint: str, window: str = "5 minutes",
+                      delay: str = "2 minutes", rules: dict | None = None, message_sink=None,
+                      part_size: int = spam.TITLES_PER_PART, late_sink=None, **trigger) -> StreamingQuery:
+    """Spam alerts as users' windows fill; `rules` are keywords of `spam_alerts`.
 
+    A micro-batch first puts its human pages into the folder `store`, by window. Then it takes all pages of the
+    users and windows it touched from there, scores them as in batch, and gives `message_sink` the alerts with all their
+    titles. No state is kept, no title is missing, and a repeated micro-batch replaces its pages. Pages of windows that the
+    watermark has closed go to `late_sink` instead.
+    """
+    closed, keep = watermark(f"{store}/clock", delay), window_sink(f"{store}/pages")
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark, bounds = batch.sparkSession, F.window("event_time", window)
+        mark = F.lit(closed(batch, batch_id)).cast("timestamp")
+        humans = spam.human_pages(batch.select("page_id", "page_title", "domain", "user_name", "user_is_bot", "event_time"))
+        pages = humans.select("*", bounds["start"].alias("window_start"), bounds["end"].alias("window_end"))
+        in_time = F.coalesce(F.col("window_end") > mark, F.lit(True))
+        if late_sink is not None:
+            late_sink(pages.where(~in_time), batch_id)
+        pages = pages.where(in_time).drop("window_end")
+        # One number for each window that the micro-batch touches.
+        starts = [r[0] for r in pages.select(F.unix_seconds("window_start")).distinct().collect()]
+        if not starts:
+            return
+        keep(pages, batch_id)
+        touched = pages.select("user_name", "window_start").distinct()
+        whole = read_windows(spark, f"{store}/pages", HUMAN_PAGES, starts).join(touched, ["user_name", "window_start"], "left_semi")
+        alerts = spam.spam_alerts(whole, window, **(rules or {})).persist()
+        try:
+            sink(alerts, batch_id)
+            if message_sink is not None:
+                titles = spam.spam_titles(whole, alerts, window, part_size)
+                message_sink(spam.spam_messages(alerts, titles, part_size), batch_id)
+        finally:
+            alerts.unpersist()
+
+    return start_each_batch(events, publish, checkpoint, "append", trigger)
+
+
+def start_activity_spikes(events: DataFrame, sink, store: str, checkpoint: str, window: str = "1 hour",
+                          slide: str = "5 minutes", threshold: float | None = 3.0, delay: str = "5 minutes",
+                          samples: int = 5, min_baseline: float | None = None, exclude_namespaces=(),
+                          late_sink=None, **trigger) -> StreamingQuery:
+    """Spikes in the windows a micro-batch touches, equal to those of `activity_spikes` over all events so far.
+
+    A micro-batch puts a row for each domain and pane (a slide's stretch of time) into the folder `store`: its count and
+    its earliest titles. Windows are sums of the stored panes in reach, samples the earliest of their titles. No
+    state is kept, and a repeated micro-batch replaces its panes. Pages all of whose windows the watermark has closed go to
+    `late_sink` instead, and closed windows are not sent again.
+    """
+    closed, keep = watermark(f"{store}/clock", delay), table_sink(f"{store}/panes", "pane")
+    reach = F.make_dt_interval(secs=F.lit(seconds(window)))
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        mark = F.lit(closed(batch, batch_id)).cast("timestamp")
+        titled = spikes.placed_titles(batch, slide, exclude_namespaces)
+        in_time = F.coalesce(F.col("pane") + reach > mark, F.lit(True))
+        if late_sink is not None:
+            late_sink(titled.where(~in_time), batch_id)
+        titled = titled.where(in_time)
+        panes = spikes.pane_counts(titled).join(spikes.first_titles(titled, samples), ["domain", "pane"]).persist()
+        try:
+            days = panes.select(F.to_date(F.min("pane") - reach), F.to_date(F.max("pane") + reach)).first()
+            if days[0] is None:
+                return
+            keep(panes, batch_id)
+            stored = read_rows(batch.sparkSession, f"{store}/panes", PANES, "pane", tuple(days))
+            merged = spikes.merged_panes(stored, samples)
+            touched = spikes.covering(panes.select("domain", "pane"), window, slide).where(
+                F.coalesce(F.col("window_start") + reach > mark, F.lit(True))).select("domain", "window_start").distinct()
+            found = spikes.spikes_of(merged, window, slide, threshold, min_baseline, touched)
+            sink(spikes.with_samples(found, merged.select("domain", "pane", "titles"), slide), batch_id)
+        finally:
+            panes.unpersist()
 
-def start_activity_spikes(events: DataFrame, sink, checkpoint: str, window: str = "1 hour",
-                          slide: str = "5 minutes", threshold: float | None = 3.0,
-                          delay: str = "5 minutes", **trigger) -> StreamingQuery:
-    rows = spikes.spike_stream(events.withWatermark("event_time", delay), window, slide, threshold)
-    return start_each_batch(rows, sink, checkpoint, "update", trigger)
+    return start_each_batch(events, publish, checkpoint, "append", trigger)
 
 
 def start_views(events: DataFrame, sinks: dict, checkpoint: str, **trigger) -> StreamingQuery:

@@ -7,14 +7,17 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
+from pageflow.functions.durations import seconds
 from pageflow.operators.alerts import to_alert_json
-from pageflow.operators.spam import TITLES_PER_PART, spam_messages, spam_titles
 from pageflow.operators.upsert import latest
-from pageflow.sources.files import read_archive, read_or_empty
+from pageflow.sources.files import read_or_empty
 
 # Column of a keyed table that holds the micro-batch a row came in.
 BATCH = "batch_id"
+# Buckets of a table that has them. A table keeps the number it was first written with.
+BUCKETS = 64
 
 
 def dated(events: DataFrame) -> DataFrame:
@@ -24,68 +27,131 @@ def dated(events: DataFrame) -> DataFrame:
         F.dayofmonth("event_time").alias("day"))
 
 
-def archive_writer(events: DataFrame, path: str, checkpoint: str, files_per_day: int | None = None,
-                   **trigger) -> DataStreamWriter:
-    """Appends all events to Parquet by year, month and day, each exactly once.
+def _partitioned(rows: DataFrame, path: str, columns: list, batch_id: int) -> None:
+    """Writes a micro-batch's rows into folders of its own; the folders replace those of an earlier try."""
+    rows.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*columns, BATCH).parquet(path)
+
+
+def archive_sink(path: str, files_per_day: int | None = None):
+    """Adds all events to Parquet by year, month, day and micro-batch, each exactly once.
 
     Every task writes the days it holds, in parallel. When a backlog of many days comes in at
-    once, `files_per_day` first gathers each day into that many tasks, to save small files.
+    once, `files_per_day` first gathers each day into that many tasks, to save small files. A folder holds only what a
+    finished write put there, so single days can be read without a list of all that was ever written.
     """
-    rows = dated(events)
-    if files_per_day:
-        spread = F.pmod(F.xxhash64("page_title", "user_name", "event_time"), F.lit(files_per_day))
-        rows = rows.repartition("year", "month", "day", spread)
-    return (
-        rows.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).partitionBy("year", "month", "day")
-        .trigger(**(trigger or {"processingTime": "1 minute"})))
+    def write(events: DataFrame, batch_id: int) -> None:
+        rows = dated(events)
+        if files_per_day:
+            spread = F.pmod(F.xxhash64("page_title", "user_name", "event_time"), F.lit(files_per_day))
+            rows = rows.repartition("year", "month", "day", spread)
+        _partitioned(rows, path, ["year", "month", "day"], batch_id)
+
+    return write
+
 
+def bucket(column, buckets: int = BUCKETS):
+    """The bucket of a key's value."""
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
-def table_sink(path: str, day_of: str | None = None):
+
+def table_sink(path: str, day_of: str | None = None, bucket_of: str | None = None, buckets: int = BUCKETS):
     """Appends each micro-batch to the keyed table at `path`; `read_table` keeps the latest rows.
 
     A micro-batch has folders of its own and replaces them when it is run again, so a repeated
-    batch changes nothing and no write touches rows of earlier batches. `day_of` names a time
-    column of the key; the table is then partitioned by its date first.
+    batch changes nothing and no write touches rows of earlier batches. `bucket_of` names a column of the key by
+    whose hash the table is partitioned, for reads of single keys; `day_of` a time column of the key by whose date it is.
     """
     def write(rows: DataFrame, batch_id: int) -> None:
-        if day_of is None:
+        if day_of is None and bucket_of is None:
             rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
             return
-        dated_rows = rows.withColumn("day", F.to_date(day_of)).withColumn(BATCH, F.lit(batch_id))
-        dated_rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "day", BATCH).parquet(path)
+        columns = []
+        if bucket_of is not None:
+            rows, columns = rows.withColumn("bucket", bucket(bucket_of, buckets)), ["bucket"]
+        if day_of is not None:
+            rows, columns = rows.withColumn("day", F.to_date(day_of)), [*columns, "day"]
+        _partitioned(rows, path, columns, batch_id)
 
     return write
 
 
-def read_table(spark: SparkSession, path: str, schema: str, keys: list, day_of: str | None = None,
-               order: list | None = None, between: tuple | None = None) -> DataFrame:
-    """The latest row of each key: the greatest in `order`, then of the latest micro-batch.
+def read_rows(spark: SparkSession, path: str, schema: str, day_of: str | None = None, between: tuple | None = None,
+              of: tuple | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """All rows of a keyed table with their `BATCH`.
 
-    `between` = (first, last) reads only the days of these dates; other days are not even listed.
+    `between` = (first, last) reads only the days of these dates; other days are not even listed. `of` = (column, value)
+    reads only that value's bucket of a table with buckets, and the value's rows.
     """
-    stored = f"{schema}, day date, {BATCH} long" if day_of else f"{schema}, {BATCH} long"
+    stored = schema + (", bucket int" if of else "") + (", day date" if day_of else "") + f", {BATCH} long"
     where = path
     if between is not None:
         first, last = between
         days = [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
         where = f"{path}/day={{{','.join(days)}}}"
     rows = read_or_empty(spark, where, stored, base=path)
-    return latest(rows.drop("day") if day_of else rows, keys, [*(order or []), BATCH]).drop(BATCH)
+    if of is not None:
+        rows = rows.where((F.col("bucket") == bucket(F.lit(of[1]), buckets)) & (F.col(of[0]) == of[1]))
+    return rows.select(*StructType.fromDDL(schema).names, BATCH)
+
+
+def read_table(spark: SparkSession, path: str, schema: str, keys: list, day_of: str | None = None,
+               order: list | None = None, between: tuple | None = None, of: tuple | None = None,
+               buckets: int = BUCKETS) -> DataFrame:
+    """The latest row of each key: the greatest in `order`, then of the latest micro-batch."""
+    rows = read_rows(spark, path, schema, day_of, between, of, buckets)
+    return latest(rows, keys, [*(order or []), BATCH]).drop(BATCH)
+
+
+def window_sink(path: str):
+    """Keeps the rows of each micro-batch by their `window_start`, as `table_sink` does by day."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        _partitioned(rows.withColumn("at", F.unix_seconds("window_start")), path, ["at"], batch_id)
+
+    return write
+
+
+def read_windows(spark: SparkSession, path: str, schema: str, starts: list) -> DataFrame:
+    """The rows kept for the windows that start at these seconds; other windows are not even listed."""
+    where = f"{path}/at={{{','.join(map(str, starts))}}}"
+    return read_or_empty(spark, where, f"{schema}, at long, {BATCH} long", base=path).drop("at", BATCH)
+
+
+# Micro-batches whose latest times are kept.
+TICKS = 16
 
 
-def compact_table(spark: SparkSession, path: str, target: str, schema: str, keys: list,
-                  day_of: str | None = None, order: list | None = None) -> None:
-    """Writes a keyed table's latest rows to a new place, as that table's batch -1."""
-    table_sink(target, day_of)(read_table(spark, path, schema, keys, day_of, order), -1)
+def watermark(path: str, delay: str):
+    """A function (rows, batch_id) giving the time before which rows are late, None at first: `delay` before the
+    latest event of earlier micro-batches, as in Spark's own watermark. A repeated micro-batch gets the same answer."""
+    def advance(rows: DataFrame, batch_id: int):
+        spark = rows.sparkSession
+        ticks = read_or_empty(spark, path, "latest timestamp, number long, tick int").where(F.col("number") < batch_id)
+        step = F.make_dt_interval(secs=F.lit(seconds(delay)))
+        seen = ticks.agg(F.max("latest").alias("latest"), (F.max("latest") - step).alias("mark")).first()
+        now = rows.agg(F.greatest(F.max("event_time"), F.lit(seen["latest"]).cast("timestamp")).alias("latest"))
+        now.withColumn("number", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/tick={batch_id % TICKS}")
+        return seen["mark"]
+
+    return advance
+
+
+def compact_table(spark: SparkSession, path: str, target: str, schema: str, keys: list, day_of: str | None = None,
+                  order: list | None = None, bucket_of: str | None = None) -> None:
+    """Writes a keyed table's latest rows to a new place, as that table's batch -1. Later batches go on there."""
+    table_sink(target, day_of, bucket_of)(read_table(spark, path, schema, keys, day_of, order), -1)
 
 
 def store_sink(fmt: str, options: dict, mode: str = "append"):
     """Writes each micro-batch through a connector, for stores that overwrite by key themselves."""
     def write(rows: DataFrame, batch_id: int) -> None:
-        if not rows.isEmpty():
-            rows.write.format(fmt).options(**options).mode(mode).save()
+        rows.persist()
+        try:
+            if not rows.isEmpty():
+                rows.write.format(fmt).options(**options).mode(mode).save()
+        finally:
+            rows.unpersist()
 
     return write
 
@@ -100,16 +166,6 @@ def topic_sink(options: dict, form=None):
     return formed(store_sink("kafka", options), lambda rows: to_alert_json(form(rows) if form else rows))
 
 
-def with_titles(sink, archive: str, window: str = "5 minutes", part_size: int = TITLES_PER_PART):
-    """A sink for spam alerts that adds the titles found in the archive for their windows."""
-    def write(alerts: DataFrame, batch_id: int) -> None:
-        span = alerts.agg(F.min("window_start").cast("string"), F.max("window_end").cast("string")).first()
-        events = read_archive(alerts.sparkSession, archive, *span)
-        sink(spam_messages(alerts, spam_titles(events, alerts, window, part_size), part_size), batch_id)
-
-    return write
-
-
 def topic_writer(alerts: DataFrame, options: dict, checkpoint: str, mode: str = "update",
                  **trigger) -> DataStreamWriter:
     """A stream of alerts straight into a topic."""

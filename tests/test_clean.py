@@ -13,11 +13,14 @@ KEPT = {
     "{}": "unknown",
     ' \n{"meta":{"domain":"b"}} ': "b",
     '{"meta":{"domain":""}}': "",
+    '{"meta":{"domain":"x","domain":"y"}}': "y",
 }
 REJECTED = [
     "bad{", "", "null", "[]", "5", '"text"', '{"meta":null}', '{"meta":"x"}', '{"meta":[]}',
     '{"meta":{"domain":null}}', '{"meta":{"domain":5}}', '{"meta":{"domain":"a"}', '{"meta":{"domain":"a"}} more',
-    '[{"meta":{"domain":"a"}}]', None,
+    '[{"meta":{"domain":"a"}}]', None, "{'meta':{'domain':'x'}}", '{"meta":{"domain":"x"}} {"a":1}',
+    '{"meta":{"domain":"x"}} junk }', '{"meta":{"domain":"x"}}] [1', '{"meta":{"domain":"x"}},{"a":1}',
+    '{"meta":{"domain":"x"}},"y"], ["z"', '{"meta":{"domain":"x"}} // more', "{meta:{}}",
 ]
 CANARY = '{"meta":{"domain":"canary"}}'
 

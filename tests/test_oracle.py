@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as registry
+from pageflow.plans import checks, oracle
 from tests.compare import TABLES, assert_same, connection
 
 SF = str(TABLES / "sf0.001")
@@ -13,13 +14,15 @@ def con():
     return connection(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.statements()))
 def test_same_as_sql(spark, con, name):
-    assert_same(registry.queries()[name](spark, SF), con, registry.oracle_sql()[name])
+    assert_same(checks.registered()[name](spark, SF), con, oracle.statements()[name])
 
 
-def test_only_the_sketch_has_no_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"domain_activity"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(checks.registered()) == set(oracle.statements())
+    assert set(checks.registered()) <= set(registry.queries())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry_runs(spark):

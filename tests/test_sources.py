@@ -19,6 +19,8 @@ def test_topic_options():
     assert topics.kafka_source_options("b:1", "t") == live
     assert topics.kafka_source_options("b:1", "t", "earliest") == {**live, "startingOffsets": "earliest"}
     assert topics.kafka_source_options("b:1", "t", None, None) == {"kafka.bootstrap.servers": "b:1", "subscribe": "t"}
+    assert topics.kafka_source_options("b:1", "t", max_offsets=5, min_partitions=64) == {
+        **live, "maxOffsetsPerTrigger": "5", "minPartitions": "64"}
     assert topics.kafka_sink_options("b:1", "a") == {"kafka.bootstrap.servers": "b:1", "topic": "a"}
 
 
@@ -55,7 +57,7 @@ def test_archive_is_read_by_day(spark, archive):
         at("00:00:00"), at("23:30:00"), at("23:59:59")]
     plan = plan_of(rows)
     assert "make_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert len({Path(f).parent for f in rows.inputFiles()}) == 4
+    assert len({Path(f).parent for f in rows.inputFiles()}) == 3
     assert "PushedFilters" in plan and "GreaterThanOrEqual(event_time" in plan
     assert read_archive(spark, archive).count() == 12
 
@@ -91,6 +93,16 @@ def test_store_sink_appends(events, folder):
     assert rows.sparkSession.read.parquet(path).count() == 2
 
 
+def test_scratch_is_the_warehouse_where_no_folder_is_named(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        place = scratch_dir(spark, "x")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", shared)
+    assert place.startswith((spark.conf.get("spark.sql.warehouse.dir"), shared))
+
+
 def test_scratch_is_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")

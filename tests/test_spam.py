@@ -57,7 +57,7 @@ def test_all_titles_are_dealt_over_parts(events):
     messages = {m["user_name"]: m for m in (json.loads(r.value) for r in to_alert_json(whole).collect())}
     assert messages["v"] == {
         "alert_time": "2024-03-01 10:00:00", "user_name": "v", "severity": "low", "page_count": 1,
-        "domains": ["d"], "reasons": ["Anomalous length"], "titles": ["ab"]}
+        "domains": ["d"], "reasons": ["Anomalous length"], "titles": ["ab"], "part": 0, "parts": 1}
     assert messages["u"]["titles"] == sorted(f"http {n}" for n in range(100))
 
     parts = spam.spam_messages(alerts, spam.spam_titles(rows, alerts, part_size=30), part_size=30)

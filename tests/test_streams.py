@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 
 from pageflow.operators import bots, domains, spam, spikes, views
 from pageflow.operators.clean import parse_events
-from pageflow.plans.checks import HUMAN_SPAM, METRICS, PAGES, SPAM, SPIKES
-from pageflow.schema import EVENTS, LANGUAGE_ACTIVITY, TABLE_KEYS
+from pageflow.plans.checks import HUMAN_SPAM, MESSAGES, METRICS, SPAM, SPIKES
+from pageflow.schema import EVENTS, LANGUAGE_ACTIVITY, PAGES, TABLE_KEYS
 from pageflow.sources.files import file_source, read_archive
 from pageflow.sources.samples import page_creates
 from pageflow.streaming import jobs, sinks
 from tests.conftest import at
 
 NOW = {"availableNow": True}
-STATS = "domain string, pages_count int, unique_authors int, avg_title_length double, last_updated timestamp"
+STATS = "domain string, pages_count bigint, unique_authors bigint, avg_title_length double, last_updated timestamp"
 
 
 @pytest.fixture(scope="module")
@@ -141,31 +141,58 @@ def test_a_later_change_of_a_window_corrects_the_next_trend(spark, events, folde
     assert run(("10:02:30", "a", False, "d")) == [0.0, 0.0, -50.0]
 
 
-def test_spam_alerts_with_titles_from_the_archive(spark, batch, feed, folder):
-    archive, path, messages = folder(), folder(), {}
-    finished(jobs.start_archive(feed(), archive, folder(), **NOW))
+def test_spam_alerts_have_all_their_titles(spark, batch, feed, folder):
+    """The job keeps the pages itself: no archive has to be ahead. Every micro-batch is published twice."""
+    path, messages = folder(), folder()
 
-    def remember(frame, batch_id):
-        for row in frame.collect():
-            messages[(row.alert_time, row.user_name)] = row
+    def twice(sink):
+        def write(frame, batch_id):
+            sink(frame, batch_id)
+            sink(frame, batch_id)
 
-    def both(frame, batch_id):
-        sinks.table_sink(path)(frame, batch_id)
-        sinks.with_titles(remember, archive, "1 day")(frame, batch_id)
+        return write
 
-    finished(jobs.start_spam_alerts(feed(), both, folder(), "1 day", rules={"velocity": 3}, **NOW))
+    finished(jobs.start_spam_alerts(
+        feed(), twice(sinks.table_sink(path)), folder(), folder(), "1 day", rules={"velocity": 3},
+        message_sink=twice(sinks.table_sink(messages)), part_size=2, **NOW))
     expected = spam.spam_alerts(batch, "1 day", velocity=3)
     assert rows(sinks.read_table(spark, path, HUMAN_SPAM, ["window_start", "user_name"])) == rows(expected)
-    whole = spam.spam_messages(expected, spam.spam_titles(batch, expected, "1 day"))
-    assert sorted(map(tuple, messages.values()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    whole = spam.spam_messages(expected, spam.spam_titles(batch, expected, "1 day", part_size=2), part_size=2)
+    stored = sinks.read_table(spark, messages, MESSAGES, ["alert_time", "user_name", "part"])
+    assert rows(stored) == rows(whole)
+    titled = stored.groupBy("alert_time", "user_name").agg(
+        F.sum(F.size("titles")).alias("titles"), F.max("page_count").alias("pages"))
+    assert titled.where("titles <> pages").count() == 0
 
 
 def test_spikes_latest_windows(spark, batch, feed, folder):
     path = folder()
     finished(jobs.start_activity_spikes(
-        feed(), lambda f, n: sinks.table_sink(path)(f.drop("sample_pages"), n), folder(), "12 hours", "1 hour", None, **NOW))
+        feed(), sinks.table_sink(path), folder(), folder(), "12 hours", "1 hour", None, **NOW))
+    stored = sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
+    assert rows(stored) == rows(spikes.activity_spikes(batch, "12 hours", "1 hour", None))
+
+
+def test_late_pages_are_handed_over_and_the_rest_counts(spark, events, folder):
+    """Three micro-batches: the second holds a page too late for any window, and one late for some windows only."""
+    source, path, late = folder(), folder(), []
+    first = [("10:00:00", "a", False, "d", "T1")]
+    second = [("12:00:00", "a", False, "d", "T2"), ("12:00:01", "a", False, "d", "T0")]
+    third = [("10:30:00", "a", False, "d", "late"), ("11:30:00", "a", False, "d", "T3"), ("12:01:00", "a", False, "d", "T4")]
+    for part in (first, second, third):
+        events(*part).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+    finished(jobs.start_activity_spikes(
+        file_source(spark, source, EVENTS, files_per_trigger=1), sinks.table_sink(path), folder(), folder(),
+        threshold=None, late_sink=lambda frame, _: late.extend(frame.collect()), **NOW))
+    assert [r.page_title for r in late] == ["late"]
+    kept = spikes.activity_spikes(events(*first, *second, *third[1:]), threshold=None)
     stored = sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
-    assert rows(stored) == rows(spikes.activity_spikes(batch, "12 hours", "1 hour", None).drop("sample_pages"))
+    closed = at("11:55:01")
+    open_ = kept.where(F.col("window_end") > F.lit(closed))
+    assert rows(stored.where(F.col("window_end") > F.lit(closed))) == rows(open_)
+    newest = stored.where(F.col("window_end") == F.lit(at("12:05:00"))).first()
+    assert (newest.pages_last_1hour, newest.pages_last_5min, newest.sample_pages) == (4, 3, ["T2", "T0", "T4"])
 
 
 def test_views_and_a_repeated_batch(spark, batch, feed, folder):
