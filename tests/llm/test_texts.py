@@ -1,0 +1,176 @@
+"""Operators on single documents, against plain Python."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from tokenizers import Tokenizer
+
+from pageflow.llm import bpe, licenses, pii, quality
+from tests.llm.conftest import words_of
+
+
+def by_id(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+# -- quality --------------------------------------------------------------------------------
+
+def figures(text):
+    w = words_of(text)
+    seen = Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+    covered = {k + i for k in range(len(w) - 4) if seen[tuple(w[k:k + 5])] > 1 for i in range(5)}
+    lines = [x for x in (text or "").split("\n") if words_of(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered),
+            len(w) < 10 or 100 * len(covered) > 20 * len(w))
+
+
+def test_measures_of_every_document(odd, rows, none):
+    found = quality.quality(odd).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert by_id(found) == sorted(((n, *figures(t)) for n, t in rows), key=repr)
+    assert quality.quality(none).count() == 0
+    assert quality.kept_documents(none).columns == none.columns
+
+
+def test_good_documents_are_kept_and_bad_ones_go(llm):
+    from pageflow.llm.common import table
+    docs, labels = (table(llm, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    judged = quality.quality(docs).join(labels, "doc_id").where("not base_failed")
+    good, bad = judged.where("quality_ = 1") if "quality_" in judged.columns else None, None
+    rows = judged.select("kept", labels["quality"]).collect()
+    good, bad = [k for k, q in rows if q], [k for k, q in rows if not q]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_the_documents_kept_come_as_they_were(odd):
+    judged = quality.quality(odd)
+    kept = quality.kept_documents(odd)
+    assert kept.columns == odd.columns
+    assert sorted(str(r[0]) for r in kept.select("doc_id").collect()) == sorted(
+        str(r[0]) for r in judged.where("kept").select("doc_id").collect())
+
+
+def test_expectation_maximisation_against_plain_python(llm):
+    import math
+    patterns = {(2, 2, 2): 900, (1, 1, 2): 40, (1, 0, 2): 5, (2, 2, 0): 50, (0, 0, 0): 5}
+    frame = llm.createDataFrame([(list(p), n) for p, n in patterns.items()], "pattern array<int>, n bigint")
+    names = ["x", "y", "z"]
+    model = quality.fitted(frame, names, rounds=3, close=0)
+    g, a, b = 0.85, [0.97] * 3, [0.2] * 3
+    for _ in range(3):
+        p = {}
+        for votes in patterns:
+            odds = math.log(g / (1 - g)) + sum(
+                math.log(a[j] / (1 - b[j])) if v == 2 else math.log((1 - a[j]) / b[j]) if v == 1 else 0 for j, v in enumerate(votes))
+            p[votes] = 1 / (1 + math.exp(-odds))
+        held = lambda x, low, high: round(min(high, max(low, x)), 6)
+        new_a, new_b = [], []
+        for j in range(3):
+            yes = sum(n * p[v] for v, n in patterns.items() if v[j] == 2)
+            no = sum(n * (1 - p[v]) for v, n in patterns.items() if v[j] == 1)
+            new_a.append(held(yes / sum(n * p[v] for v, n in patterns.items() if v[j]), 0.95, 0.995))
+            new_b.append(held(no / sum(n * (1 - p[v]) for v, n in patterns.items() if v[j]), 0.05, 0.5))
+        g, a, b = held(sum(n * p[v] for v, n in patterns.items()) / 1000, 0.5, 0.95), new_a, new_b
+    assert model == quality.Model(g, dict(zip(names, a)), dict(zip(names, b)))
+
+
+# -- byte-pair encoding ---------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Bpe(open(bpe.default_path(), "rb").read()), Tokenizer.from_file(bpe.default_path())
+
+
+def test_encoding_equals_the_library(odd, rows, none, encoder):
+    found = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, tuple(r.ids))
+             for r in bpe.encode_decode(odd, bpe.default_path(), with_ids=True).collect()}
+    expected = set()
+    for n, text in rows:
+        ids = encoder[1].encode(text or "", add_special_tokens=False).ids
+        back = encoder[1].decode(ids, skip_special_tokens=False)
+        expected.add((n, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                      hashlib.sha256(back.encode()).hexdigest(), tuple(ids)))
+    assert found == expected
+    assert bpe.encode_decode(odd, bpe.default_path()).count() == len(rows)
+    assert bpe.encode_decode(none, bpe.default_path()).count() == 0
+
+
+def test_odd_pieces_equal_the_library(encoder):
+    mine, library = encoder
+    rnd = random.Random(1)
+    parts = ["a", "aa", "the", " ", "  ", "\n", "é", "漢", "😀", "1", "12", "'s", "'ll", "<|endoftext|>", "<|endof", "!!!", "\t", "\x00", "er", "ing"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
+        assert mine.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert mine.decode(mine.encode(text)) == text
+
+
+def test_long_texts_are_cut_where_pieces_end(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "PART", 50)
+    text = "Some words,  and\n\n more 123 words's " * 40 + "x" * 300
+    assert encoder[0].encode(text) == encoder[1].encode(text, add_special_tokens=False).ids
+
+
+# -- personal data --------------------------------------------------------------------------
+
+PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def base(text):
+    found = []
+    for kind, pattern in enumerate(PATTERNS):
+        for match in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", match[0])
+            doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+            if (kind == 0 or kind == 1 and all(int(x) <= 255 for x in match[0].split("."))
+                    or kind == 2 and 16 <= len(digits) <= 19 and sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+                    or kind == 3 and 8 <= len(digits) <= 15):
+                found.append((kind, *match.span()))
+    return found
+
+
+def test_base_spans_equal_the_patterns():
+    rnd = random.Random(3)
+    parts = ["1", "22", "256", "255", ".", "..", "@", "a", "b.c", "-", "+", "+1", " ", "(", ")", "4111 1111 1111 1111",
+             "4111111111111111", "x@y.z", "_", "é", "%", "1.2.3.4", "1.2.3.4.5.6.7.8.9", "\n"]
+    for _ in range(10_000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14)))
+        assert pii.base_spans(text) == base(text)
+
+
+def test_added_spans(llm, odd, rows, none):
+    field = pii.trained([])
+    cases = {"call (386) 555-3733 or 386-555-3733": 2, "bob (at) example (dot) com": 1, "a.b[at]c.org": 1, "83[.]64[.]220[.]33": 1,
+             "2024-01-05 12:30": 0, "version 2.0.1 of 10.5.": 0, "999.1.2.3 4111111111111112": 0, "$1,234,567.89 in 1999": 0}
+    for text, count in cases.items():
+        own, spans = field.spans(text)
+        assert (own, len(spans)) == ([], count), text
+    for text in ("1" * 50_000, "1 " * 20_000, "a@" * 20_000, "1.2 " * 20_000):
+        field.spans(text)
+    own, spans = field.spans("a@b.cd +1 (826) 555-4081 4111111111111111 83.64.220.33")
+    assert set(own) <= set(spans)
+    found = pii.personal_data(odd, field)
+    assert found.count() == len(rows) and pii.personal_data(none, field).count() == 0
+    assert pii.masked("x a@b.cd y", [(0, 2, 8)]) == "x <EMAIL> y"
+    assert sorted(map(str, pii.without_personal_data(odd, field).select("doc_id", "text").collect())) == sorted(
+        map(str, odd.select("doc_id", "text").collect()))
+    assert pii.fit(none).weights
+
+
+# -- licences -------------------------------------------------------------------------------
+
+def test_licences(llm, odd, rows, none):
+    model = licenses.fit(none)
+    texts = {"Intro.\nReleased under the MIT License.\nMore": "mit", "Licensed under CC BY-NC 4.0.": "cc",
+             "Licensed under the Apache License, Version 2.0": "apache", "This library is licensed under the Foo Public Licence": "unknown",
+             "This work is licensed under the GNU General Public License, version 3.": "gpl", "You need permission to enter": None,
+             "A text.": None}
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.license for r in licenses.licenses(frame, model).collect()}
+    assert [found[n] for n in range(len(texts))] == list(texts.values())
+    assert licenses.licenses(odd, model).where("license is null").count() == len(rows)
+    assert licenses.licenses(none, model).count() == 0
