@@ -61,7 +61,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         logs += steps * math.log(BACKOFF)
 
         def summed(values):
-            return np.bincount(words.owner, weights=values, minlength=len(words.sizes))
+            return np.bincount(words.owner, weights=values, minlength=len(words.sizes)).astype(np.float64)
 
         return pa.table({
             "doc_id": rows.column("doc_id"), "n_words": pa.array(words.sizes), "logs": pa.array(summed(logs)),
