@@ -115,3 +115,13 @@ def share_of(rows: DataFrame, size: Column, unit: int, least: int = 1) -> int:
     """How many shares of about `unit` (in units of `size`) the rows make: one aggregated row comes back."""
     total = rows.agg(F.sum(size).alias("total")).first()["total"] or 0
     return max(least, math.ceil(total / unit))
+
+
+def sampled(texts: DataFrame, count: int) -> DataFrame:
+    """Of the column `text` at most `count` different values: those with the smallest hashes.
+
+    Tasks send hashes alone to find the last one; a text goes on only if it is in the sample.
+    """
+    hashed = texts.select("text", F.xxhash64("text").alias("h")).where("text is not null")
+    last = hashed.select("h").distinct().orderBy("h").limit(count).agg(F.max("h")).first()[0]
+    return hashed.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).select("text")

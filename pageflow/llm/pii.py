@@ -16,7 +16,7 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.llm.common import prepared, table
+from pageflow.llm.common import prepared, sampled, table
 
 # Kinds in the order of the contract, and its patterns. A run of numbers and dots is cut into fours.
 KINDS = ("email", "ip", "card", "phone")
@@ -312,10 +312,9 @@ def _logsum(values: list[float]) -> float:
 
 
 def fit(docs: DataFrame) -> Field:
-    """Trained on at most `SAMPLE` documents with a digit or an @: those whose texts have the smallest hashes."""
+    """Trained on at most `SAMPLE` different texts with a digit or an @, those with the smallest hashes."""
     likely = docs.where(F.length("text") < 20_000).where(F.col("text").rlike("@|[0-9]{7}|[0-9][.][0-9]+[.]|[+][0-9]"))
-    sample = likely.select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(SAMPLE)
-    return trained([row["text"] for row in sample.collect()])
+    return trained(sorted(row["text"] for row in sampled(likely, SAMPLE).collect()))
 
 
 def joined(spans) -> str:
