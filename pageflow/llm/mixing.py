@@ -75,8 +75,8 @@ def _bisected(shares: DataFrame, total: int, low: float, high: float, enough) ->
 def fit(shares: DataFrame, evenness: float = EVENNESS, most_epochs: float = MOST_EPOCHS, budget: int | None = None) -> Mix:
     """The mix of (key, tokens, n_docs). Without a budget it is the least in which every document comes at least once.
 
-    A mix more even than wanted calls for an exponent over 1, up to 8. The limit on repetition goes first; it
-    counts against exponents under 1, and with a budget against the source that comes most often. Without
+    A mix more even than wanted calls for an exponent over 1, up to 8. The limit on repetition goes first; with a
+    budget it counts for exponents under 1 and the source that comes most often. Without
     tokens, or with one source, the exponent is 1.
     """
     used = shares.where("tokens > 0")
@@ -90,6 +90,9 @@ def fit(shares: DataFrame, evenness: float = EVENNESS, most_epochs: float = MOST
             times = lambda m: m[1] if budget is None else m[2] * budget / total
             limited = _bisected(used, total, 0.0, 1.0, lambda m: times(m) <= most_epochs)
             exponent = max(exponent, limited)
+        spread = math.log(row["most"] / row["least"])
+        if budget is None and exponent > 1 and spread > 0:
+            exponent = min(exponent, 1 + math.log(most_epochs) / spread)
     exponent = round(exponent, 7)
     if not total:
         return Mix(exponent, 0.0)
