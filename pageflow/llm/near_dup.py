@@ -25,17 +25,18 @@ SIMILAR = 80
 # Estimates below this are not confirmed: more than five standard errors under the limit. The first round takes the
 # likely links alone.
 POSSIBLE, LIKELY = 0.63, 0.74
-# Candidates of the second round are compared by a sketch of one byte for each of so many further functions first. Its
-# standard error is 0.0125 at the limit, so five of them leave far fewer pairs to confirm.
-SKETCH, CLOSE = 1024, 0.735
+# Candidates of the second round are compared by so many of their smallest hashes first: whole sets, if they have fewer.
+# What is then an estimate may be so many standard errors under the limit.
+HEAD, ERRORS = 1024, 5
 # Members of a bucket compared at a time; larger buckets are compared block by block. Pairs compared at a time.
 BLOCK, SLICE = 2048, 1 << 18
 # Ids sent to all executors at most; beyond that they are joined.
 SENT = 500_000
 
 _RANDOM = np.random.default_rng(20240301)
-FACTORS = _RANDOM.integers(1, 1 << 63, REGISTERS + SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-OFFSETS = _RANDOM.integers(0, 1 << 63, REGISTERS + SKETCH, dtype=np.uint64)
+FACTORS = _RANDOM.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+OFFSETS = _RANDOM.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
+LAST = np.iinfo(np.uint64).max
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -45,30 +46,18 @@ def shingles(text: str | None) -> np.ndarray:
     return mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) if len(words) == 1 else np.unique(gram_hashes(hashes, 2))
 
 
-def minima(hashes: np.ndarray, functions: slice) -> np.ndarray:
-    """The smallest value under each function; the set is taken in slices of bounded size."""
-    factors, offsets = FACTORS[functions, None], OFFSETS[functions, None]
-    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+def registers(hashes: np.ndarray) -> np.ndarray:
+    """Leading zeros and mantissa of the smallest value under each function; the set is taken in slices of bounded size."""
+    least = np.full(REGISTERS, LAST, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(hashes), 2048):
-            np.minimum(least, (factors * hashes[None, at:at + 2048] + offsets).min(axis=1), out=least)
-    return least
-
-
-def registers(hashes: np.ndarray) -> np.ndarray:
-    """Leading zeros and mantissa of the smallest values."""
-    least = minima(hashes, slice(0, REGISTERS))
+            np.minimum(least, (FACTORS[:, None] * hashes[None, at:at + 2048] + OFFSETS[:, None]).min(axis=1), out=least)
     top = np.floor(np.log2(np.maximum(least, 1).astype(np.float64))).astype(np.int64).clip(0, 63)
     zeros = (63 - top).astype(np.uint64)
     rest = (least << np.minimum(zeros + np.uint64(1), np.uint64(63))) >> np.uint64(64 - MANTISSA)
     return ((zeros << np.uint64(MANTISSA)) | rest).astype(np.uint16)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """A byte of the scrambled smallest value of each further function; unequal ones agree once in 256."""
-    return (mixed(minima(hashes, slice(REGISTERS, None))) & np.uint64(255)).astype(np.uint8)
-
-
 def node_of(hashes: np.ndarray) -> int:
     """A number for the whole set: equal sets have equal numbers."""
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -155,17 +144,41 @@ def _forest(left, right, estimate) -> list[int]:
     return chosen
 
 
+def alike(heads: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the sets of each pair may be similar, by their smallest hashes; exact for sets of fewer than `HEAD`.
+
+    Both sets are known up to the lower of their last hashes, and what they share up to there is what both heads have.
+    `left` is sorted.
+    """
+    lasts = np.array([h[-1] if len(h) >= HEAD else LAST for h in heads], np.uint64)
+    sizes = np.array([len(h) for h in heads])
+    cuts = np.flatnonzero(np.diff(left)) + 1
+    close = []
+    for rights in np.split(np.arange(len(left)), cuts) if len(left) else ():
+        own, last, others = heads[left[rights[0]]], lasts[left[rights[0]]], right[rights]
+        all_ = np.concatenate([heads[x] for x in others])
+        starts = np.r_[0, np.cumsum(sizes[others])[:-1]]
+        hit = own[np.minimum(np.searchsorted(own, all_), len(own) - 1)] == all_
+        both = np.add.reduceat(hit, starts, dtype=np.int64)
+        known = np.searchsorted(own, lasts[others], "right") + np.add.reduceat(all_ <= last, starts, dtype=np.int64)
+        union = known - both
+        whole = (last == LAST) & (lasts[others] == LAST)
+        slack = np.where(whole, 0.0, ERRORS * 100 * np.sqrt(SIMILAR / 100 * (1 - SIMILAR / 100) * union))
+        close.append(100 * both >= SIMILAR * union - slack)
+    return np.concatenate(close) if close else np.empty(0, bool)
+
+
 def compared(members: DataFrame, first: bool) -> DataFrame:
-    """Pairs (a, b) of nodes that may be similar, out of `members` (key, cnt, node, n, root, registers, sketch).
+    """Pairs (a, b) of nodes that may be similar, out of `members` (key, cnt, node, n, root, registers, head).
 
-    A pair is looked at in the first band that it shares alone. In the first round, which has no sketches, a group
+    A pair is looked at in the first band that it shares alone. In the first round, which has no heads, a group
     yields the likely links that hold it together, and (a, a) for every node with a possible link; in the second all
     possible links between different roots.
     """
     blocks = F.ceil(F.col("cnt") / BLOCK).cast("int")
     own = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "root", "registers", "sketch")
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "root", "registers", "head")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "node")
 
     def groups(batches):
@@ -186,7 +199,7 @@ def compared(members: DataFrame, first: bool) -> DataFrame:
         for rows in groups(batches):
             key, i, j, own_, node, n, root = (rows.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "n", "root"))
             values = matrix(rows.column("registers"))
-            sketches = None if first else np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            heads = None if first else [np.frombuffer(x, np.uint64) for x in rows.column("head").to_pylist()]
             starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
             ends = np.r_[starts[1:], len(key)]
             # How many of a group's members are of its first block, if it has two; none to compare if one is empty.
@@ -207,10 +220,7 @@ def compared(members: DataFrame, first: bool) -> DataFrame:
                 good &= estimate >= POSSIBLE
                 left, right, group, estimate = left[good], right[good], group[good], estimate[good]
                 if not first:
-                    close = np.empty(len(left), bool)
-                    for at in range(0, len(left), 4096):
-                        share = (sketches[left[at:at + 4096]] == sketches[right[at:at + 4096]]).mean(axis=1)
-                        close[at:at + 4096] = (share - 1 / 256) / (1 - 1 / 256) >= CLOSE
+                    close = alike(heads, left, right)
                     left, right, group, estimate = left[close], right[close], group[close], estimate[close]
                 found.append((left, right, group, estimate))
             if not found:
@@ -233,7 +243,7 @@ def compared(members: DataFrame, first: bool) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, hashes, sketch) of the named nodes, taken again from the texts. Few ids go to all executors, more are joined."""
+    """(node, hashes) of the named nodes, taken again from the texts. Few ids go to all executors, more are joined."""
     ids = classes.join(nodes, "node", "left_semi").select(F.col("rep").alias("doc_id"))
     ids = saved(ids, "candidate-ids")
     if ids.count() <= SENT:
@@ -244,11 +254,11 @@ def whole_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFra
         for batch in batches:
             sets = [shingles(text) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                 pa.array([sketch(s).tobytes() for s in sets], pa.binary())], ["node", "hashes", "sketch"])
+                [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["node", "hashes"])
 
-    return texts.select("text").mapInArrow(run, "node bigint, hashes binary, sketch binary").groupBy("node").agg(
-        F.first("hashes").alias("hashes"), F.first("sketch").alias("sketch"))
+    return texts.select("text").mapInArrow(run, "node bigint, hashes binary").groupBy("node").agg(
+        F.first("hashes").alias("hashes"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -286,16 +296,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowded = keyed.groupBy("key").agg(F.count("*").alias("cnt")).where("cnt > 1")
     dense = saved(keyed.join(crowded, "key"), "buckets")
     known = classes.select("node", "n", "registers")
-    plain = known.withColumn("root", F.col("node")).withColumn("sketch", F.lit(None).cast("binary"))
+    plain = known.withColumn("root", F.col("node")).withColumn("head", F.lit(None).cast("binary"))
     found = saved(compared(dense.join(plain, "node"), first=True), "pairs")
     sets = saved(whole_sets(docs, classes, found.where("a = b").select(F.col("a").alias("node"))), "sets")
     links = saved(confirmed(found.where("a <> b"), sets), "links")
     roots = saved(components(links), "roots")
     rooted = dense.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = saved(rooted.join(sets.select("node"), "node", "left_semi"), "rooted")
-    sketched = known.join(sets.select("node", "sketch"), "node")
+    headed = known.join(sets.select("node", F.substring("hashes", 1, 8 * HEAD).alias("head")), "node")
     open_ = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rest = compared(rooted.join(open_, "key", "left_semi").join(sketched, "node"), first=False)
+    rest = compared(rooted.join(open_, "key", "left_semi").join(headed, "node"), first=False)
     more = saved(confirmed(rest, sets), "links")
     if more.limit(1).count():
         roots = saved(components(links.union(more)), "roots")
