@@ -22,28 +22,30 @@ NOTICES = {
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
         "This project is licensed under the terms of the Apache 2.0 license",
-        "SPDX-License-Identifier: Apache-2.0"),
+        "SPDX-License-Identifier: Apache-2.0", "Distributed under the terms of Apache 2.0", "Released under Apache 2.0"),
     "bsd": (
         "Released under the BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
-        "This software is licensed under the BSD license"),
+        "This software is licensed under the BSD license", "Distributed under the terms of BSD 2-Clause", "Released under BSD 3-Clause"),
     "cc": (
-        "Licensed under CC BY-NC 4.0", "Licensed under CC BY-SA 4.0", "Licensed under CC BY 4.0",
+        "Licensed under CC BY-NC 4.0", "Licensed under CC BY-SA 4.0", "Licensed under CC BY 4.0", "Available under CC BY 4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
         "This article is available under the Creative Commons Attribution-NonCommercial licence"),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "You should have received a copy of the GNU General Public License along with this program",
-        "Released under the GNU GPL version 2 or later"),
+        "Released under the GNU GPL version 2 or later", "Released under the GPL 3", "Released under GPL 3", "Distributed under the GPL 2 or later",
+        "Distributed under the LGPL 2.1 or later", "Available under the AGPL 3.0",
+        "Licensed under the GNU Lesser General Public License, LGPL 3", "Licensed under the GNU Affero General Public License, AGPL 3.0"),
     "mit": (
         "Released under the MIT License", "This project is licensed under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-        "SPDX-License-Identifier: MIT"),
+        "SPDX-License-Identifier: MIT", "Distributed under the terms of MIT", "Released under MIT"),
     "mozilla": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-        "Licensed under the Mozilla Public License 2.0", "Released under the MPL 2.0"),
+        "Licensed under the Mozilla Public License 2.0", "Released under the MPL 2.0", "Available under MPL 2", "Released under MPL 2"),
     "reserved": (
         "Copyright 2020 Example Corporation. All rights reserved", "Copyright 2011 Smith. All rights reserved", "All rights reserved", "All rights reserved. No part of this publication may be reproduced",
         "Reproduction or redistribution in whole or in part without written permission of the publisher is prohibited"),
@@ -55,12 +57,18 @@ NOTICES = {
         "The driver lost his license after the accident", "She asked for permission to leave the room",
         "The warranty covers parts and labour for two years", "Fishing without a license is not allowed here",
         "He was granted permission to build a house", "The council released its report under pressure",
-        "Taxi drivers need a licence from the city", "They copied the recipe without asking"),
+        "Taxi drivers need a licence from the city", "They copied the recipe without asking",
+        "She studied physics at MIT", "The Apache lived in the south west", "Firefox is a browser made by Mozilla",
+        "A gnu grazed beside the river", "The server runs Apache on a BSD system"),
 }
 LABELS = tuple(sorted(NOTICES))
 FAMILIES = tuple(x for x in LABELS if x not in ("unknown", "none"))
-# Lines without one of these stems are no licence notices.
-STEMS = r"(?i)licen[cs]|copyright|all rights reserved|creative commons|redistribut|permission|spdx|public domain|\bgpl\b|\bmpl\b"
+# The families' short names, also before a version or a dash. MIT counts in capitals alone, as "mit" is a word of German.
+NAMES = {
+    "apache": r"apache", "bsd": r"\bbsd", "cc": r"\bcc[-\s]+by(?![a-z])|creative\s+commons|\bcc0", "gpl": r"\b[al]?gpl|\bgnu\b",
+    "mit": r"(?-i:\bMIT(?![A-Za-z]))", "mozilla": r"mozilla|\bmpl(?![a-z&&[^v]])", "reserved": r"rights\s+reserved|copyright"}
+# Lines with neither a name nor one of these stems are no licence notices.
+STEMS = "(?i)" + "|".join((r"licen[cs]|redistribut|permission|spdx|public\s+domain", *NAMES.values()))
 # Lines of the corpus that train the classifier at most, hashed features, and words of a training window at least.
 SAMPLE, FEATURES, FEWEST = 400, 1 << 11, 4
 # Share of right answers asked of what is not called unknown, and of a notice's word pairs in a confirmed paragraph.
@@ -68,8 +76,10 @@ SURE, SHARED = 0.95, 0.5
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case words of letters, digits, dots and dashes, without dots at their ends."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[.]+(?=\s|$)|[^\p{L}\p{N}.\-\s]+", " "), r"\s+"), lambda w: w != "")
+    """Lower-case words of letters, digits, dots and dashes, without dots at their ends; names stand apart from versions."""
+    apart = F.regexp_replace(F.lower(text), r"\b([al]?gpl|mpl|apache|bsd|cc[-\s]+by(?:-(?:nc|sa|nd))*)[-\s]?v?[.]?(?=[0-9])", "$1 ")
+    apart = F.regexp_replace(apart, r"\bcc-by(?![a-z])", "cc by")
+    return F.filter(F.split(F.regexp_replace(apart, r"[.]+(?=\s|$)|[^\p{L}\p{N}.\-\s]+", " "), r"\s+"), lambda w: w != "")
 
 
 def pairs(words: Column) -> Column:

@@ -174,3 +174,21 @@ def test_licences(llm, odd, rows, none):
     assert [found[n] for n in range(len(texts))] == list(texts.values())
     assert licenses.licenses(odd, model).where("license is null").count() == len(rows)
     assert licenses.licenses(none, model).count() == 0
+
+
+def test_short_names_with_versions_are_notices(llm, none):
+    model = licenses.fit(none)
+    texts = {"Released under the GPLv3.": "gpl", "Distributed under LGPL-2.1 or later.": "gpl", "Available under AGPL-3.0.": "gpl",
+             "Released under MPLv2.": "mozilla", "Available under CC BY-SA 4.0.": "cc", "Released under the BSD 3-Clause terms": "bsd",
+             "Distributed under the terms of Apache 2.0": "apache", "Available under CC-BY-NC-4.0": "cc",
+             "Released under the GPLv2+": "gpl", "Distributed under the terms of MIT": "mit", "Wir fahren mit dem Zug": None}
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.license, r.n_notices) for r in licenses.licenses(frame, model).collect()}
+    assert [found[n] for n in range(len(texts))] == [(x, 0 if x is None else 1) for x in texts.values()]
+
+
+def test_every_notice_and_name_passes_the_gate(llm):
+    notices = [(text,) for label in licenses.FAMILIES for text in licenses.NOTICES[label]]
+    names = ("GPL", "LGPL", "AGPL", "MPL", "Apache", "BSD", "MIT", "CC BY", "CC-BY-SA", "Mozilla", "gpl", "mpl", "bsd")
+    lines = notices + [(f"Under {name}{rest}",) for name in names for rest in ("", ".", ")", "-2.0", " 3", "+") + (("v2",) if name[-3:].lower() in ("gpl", "mpl") else ())]
+    assert llm.createDataFrame(lines, "line string").where(~licenses.F.col("line").rlike(licenses.STEMS)).collect() == []
