@@ -14,7 +14,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pageflow.llm.common import prepared, saved, table
+from pageflow.llm.common import prepared, sampled, saved, table
 
 # Notices of the families, of licences of no family, and sentences near to the subject without a licence.
 NOTICES = {
@@ -152,14 +152,18 @@ def _training(spark: SparkSession, plain: DataFrame) -> DataFrame:
     return rows.union(lines.select("label", "words", held))
 
 
-def fit(docs: DataFrame) -> Classifier:
-    """Trained on the notices and at most `SAMPLE` lines of the corpus without a stem: those with the smallest hashes."""
-    spark = docs.sparkSession
+def plain_lines(docs: DataFrame) -> DataFrame:
+    """At most `SAMPLE` different lines of the corpus without a stem: those with the smallest hashes."""
     lines = docs.where(F.length("text") < 20_000).select(F.explode(F.split("text", "\n")).alias("text")).where(
         F.length("text").between(10, 400) & ~F.col("text").rlike(STEMS))
-    plain = lines.orderBy(F.xxhash64("text"), "text").limit(SAMPLE)
+    return sampled(lines, SAMPLE)
+
+
+def fit(docs: DataFrame) -> Classifier:
+    """Trained on the notices and on plain lines of the corpus."""
+    spark = docs.sparkSession
     number = (F.array_position(F.lit(list(LABELS)), F.col("label")) - 1).cast("double")
-    on = _training(spark, plain).select("held", number.alias("label"), features(F.col("words")).alias("on"))
+    on = _training(spark, plain_lines(docs)).select("held", number.alias("label"), features(F.col("words")).alias("on"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(FEATURES - 1)), lambda i: F.array_contains("on", i).cast("double"))
     data = saved(on.select("held", "label", dense.alias("dense")), "training").select(
         "held", "label", array_to_vector("dense").alias("features"))

@@ -192,3 +192,9 @@ def test_every_notice_and_name_passes_the_gate(llm):
     names = ("GPL", "LGPL", "AGPL", "MPL", "Apache", "BSD", "MIT", "CC BY", "CC-BY-SA", "Mozilla", "gpl", "mpl", "bsd")
     lines = notices + [(f"Under {name}{rest}",) for name in names for rest in ("", ".", ")", "-2.0", " 3", "+") + (("v2",) if name[-3:].lower() in ("gpl", "mpl") else ())]
     assert llm.createDataFrame(lines, "line string").where(~licenses.F.col("line").rlike(licenses.STEMS)).collect() == []
+
+
+def test_a_frequent_line_trains_once(llm):
+    rows = [(n, "\n".join(f"Plain line number {(n + k) % 20}." for k in range(40))) for n in range(600)]
+    lines = [r.text for r in licenses.plain_lines(llm.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(lines) == sorted(f"Plain line number {k}." for k in range(20))
