@@ -26,8 +26,8 @@ NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Bound of a candidate span and of a word in it; longer words are no part of any.
-MOST_WORDS, MOST_CHARS = 5, 80
+# Words of a candidate span at most, more than any positive variant below has; longer words are cut into pieces.
+MOST_WORDS, MOST_CHARS = 16, 80
 # Documents the field is fitted on at most, and how much better than nothing a span must score.
 SAMPLE, MARGIN = 400, 1.0
 
@@ -36,6 +36,9 @@ TAIL = re.compile(r"[^\x20\x09-\x0D]*")
 SPELT = re.compile(r"[(\[](at|dot)[)\]]", re.IGNORECASE)
 RUNS = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.DOTALL)
 WHITE = " \t\n\x0b\x0c\r"
+# Pieces of an over-long word: characters that spans are made of, and of still longer ones letters and digits or one sign.
+PIECE = re.compile(r"[A-Za-z0-9._%+@()\[\]-]+")
+ATOM = re.compile(r"[(\[](?:at|dot|\.)[)\]]|[A-Za-z0-9]+|[^A-Za-z0-9]", re.IGNORECASE)
 
 EXAMPLES = {
     "email": ("mary.smith@mail.example.org", "info@example.com", "k-lee+news@post.example.co.uk"),
@@ -87,22 +90,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A word, or the pieces of an over-long one. Only letters and digits in one piece can still be over-long; they hold no span."""
+    if end - start <= MOST_CHARS:
+        return [(start, end)]
+    found = []
+    for piece in PIECE.finditer(text, start, end):
+        if not ACTIVE.search(text, *piece.span()):
+            continue
+        if piece.end() - piece.start() <= MOST_CHARS:
+            found.append(piece.span())
+        else:
+            found += [a.span() for a in ATOM.finditer(text, *piece.span()) if a.end() - a.start() <= MOST_CHARS]
+    return found
+
+
 def runs(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
     """Runs of neighbouring active words as (start, end), without words that overlap a base span."""
     words: list[tuple[int, int]] = []
 
     def word_at(place: int) -> tuple[int, int] | None:
         start = place
-        while start > 0 and place - start <= MOST_CHARS and text[start - 1] not in WHITE:
+        while start > floor and text[start - 1] not in WHITE:
             start -= 1
         return start, TAIL.match(text, place).end()
 
-    place, size = 0, len(text)
+    place, floor, size = 0, 0, len(text)
     while (found := ACTIVE.search(text, place)) is not None:
         start, end = word_at(found.start())
         place = max(end, found.end())
-        if end - start > MOST_CHARS:
-            continue
         own = [(start, end)]
         if SPELT.search(text, start, end):
             before = start
@@ -115,8 +131,8 @@ def runs(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, i
                 after += 1
             if after < size and text[after] not in WHITE:
                 own.append((after, TAIL.match(text, after).end()))
-        words += [w for w in own if w[1] - w[0] <= MOST_CHARS and (not words or w[0] >= words[-1][1])]
-        place = max(place, words[-1][1] if words else 0)
+        words += [p for w in own if w[0] >= floor for p in pieces(text, *w)]
+        place = floor = max(place, own[-1][1])
     result, ends = [], -10
     fixed = sorted((s, e) for _, s, e in taken)
     k, reach = 0, -1
@@ -126,7 +142,7 @@ def runs(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, i
         if reach > start:
             ends = -10
             continue
-        if 0 < start - ends <= 3 and "\n" not in text[ends:start]:
+        if 0 <= start - ends <= 3 and "\n" not in text[ends:start] and not text[ends:start].strip(WHITE):
             result[-1].append((start, end))
         else:
             result.append([(start, end)])
@@ -165,8 +181,8 @@ def features(span: str) -> list[str]:
     if "@" in plain:
         name, _, domain = plain.partition("@")
         good = bool(DOMAIN.fullmatch(domain)) and bool(name) and set(name) <= LOCAL
-        return [f"mail {good}", f"mail {good} words {plain.count(' ')}"]
-    found = [f"digits {min(len(digits), 20)}", f"groups {len(groups)}", "others " + others, "shape " + shape,
+        return [f"mail {good}", f"mail {good} words {plain.count(' ')}"] + ["dot"] * (domain.count(".") if good else 0)  # a part is less than the whole
+    found = [f"zeros {plain[:2] == '00'}", f"digits {min(len(digits), 20)}", f"groups {len(groups)}", "others " + others, "shape " + shape,
              "sizes " + "-".join(str(min(len(g), 20)) for g in groups)]
     if "(" in plain or ")" in plain:
         found.append(f"brackets {plain.count('(') == plain.count(')') == 1}")
@@ -239,11 +255,15 @@ def _variants(kind: int, span: str, rnd: random.Random) -> list[tuple[str, int |
     elif kind == 2:
         broken = digits[:-1] + str((int(digits[-1]) + rnd.randint(1, 9)) % 10)
         kept += [(digits, 2), (".".join(digits[i:i + 4] for i in range(0, len(digits), 4)), 2),
-                 (broken, None), (digits[:rnd.randint(9, 14)], None), (f"{digits[:8]}ab{digits[8:]}", None),
+                 (broken, None), (" ".join(broken[i:i + 2] for i in range(0, len(broken), 2)), None), (digits[:rnd.randint(9, 14)], None), (f"{digits[:8]}ab{digits[8:]}", None),
                  ("-".join(broken[i:i + 4] for i in range(0, len(broken), 4)), None)]
     else:
         local = digits[-10:]
         if len(digits) >= 11:
+            twos, ones = [" ".join(local[i:i + 2] for i in range(k, 10, 2)) for k in (0, 2)]
+            kept += [(f"00{digits[:2]} {local[1]} {ones}", 3), (f"00{digits[:2]} {twos}", 3), (f"00{digits[:2]} {local[:3]} {local[3:6]} {local[6:]}", 3),
+                     (f"{digits[:4]} {local[1]} {ones}", None), (f"{digits[:4]} {twos}", None), (f"{digits[:2]} {twos} {ones}", None),
+                     (" ".join(local), None)]
             kept += [(f"({local[:3]}) {local[3:6]}-{local[6:]}", 3), (f"{local[:3]}-{local[3:6]}-{local[6:]}", 3),
                      (f"{local[:3]}.{local[3:6]}.{local[6:]}", 3), (f"00{digits[:-10]} {local[:3]} {local[3:6]} {local[6:]}", 3),
                      (f"{local[3:6]}-{local[6:]}", None), (local, None), (local[:4], None),

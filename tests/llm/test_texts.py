@@ -161,6 +161,26 @@ def test_added_spans(llm, odd, rows, none):
     assert pii.fit(none).weights
 
 
+def test_long_spans_and_over_long_words():
+    field = pii.trained([])
+    assert max(len(text.split()) for k, kind in enumerate(pii.KINDS) for span in pii.EXAMPLES[kind]
+               for text, label in pii._variants(k, span, random.Random(1)) if label is not None) <= pii.MOST_WORDS
+    for kind, span in ((0, "mary.smith (at) mail (dot) example (dot) org"), (0, "k-lee+news (at) post (dot) example (dot) co (dot) uk"),
+                       (3, "0033 6 12 34 56 78"), (3, "0049 30 12 34 56 78")):
+        assert field.spans(f"to {span} now") == ([], [(kind, 3, 3 + len(span))]), span
+    for kind, span in ((3, "386-555-3733"), (0, "bob[at]example.com"), (1, "83[.]64[.]220[.]33")):
+        for before, after in (("https://example.org/" + "path/" * 20 + "?q=", "&x=y"), ('{"a":"' + "b" * 90 + '","c":"', '","d":"e"}'),
+                              ("漢字" * 50, "漢字"), ("name,city," * 10, ",x"), ("a:" * 50, "/" + "z" * 5000)):
+            text = f"see {before}{span}{after} end"
+            assert field.spans(text) == ([], [(kind, 4 + len(before), 4 + len(before) + len(span))]), text
+    chain = "-".join(["mary"] * 20) + "[at]mail[dot]example[dot]org"
+    assert any(k == 0 for k, _, _ in field.spans(chain)[1])
+    for text in ("1 22 333 4444 55 66 777 8 99 1000", "10 20 30 40 50 60 70 80", "a" * 500 + "1", "1," * 500, "/2024/01/05/" * 20):
+        assert field.spans(text) == ([], []), text
+    for text in ("1-" * 50_000, "ab1." * 50_000, "(at)" * 30_000, "漢1" * 30_000):
+        field.spans(text)
+
+
 # -- licences -------------------------------------------------------------------------------
 
 def test_licences(llm, odd, rows, none):
