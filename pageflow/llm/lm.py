@@ -1,9 +1,9 @@
 """Stupid-backoff scores of documents against the rest of the corpus.
 
-Counts of all words and word pairs come from `grams.counted`: tables partitioned by hash, joined to the n-grams of each
-document and summed per document. A document's own occurrences are taken off, so that it is scored by what the other
-documents say. A pair seen elsewhere scores its count over that of its first word; else 0.4 times the share of the
-word alone.
+Counts of all n-grams of up to `order` words come from `grams.counted`: tables partitioned by hash, joined to the n-grams
+of each document and summed per document. A document's own occurrences are taken off, so that it is scored by what the
+other documents say. The longest n-gram seen elsewhere scores its count over that of its words but the last, times 0.4
+for each longer one that was not; with none, the share of the word alone. The query takes triples, pairs and words.
 """
 
 import math
@@ -18,6 +18,8 @@ from pageflow.llm.grams import Words, characters, chunked, counted, counts_of, p
 # What a step back costs, and the count of a word no other document has.
 BACKOFF, UNSEEN = 0.4, 0.5
 ORDER, KEEP = 2, 6
+# Words of the longest n-gram of the query.
+QUERY_ORDER = 3
 
 
 def _all_grams(words: Words, order: int) -> np.ndarray:
@@ -78,4 +80,4 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def op8_lm(spark, sf_dir: str) -> DataFrame:
-    return scores(table(prepared(spark), sf_dir, "documents"))
+    return scores(table(prepared(spark), sf_dir, "documents"), QUERY_ORDER)

@@ -158,6 +158,39 @@ def test_scores_against_the_other_documents(odd, rows, none):
     assert lm.scores(none).count() == 0
 
 
+def test_the_query_scores_triples(llm, odd, rows, tmp_path):
+    def grams(w, n):
+        return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+
+    every, expected = [Counter() for _ in range(4)], []
+    for _, text in rows:
+        for n in (1, 2, 3):
+            every[n].update(grams(words_of(text), n))
+    for number, text in rows:
+        w = words_of(text)
+        left = [None] + [every[n] - grams(w, n) for n in (1, 2, 3)]
+        total, score, backed = sum(every[1].values()) - len(w), 0.0, 0
+        for i in range(len(w)):
+            steps = 0
+            for n in range(min(3, i + 1), 0, -1):
+                gram = tuple(w[i - n + 1:i + 1])
+                if n == 1:
+                    score += math.log(max(left[1][gram], 0.5) / max(total, 1))
+                elif left[n][gram]:
+                    score += math.log(left[n][gram] / left[n - 1][gram[:-1]])
+                    break
+                else:
+                    steps += 1
+            score += steps * math.log(0.4)
+            backed += steps > 0
+        expected.append((number, len(w), backed, score))
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    found = lm.op8_lm(llm, str(tmp_path)).select("doc_id", "n_words", "n_backed_off", "sum_log").collect()
+    key = lambda r: (repr(r[0]), r[1], r[2], round(r[3], 2))
+    assert [x[:3] for x in sorted(map(tuple, found), key=key)] == [x[:3] for x in sorted(expected, key=key)]
+    assert sorted(r.sum_log for r in found) == pytest.approx(sorted(x[3] for x in expected), abs=1e-4)
+
+
 # -- mixing ---------------------------------------------------------------------------------
 
 def test_mixing(llm, odd, none):
