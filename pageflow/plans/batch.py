@@ -22,15 +22,17 @@ def editor_patterns_job(spark: SparkSession, archive: str, min_pages: int = 5) -
 
 
 EDITOR_PARTS = "user_name string, domain string, pages bigint, timed bigint, first bigint, last bigint, hours int"
+# The run of a stretch without a start: less than the seconds of any timestamp.
+NO_START = -2 ** 53
 
 
-def editor_parts_job(spark: SparkSession, archive: str, parts: str, since: str, until: str) -> None:
-    """Adds what profiles need of the pages since <= event_time < until to the table `parts`.
+def editor_parts_job(spark: SparkSession, archive: str, parts: str, since: str | None, until: str | None) -> None:
+    """Adds what profiles need of the pages since <= event_time < until (either may be None) to the table `parts`.
 
     A run reads only the archive days of its stretch. Run again for the same stretch it replaces its own rows; stretches
     of different runs must not overlap.
     """
-    number = spark.range(1).select(F.unix_seconds(instant(since))).first()[0]
+    number = NO_START if since is None else spark.range(1).select(F.unix_seconds(instant(since))).first()[0]
     table_sink(parts)(editor_parts(read_archive(spark, archive, since, until)), number)
 
 

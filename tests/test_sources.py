@@ -1,9 +1,14 @@
+from datetime import timedelta
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 
 from pageflow.operators.clean import parse_events
+from pageflow.plans import checks
 from pageflow.plans.batch import editor_patterns_job, hourly_report_job, run_job
 from pageflow.session import scratch_dir
 from pageflow.sources import topics
@@ -73,6 +78,19 @@ def test_jobs_read_the_archive(spark, archive, folder):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_incremental_profiles_cover_all_times(spark, tmp_path):
+    rows = pq.read_table("/root/testdata/sf0.001/events.parquet")
+    place = rows.schema.get_field_index("ts")
+    moved = [rows.set_column(place, "ts", pc.add(rows["ts"], pa.scalar(timedelta(days=days), pa.duration("us")))) for days in (-900, 900)]
+    pq.write_table(pa.concat_tables([rows, *moved]), tmp_path / "events.parquet")
+
+    def profiles(query):
+        return sorted((r.user_name, r.total_pages, r.avg_gap_seconds) for r in query(spark, str(tmp_path)).collect())
+
+    whole = profiles(checks.archive_editor_patterns)
+    assert whole and profiles(checks.editor_patterns_incremental) == whole
+
+
 def test_nothing_written_yet_is_no_rows_but_other_errors_surface(spark, folder):
     path = folder()
     assert read_archive(spark, path).count() == 0
