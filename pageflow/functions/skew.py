@@ -1,15 +1,13 @@
 """Joins whose key may be hot."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-def salted_join(rows: DataFrame, keyed: DataFrame, on: list, spread: list, salts: int | None = None) -> DataFrame:
-    """Inner join of many `rows` to few `keyed` rows, each key's rows dealt over `salts` tasks.
 
-    `spread` names the columns whose hash deals the rows; `keyed` is repeated once per salt. Without `salts` a key is
-    dealt over as many tasks as a shuffle has.
-    If adaptive execution measures `keyed` small enough, the join is broadcast instead.
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list, piece: Column) -> DataFrame:
+    """Inner join of many `rows` to few `keyed` rows, with a column `piece`, dealt by key and piece.
+
+    Nothing is copied beforehand. Adaptive execution sends `keyed` to all tasks if it measures it small, and else splits the
+    partitions of hot keys, which it may because the result is dealt anew: an aggregation by key and piece then finds
+    a hot key's rows in as many tasks as it has pieces. Only rows that found a partner are dealt again.
     """
-    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*on, "salt"]).drop("salt")
+    return rows.join(keyed, on).withColumn("piece", piece).repartition(*on, "piece")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.functions.skew import salted_join
+from pageflow.functions.skew import spread_join
 from pageflow.operators.alerts import alert_time
 from pageflow.operators.clean import present
 
@@ -22,6 +22,12 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
     Shuffles hold flags, a count and the set of domains per user and window, never the titles; `spam_titles` adds those
     afterwards.
     """
+    return _alert_rows(scored_windows(events, window, velocity, min_len, max_len, pattern))
+
+
+def scored_windows(events: DataFrame, window: str = "5 minutes", velocity: int = 10,
+                   min_len: int = 3, max_len: int = 80, pattern: str = SUSPICIOUS_TITLE) -> DataFrame:
+    """The same with the window as one column, which a stream's joins need."""
     title, length = F.col("page_title"), F.length("page_title")
     scored = human_pages(events).groupBy(F.window("event_time", window), "user_name").agg(
         F.count("*").alias("page_count"),
@@ -40,13 +46,13 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
     # would otherwise add to one of its uses, so that they can share one shuffle.
     found = scored.where(F.col("window.start").isNotNull())
     return found.where(suspicious | fast | wide | odd_length).select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "user_name",
-        severity.alias("severity"),
-        "page_count",
-        "domains",
-        reasons.alias("reasons"))
+        "window", "user_name", severity.alias("severity"), "page_count", "domains", reasons.alias("reasons"))
+
+
+def _alert_rows(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "user_name", "severity", "page_count", "domains", "reasons")
 
 
 def human_pages(events: DataFrame) -> DataFrame:
@@ -54,21 +60,47 @@ def human_pages(events: DataFrame) -> DataFrame:
 
 
 def spam_titles(events: DataFrame, alerts: DataFrame, window: str = "5 minutes",
-                part_size: int = TITLES_PER_PART, salts: int | None = None) -> DataFrame:
+                part_size: int = TITLES_PER_PART) -> DataFrame:
     """The titles behind each alert: window_start, user_name, part, titles.
 
     All titles come out, dealt over ceil(page_count / part_size) parts, so that one user's
-    window, however large, is never gathered into a single row or task. `salts` is the number of
-    tasks the titles of one window are joined in.
+    window, however large, is never gathered into a single row or task.
     """
-    spread = [c for c in ("page_id", "page_title", "event_time") if c in events.columns]
     created = present(human_pages(events), "page_title").select(
-        F.window("event_time", window)["start"].alias("window_start"), "user_name", *spread)
+        F.window("event_time", window)["start"].alias("window_start"), "user_name", "page_title", _draw(events).alias("draw"))
     keyed = alerts.select("window_start", "user_name", _parts(part_size).alias("parts"))
-    part = F.pmod(F.xxhash64(F.lit("part"), *spread), "parts").cast("int")
-    hits = salted_join(created, keyed, ["window_start", "user_name"], spread, salts)
-    return hits.groupBy("window_start", "user_name", part.alias("part")).agg(
-        F.sort_array(F.collect_list("page_title")).alias("titles"))
+    hits = spread_join(created, keyed, ["window_start", "user_name"], F.pmod("draw", "parts").cast("int"))
+    return _gathered(hits.withColumnRenamed("piece", "part"))
+
+
+def _draw(events: DataFrame):
+    """A number for each page that deals it to a part."""
+    return F.xxhash64(F.lit("part"), *[c for c in ("page_id", "page_title", "event_time") if c in events.columns])
+
+
+def _gathered(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("window_start", "user_name", "part").agg(F.sort_array(F.collect_list("page_title")).alias("titles"))
+
+
+def alert_pages(events: DataFrame, window: str = "5 minutes", salts: int = 16, **rules) -> DataFrame:
+    """Of a stream with a watermark, each closed window's alert with each of its pages: alert columns, page_title, draw.
+
+    Both sides are in Spark's state until the window closes: flags per user and window, and a row per page, which is
+    evicted with its window. A user's pages of a window are dealt over `salts` tasks; alerts, which are few, are copied to them.
+    """
+    alerts = scored_windows(events, window, **rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    draw = _draw(events)
+    pages = human_pages(events).select(
+        F.window("event_time", window), "user_name", "page_title", draw.alias("draw"), F.pmod(draw, F.lit(salts)).cast("int").alias("salt"))
+    return alerts.join(pages, ["window", "user_name", "salt"]).select(
+        F.col("window.start").alias("window_start"), "user_name", "severity", "page_count", "domains", "reasons", "page_title", "draw")
+
+
+def messages_of_pages(rows: DataFrame, part_size: int = TITLES_PER_PART) -> DataFrame:
+    """The alerts of `alert_pages` as messages with all their titles."""
+    part = F.pmod("draw", _parts(part_size)).cast("int")
+    titles = _gathered(rows.where("page_title is not null").withColumn("part", part))
+    return spam_messages(rows.drop("page_title", "draw").dropDuplicates(["window_start", "user_name"]), titles, part_size)
 
 
 def spam_messages(alerts: DataFrame, titles: DataFrame, part_size: int = TITLES_PER_PART) -> DataFrame:

@@ -4,19 +4,17 @@ The table is sparse (a few hundred events per day and domain at the smallest sca
 queries widen the windows; the operators' defaults are the production values.
 """
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
 from pageflow.operators import (
     alerts, bots, clean, domains, editors, reports, serving, spam, spikes, upsert, views)
 from pageflow.plans import batch
-from pageflow.schema import LANGUAGE_ACTIVITY, PAGES, TABLE_KEYS
+from pageflow.schema import LANGUAGE_ACTIVITY, PAGES, SKETCHES, TABLE_KEYS
 from pageflow.session import configure, scratch_dir
 from pageflow.sources.files import file_source, read_archive
 from pageflow.sources.samples import mixed_messages, page_creates, raw_messages
-from pageflow.streaming import jobs, sinks
+from pageflow.streaming import jobs, sinks, versions
 
 NOW = {"availableNow": True}
 
@@ -48,14 +46,39 @@ def creates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.parse_events(raw_messages(page_creates(events)))
 
 
-def creates_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events in three micro-batches in the order of time. Files are taken in the order they were written."""
+# An event after all others, which lets the watermark close their windows.
+CLOSING = "closing"
+
+
+def run_in_turns(spark: SparkSession, sf_dir: str, *starts, closing: bool = False) -> None:
+    """Feeds the events to streaming jobs in three stretches of time. Each job is started anew for every stretch, goes on from
+    its checkpoint, and ends with the files there are. starts: functions (events, checkpoint) -> query, run one by one."""
     path, events = scratch_dir(spark, "feed"), spark.read.parquet(f"{sf_dir}/events.parquet")
-    cuts = ["1970-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
-    for first, last in zip(cuts, cuts[1:]):
-        events.where((F.col("ts") >= first) & (F.col("ts") < last)).coalesce(1).write.mode("append").parquet(path)
-        time.sleep(1.1)
-    return clean.parse_events(raw_messages(page_creates(file_source(spark, path, events.schema, files_per_trigger=1))))
+    parts = [events.where(at) for at in _thirds(events)]
+    if closing:
+        parts.append(_closing_event(events))
+    checkpoints = [scratch_dir(spark, "checkpoint") for _ in starts]
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        for start, checkpoint in zip(starts, checkpoints):
+            feed = clean.parse_events(raw_messages(page_creates(file_source(spark, path, events.schema))))
+            start(feed, checkpoint).awaitTermination()
+
+
+def _thirds(events: DataFrame) -> list:
+    """Conditions that cut the events into three stretches of time; those without a time are in the first."""
+    first, second = events.agg(F.percentile_approx("ts", [1 / 3, 2 / 3])).first()[0] or (None, None)
+    if first is None:
+        return [F.lit(True), F.lit(False), F.lit(False)]
+    ts, a, b = F.col("ts"), F.lit(first), F.lit(second)
+    return [F.coalesce(ts < a, F.lit(True)), (ts >= a) & (ts < b), ts >= b]
+
+
+def _closing_event(events: DataFrame) -> DataFrame:
+    """A page by a person, of a domain of its own, a year after the last event."""
+    late = events.agg((F.max("ts") + F.expr("INTERVAL 366 DAYS")).alias("ts"))
+    values = {"event_id": F.lit(1), "user_id": F.lit(1), "event_type": F.lit(CLOSING), "ts": F.col("ts")}
+    return late.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
 
 
 def _last_time(events: DataFrame) -> str:
@@ -114,9 +137,10 @@ def bot_spam_minutes(spark, sf_dir):
 # -- domains --------------------------------------------------------------------------------
 
 def _with_close(rows, exact, *keys):
-    """For the sketch's estimate of the authors, whether it is within 15 % (three standard errors) of their number."""
+    """For the sketch's estimate of the authors, whether it is within 5 % (three standard errors) of their number: up to
+    19 authors it must be their number."""
     known = exact.select(*keys, F.col("unique_authors").alias("authors"))
-    close = F.abs(F.col("unique_authors") - F.col("authors")) * 100 <= F.col("authors") * 15
+    close = F.abs(F.col("unique_authors") - F.col("authors")) * 100 <= F.col("authors") * 5
     return rows.join(known, list(keys)).withColumn("close", close).drop("unique_authors", "authors")
 
 
@@ -149,6 +173,15 @@ def domain_activity_sketch(spark, sf_dir):
                        "domain", "window_start")
 
 
+def domain_activity_from_sketches(spark, sf_dir):
+    """Days from the sketches of single minutes that a stream has stored, and the events no more."""
+    path = scratch_dir(spark, "sketches")
+    run_in_turns(spark, sf_dir, lambda events, checkpoint: jobs.start_domain_sketches(
+        events, sinks.table_sink(path, "window_start"), checkpoint, **NOW), closing=True)
+    minutes = sinks.read_rows(spark, path, SKETCHES, "window_start").drop(sinks.BATCH)
+    return _with_close(domains.activity_of_sketches(minutes, "1 day"), domain_activity_exact(spark, sf_dir), "domain", "window_start")
+
+
 def domain_latest(spark, sf_dir):
     return domains.domain_latest(domain_activity_exact(spark, sf_dir))
 
@@ -350,7 +383,24 @@ def stored_page(spark, sf_dir):
 
 
 def stored_domain_pages(spark, sf_dir):
-    return serving.pages_of_domain(_stored_pages(spark, sf_dir, "pages_by_domain", "domain", DOMAIN), DOMAIN)
+    """A domain's newest pages, from a table that is read from its newest day on."""
+    path = _newest_first(spark, sf_dir, "pages_by_domain", "domain")
+    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN), 100)
+    return serving.pages_of_domain(rows, DOMAIN)
+
+
+def stored_domain_pages_between(spark, sf_dir):
+    path = _newest_first(spark, sf_dir, "pages_by_domain", "domain")
+    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN), 50,
+                             first=FROM[:10], last=TO[:10])
+    return serving.pages_of_domain(rows, DOMAIN, FROM, TO, limit=50)
+
+
+def _newest_first(spark, sf_dir, name, key):
+    path = scratch_dir(spark, "table")
+    jobs.start_views(creates_stream(spark, sf_dir), {name: sinks.newest_first_sink(path, key, "created_at")},
+                     scratch_dir(spark, "checkpoint"), **NOW).awaitTermination()
+    return path
 
 
 def stored_hourly_report(spark, sf_dir):
@@ -376,6 +426,7 @@ def _table_of(spark, start, schema, keys, **read):
 METRICS = (
     "domain string, window_start timestamp, window_end timestamp, human_count bigint, bot_count bigint, "
     "bot_percentage double, top_humans array<string>, top_bots array<string>")
+STATS = "domain string, pages_count bigint, unique_authors bigint, avg_title_length double, last_updated timestamp"
 SPAM = "window_start timestamp, window_end timestamp, domain string, bot_name string, pages_created bigint"
 HUMAN_SPAM = (
     "window_start timestamp, window_end timestamp, user_name string, severity string, page_count bigint, "
@@ -439,36 +490,79 @@ def stream_domain_trend(spark, sf_dir):
 
 def stream_domain_latest(spark, sf_dir):
     _, stats = _stream_domains(spark, sf_dir)
-    rows = sinks.read_table(
-        spark, stats,
-        "domain string, pages_count bigint, unique_authors bigint, avg_title_length double, last_updated timestamp",
-        TABLE_KEYS["domain_stats"], order=["last_updated"])
+    rows = sinks.read_table(spark, stats, STATS, TABLE_KEYS["domain_stats"], order=["last_updated"])
+    return _with_close(rows, domain_latest(spark, sf_dir), "domain")
+
+
+def stream_domain_trend_joined(spark, sf_dir):
+    """Closed windows with their trend, from a join of two streams."""
+    path = scratch_dir(spark, "table")
+    run_in_turns(spark, sf_dir, lambda events, checkpoint: jobs.start_domain_trend(
+        events, sinks.table_sink(path), checkpoint, "1 day", **NOW), closing=True)
+    rows = sinks.read_rows(spark, path, LANGUAGE_ACTIVITY).drop(sinks.BATCH)
+    return _with_close(rows, domain_activity_exact(spark, sf_dir), "domain", "window_start")
+
+
+def stored_domains(spark, sf_dir):
+    _, stats = _stream_domains(spark, sf_dir)
+    rows = serving.list_domains(sinks.read_table(spark, stats, STATS, TABLE_KEYS["domain_stats"], order=["last_updated"]))
     return _with_close(rows, domain_latest(spark, sf_dir), "domain")
 
 
 def stream_spam_alerts(spark, sf_dir):
-    events = creates_in_batches(spark, sf_dir)
-    return _table_of(
-        spark, lambda sink, checkpoint: jobs.start_spam_alerts(
-            events, sink, scratch_dir(spark, "pages"), checkpoint, "1 day", **NOW),
-        HUMAN_SPAM, ["window_start", "user_name"])
+    path = scratch_dir(spark, "table")
+    run_in_turns(spark, sf_dir, lambda events, checkpoint: jobs.start_spam_alerts(
+        events, sinks.table_sink(path), checkpoint, "1 day", **NOW))
+    return sinks.read_table(spark, path, HUMAN_SPAM, ["window_start", "user_name"])
 
 
 def stream_spam_messages(spark, sf_dir):
-    """Alerts with all their titles, which the job keeps itself."""
-    events = creates_in_batches(spark, sf_dir)
-    return _table_of(
-        spark, lambda sink, checkpoint: jobs.start_spam_alerts(
-            events, _ignore, scratch_dir(spark, "pages"), checkpoint, "1 day", message_sink=sink, **NOW),
-        MESSAGES, ["alert_time", "user_name", "part"])
+    """Alerts of closed windows with all their titles, each once."""
+    path = scratch_dir(spark, "table")
+    run_in_turns(spark, sf_dir, lambda events, checkpoint: jobs.start_spam_messages(
+        events, sinks.table_sink(path), checkpoint, "1 day", **NOW), closing=True)
+    return sinks.read_rows(spark, path, MESSAGES).drop(sinks.BATCH)
+
+
+def _spikes(spark, sf_dir, start, closing):
+    path, titles = scratch_dir(spark, "table"), scratch_dir(spark, "titles")
+    run_in_turns(
+        spark, sf_dir,
+        lambda events, checkpoint: jobs.start_first_titles(events, titles, checkpoint, "1 hour", **NOW),
+        lambda events, checkpoint: start(events, sinks.table_sink(path), titles, checkpoint, "12 hours", "1 hour", **NOW),
+        closing=closing)
+    return path
 
 
 def stream_spikes(spark, sf_dir):
-    events = creates_in_batches(spark, sf_dir)
-    return _table_of(
-        spark, lambda sink, checkpoint: jobs.start_activity_spikes(
-            events, sink, scratch_dir(spark, "panes"), checkpoint, "12 hours", "1 hour", **NOW),
-        SPIKES, ["domain", "window_start"])
+    path = _spikes(spark, sf_dir, jobs.start_activity_spikes, False)
+    return sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
+
+
+def stream_spikes_closed(spark, sf_dir):
+    """The same from slides that one aggregation counts and the next puts together, each window once."""
+    path = _spikes(spark, sf_dir, jobs.start_closed_spikes, True)
+    return sinks.read_rows(spark, path, SPIKES).drop(sinks.BATCH).where(F.col("domain") != CLOSING)
+
+
+def archive_file_sink(spark, sf_dir):
+    """The archive by Spark's own file sink, which a restart goes on with."""
+    path = scratch_dir(spark, "archive")
+    run_in_turns(spark, sf_dir, lambda events, checkpoint: jobs.start_archive_files(
+        events.drop("page_id", "user_id"), path, checkpoint, **NOW))
+    return spark.read.parquet(path).select(
+        "page_title", "domain", "user_name", "user_is_bot", "event_time", "year", "month", "day")
+
+
+def upsert_stored(spark, sf_dir):
+    """Each user's newest page, kept in a table that micro-batches change only where their users are."""
+    path = scratch_dir(spark, "table")
+    write = versions.upsert_sink(path, PAGES["pages_by_user"], ["user_id"], "user_id", order_col="created_at")
+    pages = pages_by_user(spark, sf_dir)
+    number = F.col("page_id").cast("bigint")
+    for batch_id in (0, 1):
+        write(pages.where(number % 2 == batch_id), batch_id)
+    return versions.read_upserted(spark, path, PAGES["pages_by_user"])
 
 
 def _stream_view(name):
@@ -490,7 +584,7 @@ QUERIES = [
     "bot_activity", "bot_activity_minute", "high_bot_alerts", "high_bot_alerts_min_pages",
     "bot_alert_messages", "bot_spam", "bot_spam_minutes", "bot_spam_wide",
     "domain_activity", "domain_activity_exact", "domain_trend", "domain_trend_minute",
-    "domain_trend_joined", "domain_activity_sketch", "domain_latest",
+    "domain_trend_joined", "domain_activity_sketch", "domain_activity_from_sketches", "domain_latest",
     "spam_alerts", "spam_alerts_rules", "spam_alert_messages", "spam_alert_titles",
     "activity_spikes", "activity_spike_windows", "activity_spikes_minutes",
     "hourly_report", "hourly_report_history", "hourly_top_authors", "editor_patterns",
@@ -500,9 +594,9 @@ QUERIES = [
     "q_domain_pages", "q_domain_pages_between", "upsert_latest", "upsert_batch_wins",
     "stream_ingest", "archive_roundtrip", "archive_between", "archive_hourly_report", "archive_editor_patterns",
     "editor_patterns_incremental", "stored_user_pages", "stored_page", "stored_domain_pages", "stored_hourly_report",
-    "stored_editor_patterns",
-    "stream_bot_activity", "stream_high_bot_alerts", "stream_bot_spam", "stream_domain_trend",
-    "stream_domain_latest", "stream_spam_alerts", "stream_spam_messages", "stream_spikes",
+    "stored_editor_patterns", "stored_domains", "stored_domain_pages_between", "upsert_stored", "archive_file_sink",
+    "stream_bot_activity", "stream_high_bot_alerts", "stream_bot_spam", "stream_domain_trend", "stream_domain_trend_joined",
+    "stream_domain_latest", "stream_spam_alerts", "stream_spam_messages", "stream_spikes", "stream_spikes_closed",
     "stream_pages_by_user", "stream_page_details", "stream_pages_by_domain",
 ]
 

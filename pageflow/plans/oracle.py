@@ -266,6 +266,16 @@ def statements() -> dict:
         "SELECT strftime(time_start, '%H:%M') AS time_start, strftime(time_end, '%H:%M') AS time_end, "
         "domain, pages_created, unique_authors, bot_percent, listed AS top_authors FROM ("
         "SELECT * FROM report WHERE domain = 'click' ORDER BY time_start DESC LIMIT 6)", AUTHORS, REPORT)
+    newest_page = with_events(
+        "SELECT user_id, created_at, page_id, page_title, domain FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, "
+        f"CAST(page_id AS BIGINT) % 2 DESC, page_id DESC) AS rn FROM ({BY_USER})) WHERE rn = 1")
+    domain_pages_between = with_events(f"{BY_DOMAIN} WHERE domain = 'click' AND {BETWEEN.format('<=')} {NEWEST} 50")
+    archived = with_events(
+        f"SELECT {ARCHIVED}, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(day(ts) AS INT) AS day FROM ev")
+    trends = with_events(trend("day", f"{newest}, true AS close"), day)
+    latest_figures = with_events(f"SELECT * {newest}, true AS close FROM ({LATEST})", day)
+    day_spikes = with_events("SELECT * FROM spikes WHERE spike_ratio > 3", twelve_hours)
     busy = with_events("SELECT * FROM patterns WHERE total_pages >= 50", EDITORS)
     messages = with_events(
         "SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS alert_time, "
@@ -294,6 +304,8 @@ def statements() -> dict:
         "domain_trend_joined": with_events(trend("day"), day),
         "domain_activity_sketch": with_events(
             "SELECT * EXCLUDE (unique_authors), true AS close FROM activity", day),
+        "domain_activity_from_sketches": with_events(
+            "SELECT * EXCLUDE (unique_authors), true AS close FROM activity", day),
         "domain_latest": with_events(LATEST, day),
         "spam_alerts": with_events(alerts, day_spam),
         "spam_alerts_rules": with_events(alerts, spam(TEN_DAYS, "10 DAY", 20)),
@@ -328,21 +340,18 @@ def statements() -> dict:
         "stored_page": one_page,
         "q_domain_pages": domain_pages,
         "stored_domain_pages": domain_pages,
-        "q_domain_pages_between": with_events(
-            f"{BY_DOMAIN} WHERE domain = 'click' AND {BETWEEN.format('<=')} {NEWEST} 50"),
-        "upsert_latest": with_events(
-            "SELECT user_id, created_at, page_id, page_title, domain FROM ("
-            "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, "
-            f"CAST(page_id AS BIGINT) % 2 DESC, page_id DESC) AS rn FROM ({BY_USER})) WHERE rn = 1"),
+        "q_domain_pages_between": domain_pages_between,
+        "stored_domain_pages_between": domain_pages_between,
+        "upsert_latest": newest_page,
+        "upsert_stored": newest_page,
         "upsert_batch_wins": with_events(
             "SELECT * FROM bot_activity UNION ALL SELECT a.* FROM activity a "
             "WHERE NOT EXISTS (SELECT 1 FROM bot_activity b "
             "WHERE a.domain = b.domain AND a.window_start = b.window_start)", day, bot_figures),
         "stream_ingest": with_events(
             "SELECT value, key FROM mixed WHERE key IS DISTINCT FROM 'canary'", MIXED),
-        "archive_roundtrip": with_events(
-            f"SELECT {ARCHIVED}, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, "
-            "CAST(day(ts) AS INT) AS day FROM ev"),
+        "archive_roundtrip": archived,
+        "archive_file_sink": archived,
         "archive_between": with_events(f"SELECT {ARCHIVED} FROM ev WHERE {BETWEEN.format('<')}"),
         "archive_hourly_report": six_hours,
         "archive_editor_patterns": patterns,
@@ -350,10 +359,13 @@ def statements() -> dict:
         "stream_high_bot_alerts": with_events(
             f"{HIGH_BOT} WHERE bot_percentage > 20 AND window_end <= {CLOSED}", hour),
         "stream_bot_spam": spam_ten_days,
-        "stream_domain_trend": with_events(trend("day", f"{newest}, true AS close"), day),
-        "stream_domain_latest": with_events(f"SELECT * {newest}, true AS close FROM ({LATEST})", day),
+        "stream_domain_trend": trends,
+        "stream_domain_trend_joined": trends,
+        "stream_domain_latest": latest_figures,
+        "stored_domains": latest_figures,
         "stream_spam_alerts": with_events(alerts, day_spam),
-        "stream_spikes": with_events("SELECT * FROM spikes WHERE spike_ratio > 3", twelve_hours),
+        "stream_spikes": day_spikes,
+        "stream_spikes_closed": day_spikes,
         "stream_pages_by_user": with_events(BY_USER),
         "stream_page_details": with_events(DETAILS),
         "stream_pages_by_domain": with_events(BY_DOMAIN),

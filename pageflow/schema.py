@@ -61,11 +61,9 @@ TABLE_KEYS = {
     "pages_by_domain": ["domain", "created_at", "page_id"],
 }
 
-# What the spam and spike jobs keep of their input.
-HUMAN_PAGES = (
-    "page_id string, page_title string, domain string, user_name string, user_is_bot boolean, "
-    "event_time timestamp, window_start timestamp")
-PANES = "domain string, pane timestamp, pages bigint, titles array<struct<event_time:timestamp,page_title:string>>"
+# What the spike job keeps of its input, and what longer windows of domain activity are made of.
+FIRST_TITLES = "domain string, pane timestamp, titles array<struct<event_time:timestamp,page_title:string>>"
+SKETCHES = "domain string, window_start timestamp, pages bigint, authors binary, title_chars bigint, titles bigint"
 
 # The columns of the page listings.
 PAGES = {

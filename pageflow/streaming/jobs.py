@@ -9,9 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pageflow.functions.durations import seconds
 from pageflow.operators import bots, clean, domains, spam, spikes, views
 from pageflow.operators.upsert import latest
-from pageflow.schema import HUMAN_PAGES, LANGUAGE_ACTIVITY, PANES, TABLE_KEYS
-from pageflow.streaming.sinks import (
-    archive_sink, read_rows, read_table, read_windows, table_sink, watermark, window_sink)
+from pageflow.schema import FIRST_TITLES, LANGUAGE_ACTIVITY, TABLE_KEYS
+from pageflow.streaming.sinks import BATCH, archive_sink, dated, read_rows, table_sink
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
@@ -52,6 +51,15 @@ def start_archive(events: DataFrame, path: str, checkpoint: str, files_per_day:
     return start_each_batch(events, archive_sink(path, files_per_day), checkpoint, "append", trigger, once=True)
 
 
+def start_archive_files(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The archive through Spark's own file sink: its log under `path` names the files of finished micro-batches, and readers
+    of `path` take no others, so each event is there once also after a restart. Such a folder is read as a whole, by
+    `spark.read.parquet(path)`, which prunes by year, month and day."""
+    return (
+        dated(events).writeStream.format("parquet").partitionBy("year", "month", "day").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start())
+
+
 def start_bot_activity(events: DataFrame, metrics_sink, alert_sink, checkpoint: str, window: str = "1 minute",
                        k: int = 5, threshold: float = 80.0, delay: str = "1 minute",
                        min_pages: int | None = None, **trigger) -> StreamingQuery:
@@ -94,10 +102,12 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
     def publish(windows: DataFrame, batch_id: int) -> None:
         changed = domains.activity_rows(windows)
         start = F.col("window_start")
-        days = changed.select(F.to_date(F.min(start) - step), F.to_date(F.max(start) + step)).first()
-        stored = read_table(
-            changed.sparkSession, activity_path, LANGUAGE_ACTIVITY, keys, "window_start", between=tuple(days)
-        ).drop("trend_percent")
+        first, last, day, until = changed.select(
+            F.min(start) - step, F.max(start) + step, F.to_date(F.min(start) - step), F.to_date(F.max(start) + step)).first()
+        # Of the days in question only the windows next to the changed ones; the files' statistics rule out the others.
+        stored = latest(
+            read_rows(changed.sparkSession, activity_path, LANGUAGE_ACTIVITY, "window_start", (day, until)).where(
+                start.between(F.lit(first), F.lit(last))), keys, [BATCH]).drop(BATCH, "trend_percent")
         merged = latest(
             stored.withColumn("arrival", F.lit(0)).unionByName(changed.withColumn("arrival", F.lit(1))),
             keys, ["arrival"])
@@ -114,83 +124,86 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
     return start_each_batch(windows, publish, checkpoint, "update", trigger)
 
 
-def start_spam_alerts(events: DataFrame, sink, store: str, checkpoint: str, window: str = "5 minutes",
-                      delay: str = "2 minutes", rules: dict | None = None, message_sink=None,
-                      part_size: int = spam.TITLES_PER_PART, late_sink=None, **trigger) -> StreamingQuery:
-    """Spam alerts as users' windows fill; `rules` are keywords of `spam_alerts`.
+def start_domain_trend(events: DataFrame, sink, checkpoint: str, window: str = "1 minute", delay: str = "1 minute",
+                       **trigger) -> StreamingQuery:
+    """Activity and trend of closed windows, each once, from Spark's state alone."""
+    rows = domains.trend_stream(events.withWatermark("event_time", delay), window)
+    return start_each_batch(rows, sink, checkpoint, "append", trigger)
+
+
+def start_domain_sketches(events: DataFrame, sink, checkpoint: str, window: str = "1 minute", delay: str = "1 minute",
+                          **trigger) -> StreamingQuery:
+    """Mergeable figures of closed windows, each once, from which `activity_of_sketches` makes those of longer windows."""
+    rows = domains.domain_sketches(events.withWatermark("event_time", delay), window)
+    return start_each_batch(rows, sink, checkpoint, "append", trigger)
+
+
+def start_spam_alerts(events: DataFrame, sink, checkpoint: str, window: str = "5 minutes", delay: str = "2 minutes",
+                      rules: dict | None = None, **trigger) -> StreamingQuery:
+    """Spam alerts as soon as a user's window qualifies, and again as it fills; `rules` are keywords of `spam_alerts`.
+
+    Spark's state has flags, a count and the set of domains for each user and window, until the watermark closes it.
+    """
+    alerts = spam.spam_alerts(events.withWatermark("event_time", delay), window, **(rules or {}))
+    return start_each_batch(alerts, sink, checkpoint, "update", trigger)
+
+
+def start_spam_messages(events: DataFrame, sink, checkpoint: str, window: str = "5 minutes", delay: str = "2 minutes",
+                        rules: dict | None = None, part_size: int = spam.TITLES_PER_PART, salts: int = 16,
+                        **trigger) -> StreamingQuery:
+    """Alerts of closed windows as messages with all their titles, each once.
 
-    A micro-batch first puts its human pages into the folder `store`, by window. Then it takes all pages of the
-    users and windows it touched from there, scores them as in batch, and gives `message_sink` the alerts with all their
-    titles. No state is kept, no title is missing, and a repeated micro-batch replaces its pages. Pages of windows that the
-    watermark has closed go to `late_sink` instead.
+    The titles wait in the state of a join with the closed windows, a row each. All pages of a window come out with it, in
+    one micro-batch, so its messages are put together there.
     """
-    closed, keep = watermark(f"{store}/clock", delay), window_sink(f"{store}/pages")
+    rows = spam.alert_pages(events.withWatermark("event_time", delay), window, salts, **(rules or {}))
+    return start_each_batch(
+        rows, lambda pages, batch_id: sink(spam.messages_of_pages(pages, part_size), batch_id), checkpoint, "append", trigger)
+
+
+def start_first_titles(events: DataFrame, path: str, checkpoint: str, slide: str = "5 minutes", samples: int = 5,
+                       exclude_namespaces=(), **trigger) -> StreamingQuery:
+    """Keeps, for each micro-batch, the earliest titles of each domain and slide as the table `path`. Has no state."""
+    keep = table_sink(path, "pane")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark, bounds = batch.sparkSession, F.window("event_time", window)
-        mark = F.lit(closed(batch, batch_id)).cast("timestamp")
-        humans = spam.human_pages(batch.select("page_id", "page_title", "domain", "user_name", "user_is_bot", "event_time"))
-        pages = humans.select("*", bounds["start"].alias("window_start"), bounds["end"].alias("window_end"))
-        in_time = F.coalesce(F.col("window_end") > mark, F.lit(True))
-        if late_sink is not None:
-            late_sink(pages.where(~in_time), batch_id)
-        pages = pages.where(in_time).drop("window_end")
-        # One number for each window that the micro-batch touches.
-        starts = [r[0] for r in pages.select(F.unix_seconds("window_start")).distinct().collect()]
-        if not starts:
-            return
-        keep(pages, batch_id)
-        touched = pages.select("user_name", "window_start").distinct()
-        whole = read_windows(spark, f"{store}/pages", HUMAN_PAGES, starts).join(touched, ["user_name", "window_start"], "left_semi")
-        alerts = spam.spam_alerts(whole, window, **(rules or {})).persist()
-        try:
-            sink(alerts, batch_id)
-            if message_sink is not None:
-                titles = spam.spam_titles(whole, alerts, window, part_size)
-                message_sink(spam.spam_messages(alerts, titles, part_size), batch_id)
-        finally:
-            alerts.unpersist()
+        keep(spikes.first_titles(spikes.placed_titles(batch, slide, exclude_namespaces), samples), batch_id)
 
-    return start_each_batch(events, publish, checkpoint, "append", trigger)
+    return start_each_batch(events, publish, checkpoint, "append", trigger, once=True)
 
 
-def start_activity_spikes(events: DataFrame, sink, store: str, checkpoint: str, window: str = "1 hour",
+def start_activity_spikes(events: DataFrame, sink, titles: str, checkpoint: str, window: str = "1 hour",
                           slide: str = "5 minutes", threshold: float | None = 3.0, delay: str = "5 minutes",
                           samples: int = 5, min_baseline: float | None = None, exclude_namespaces=(),
-                          late_sink=None, **trigger) -> StreamingQuery:
-    """Spikes in the windows a micro-batch touches, equal to those of `activity_spikes` over all events so far.
+                          **trigger) -> StreamingQuery:
+    """Spikes as soon as a window is one, and again as it changes, with the sample titles that the table `titles` has by then.
 
-    A micro-batch puts a row for each domain and pane (a slide's stretch of time) into the folder `store`: its count and
-    its earliest titles. Windows are sums of the stored panes in reach, samples the earliest of their titles. No
-    state is kept, and a repeated micro-batch replaces its panes. Pages all of whose windows the watermark has closed go to
-    `late_sink` instead, and closed windows are not sent again.
+    Spark's state has two counts for each domain and window. `titles` is kept by `start_first_titles`; where that is
+    behind, `sampled_spikes` gives stored spikes the samples known at the time of reading.
     """
-    closed, keep = watermark(f"{store}/clock", delay), table_sink(f"{store}/panes", "pane")
-    reach = F.make_dt_interval(secs=F.lit(seconds(window)))
-
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        mark = F.lit(closed(batch, batch_id)).cast("timestamp")
-        titled = spikes.placed_titles(batch, slide, exclude_namespaces)
-        in_time = F.coalesce(F.col("pane") + reach > mark, F.lit(True))
-        if late_sink is not None:
-            late_sink(titled.where(~in_time), batch_id)
-        titled = titled.where(in_time)
-        panes = spikes.pane_counts(titled).join(spikes.first_titles(titled, samples), ["domain", "pane"]).persist()
-        try:
-            days = panes.select(F.to_date(F.min("pane") - reach), F.to_date(F.max("pane") + reach)).first()
-            if days[0] is None:
-                return
-            keep(panes, batch_id)
-            stored = read_rows(batch.sparkSession, f"{store}/panes", PANES, "pane", tuple(days))
-            merged = spikes.merged_panes(stored, samples)
-            touched = spikes.covering(panes.select("domain", "pane"), window, slide).where(
-                F.coalesce(F.col("window_start") + reach > mark, F.lit(True))).select("domain", "window_start").distinct()
-            found = spikes.spikes_of(merged, window, slide, threshold, min_baseline, touched)
-            sink(spikes.with_samples(found, merged.select("domain", "pane", "titles"), slide), batch_id)
-        finally:
-            panes.unpersist()
-
-    return start_each_batch(events, publish, checkpoint, "append", trigger)
+    rows = spikes.spike_stream(events.withWatermark("event_time", delay), window, slide, threshold, min_baseline, exclude_namespaces)
+    return start_each_batch(
+        rows, lambda found, batch_id: sink(sampled_spikes(found, titles, slide, samples), batch_id), checkpoint, "update", trigger)
+
+
+def start_closed_spikes(events: DataFrame, sink, titles: str, checkpoint: str, window: str = "1 hour",
+                        slide: str = "5 minutes", threshold: float | None = 3.0, delay: str = "5 minutes",
+                        samples: int = 5, min_baseline: float | None = None, exclude_namespaces=(),
+                        **trigger) -> StreamingQuery:
+    """Spikes of closed windows, each once. Takes less than `start_activity_spikes`, as no page is copied into windows."""
+    rows = spikes.closed_spike_stream(
+        events.withWatermark("event_time", delay), window, slide, threshold, min_baseline, exclude_namespaces)
+    return start_each_batch(
+        rows, lambda found, batch_id: sink(sampled_spikes(found, titles, slide, samples), batch_id), checkpoint, "append", trigger)
+
+
+def sampled_spikes(found: DataFrame, titles: str, slide: str = "5 minutes", samples: int = 5) -> DataFrame:
+    """Spikes with the sample titles that the table `titles` has now, of which only the days in question are read."""
+    spark, pane = found.sparkSession, spikes.newest_pane(slide)
+    days = found.select(F.to_date(F.min(pane)), F.to_date(F.max(pane))).first()
+    between = None if days[0] is None else tuple(days)
+    stored = read_rows(spark, titles, FIRST_TITLES, "pane", between)
+    return spikes.with_samples(found.drop("sample_pages"), spikes.merged_titles(stored, samples), slide)
 
 
 def start_views(events: DataFrame, sinks: dict, checkpoint: str, **trigger) -> StreamingQuery:

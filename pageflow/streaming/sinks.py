@@ -3,19 +3,21 @@
 A sink handed to a job is a function (rows, batch_id) called for each micro-batch.
 """
 
+import re
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from pageflow.functions.durations import seconds
 from pageflow.operators.alerts import to_alert_json
 from pageflow.operators.upsert import latest
 from pageflow.sources.files import read_or_empty
 
 # Column of a keyed table that holds the micro-batch a row came in.
 BATCH = "batch_id"
+# The folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 # Buckets of a table that has them. A table keeps the number it was first written with.
 BUCKETS = 64
 
@@ -55,6 +57,45 @@ def bucket(column, buckets: int = BUCKETS):
     return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
+def newest_first_sink(path: str, key: str, time: str, buckets: int = BUCKETS):
+    """A keyed table for reads of a key's newest rows: by bucket of the key and day of the time, and in each file by key and
+    falling time, so that a file's statistics tell whether a key's rows of some time are in it.
+
+    A micro-batch's rows are dealt by bucket and day, large ones over several tasks, small ones together.
+    """
+    def write(rows: DataFrame, batch_id: int) -> None:
+        placed = rows.withColumn("bucket", bucket(key, buckets)).withColumn("day", F.to_date(time))
+        clustered = placed.hint("rebalance", "bucket", "day").sortWithinPartitions(
+            "bucket", "day", key, F.col(time).desc())
+        _partitioned(clustered, path, ["bucket", "day"], batch_id)
+
+    return write
+
+
+def read_newest(spark: SparkSession, path: str, schema: str, keys: list, of: tuple, limit: int,
+                first: str | None = None, last: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of one key of a `newest_first_sink` table that hold its newest `limit`: of = (column, value).
+
+    The days of the key's bucket are taken from the newest on, twice as many each time, until they have enough rows; older
+    days are not read. `first` and `last` are dates that bound the days.
+    """
+    number = spark.range(1).select(bucket(F.lit(of[1]), buckets)).first()[0]
+    stored = f"{schema}, bucket int, day date, {BATCH} long"
+    names = {re.search(r"/day=([^/]+)/", f)[1] for f in read_or_empty(spark, f"{path}/bucket={number}", stored, base=path).inputFiles()}
+    bounded = [d for d in names if (first is None or d >= first) and (last is None or d <= last)]
+    days = sorted((d for d in bounded if d != NO_DAY), reverse=True)
+    if first is None and last is None and NO_DAY in names:
+        days.append(NO_DAY)  # rows without a time come last
+    taken = 1
+    while True:
+        where = f"{path}/bucket={number}/day={{{','.join(days[:taken])}}}"
+        rows = read_or_empty(spark, where, stored, base=path).where(F.col(of[0]) == of[1])
+        found = latest(rows.select(*StructType.fromDDL(schema).names, BATCH), keys, [BATCH]).drop(BATCH)
+        if taken >= len(days) or found.limit(limit).count() >= limit:
+            return found
+        taken *= 2
+
+
 def table_sink(path: str, day_of: str | None = None, bucket_of: str | None = None, buckets: int = BUCKETS):
     """Appends each micro-batch to the keyed table at `path`; `read_table` keeps the latest rows.
 
@@ -103,40 +144,6 @@ def read_table(spark: SparkSession, path: str, schema: str, keys: list, day_of:
     return latest(rows, keys, [*(order or []), BATCH]).drop(BATCH)
 
 
-def window_sink(path: str):
-    """Keeps the rows of each micro-batch by their `window_start`, as `table_sink` does by day."""
-    def write(rows: DataFrame, batch_id: int) -> None:
-        _partitioned(rows.withColumn("at", F.unix_seconds("window_start")), path, ["at"], batch_id)
-
-    return write
-
-
-def read_windows(spark: SparkSession, path: str, schema: str, starts: list) -> DataFrame:
-    """The rows kept for the windows that start at these seconds; other windows are not even listed."""
-    where = f"{path}/at={{{','.join(map(str, starts))}}}"
-    return read_or_empty(spark, where, f"{schema}, at long, {BATCH} long", base=path).drop("at", BATCH)
-
-
-# Micro-batches whose latest times are kept.
-TICKS = 16
-
-
-def watermark(path: str, delay: str):
-    """A function (rows, batch_id) giving the time before which rows are late, None at first: `delay` before the
-    latest event of earlier micro-batches, as in Spark's own watermark. A repeated micro-batch gets the same answer."""
-    def advance(rows: DataFrame, batch_id: int):
-        spark = rows.sparkSession
-        ticks = read_or_empty(spark, path, "latest timestamp, number long, tick int").where(F.col("number") < batch_id)
-        step = F.make_dt_interval(secs=F.lit(seconds(delay)))
-        seen = ticks.agg(F.max("latest").alias("latest"), (F.max("latest") - step).alias("mark")).first()
-        now = rows.agg(F.greatest(F.max("event_time"), F.lit(seen["latest"]).cast("timestamp")).alias("latest"))
-        now.withColumn("number", F.lit(batch_id).cast("long")).coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/tick={batch_id % TICKS}")
-        return seen["mark"]
-
-    return advance
-
-
 def compact_table(spark: SparkSession, path: str, target: str, schema: str, keys: list, day_of: str | None = None,
                   order: list | None = None, bucket_of: str | None = None) -> None:
     """Writes a keyed table's latest rows to a new place, as that table's batch -1. Later batches go on there."""

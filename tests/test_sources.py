@@ -111,14 +111,14 @@ def test_store_sink_appends(events, folder):
     assert rows.sparkSession.read.parquet(path).count() == 2
 
 
-def test_scratch_is_the_warehouse_where_no_folder_is_named(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        place = scratch_dir(spark, "x")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", shared)
-    assert place.startswith((spark.conf.get("spark.sql.warehouse.dir"), shared))
+def test_scratch_is_the_warehouse_where_no_folder_is_named():
+    """A core setting cannot be unset in a running session, so the session here is none."""
+    class Session:
+        conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
+
+    assert scratch_dir(Session, "x").startswith("hdfs://shared/warehouse/scratch/x-")
+    Session.conf = {**Session.conf, "spark.checkpoint.dir": "hdfs://shared/checkpoints"}
+    assert scratch_dir(Session, "x").startswith("hdfs://shared/checkpoints/x-")
 
 
 def test_scratch_is_the_shared_folder(spark):

@@ -2,6 +2,7 @@
 
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pageflow.operators import bots, domains, spam, spikes, views
 from pageflow.operators.clean import parse_events
 from pageflow.plans.checks import HUMAN_SPAM, MESSAGES, METRICS, SPAM, SPIKES
-from pageflow.schema import EVENTS, LANGUAGE_ACTIVITY, PAGES, TABLE_KEYS
+from pageflow.schema import EVENTS, LANGUAGE_ACTIVITY, PAGES, SKETCHES, TABLE_KEYS
 from pageflow.sources.files import file_source, read_archive
 from pageflow.sources.samples import page_creates
 from pageflow.streaming import jobs, sinks
@@ -141,60 +142,153 @@ def test_a_later_change_of_a_window_corrects_the_next_trend(spark, events, folde
     assert run(("10:02:30", "a", False, "d")) == [0.0, 0.0, -50.0]
 
 
-def test_spam_alerts_have_all_their_titles(spark, batch, feed, folder):
-    """The job keeps the pages itself: no archive has to be ahead. Every micro-batch is published twice."""
-    path, messages = folder(), folder()
+def closed_by(spark, feed_rows, source):
+    """Adds a page a year later to the files of `source`, as a file of its own."""
+    last = feed_rows.orderBy(F.col("event_time").desc()).limit(1)
+    late = last.select(*[
+        F.lit("closing").alias(c) if c in ("domain", "user_name", "page_title") else F.lit(False).alias(c) if c == "user_is_bot"
+        else (F.col(c) + F.expr("INTERVAL 366 DAYS")).alias(c) if c == "event_time" else F.col(c) for c in feed_rows.columns])
+    late.write.mode("append").parquet(source)
 
-    def twice(sink):
-        def write(frame, batch_id):
-            sink(frame, batch_id)
-            sink(frame, batch_id)
 
-        return write
+@pytest.fixture(scope="module")
+def closed_feed(spark, batch, tmp_path_factory):
+    """The feed with a last file that lets the watermark close all windows before."""
+    path = str(tmp_path_factory.mktemp("closed"))
+    for part in (batch.where("event_time < '2024-01-15'"), batch.where("event_time >= '2024-01-15'")):
+        part.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    closed_by(spark, batch, path)
+    return lambda: file_source(spark, path, EVENTS, files_per_trigger=1)
+
 
-    finished(jobs.start_spam_alerts(
-        feed(), twice(sinks.table_sink(path)), folder(), folder(), "1 day", rules={"velocity": 3},
-        message_sink=twice(sinks.table_sink(messages)), part_size=2, **NOW))
+def test_spam_alerts_as_windows_fill(spark, batch, feed, folder):
+    path = folder()
+    finished(jobs.start_spam_alerts(feed(), sinks.table_sink(path), folder(), "1 day", rules={"velocity": 3}, **NOW))
     expected = spam.spam_alerts(batch, "1 day", velocity=3)
     assert rows(sinks.read_table(spark, path, HUMAN_SPAM, ["window_start", "user_name"])) == rows(expected)
+
+
+def test_spam_messages_have_all_their_titles_once(spark, batch, closed_feed, folder):
+    path = folder()
+    finished(jobs.start_spam_messages(
+        closed_feed(), sinks.table_sink(path), folder(), "1 day", rules={"velocity": 3}, part_size=2, salts=3, **NOW))
+    expected = spam.spam_alerts(batch, "1 day", velocity=3)
     whole = spam.spam_messages(expected, spam.spam_titles(batch, expected, "1 day", part_size=2), part_size=2)
-    stored = sinks.read_table(spark, messages, MESSAGES, ["alert_time", "user_name", "part"])
+    stored = sinks.read_rows(spark, path, MESSAGES).drop(sinks.BATCH)
     assert rows(stored) == rows(whole)
     titled = stored.groupBy("alert_time", "user_name").agg(
         F.sum(F.size("titles")).alias("titles"), F.max("page_count").alias("pages"))
     assert titled.where("titles <> pages").count() == 0
 
 
+def test_pages_later_than_the_watermark_make_no_spam_and_are_counted(spark, events, folder):
+    source, path, messages = folder(), folder(), folder()
+    # What is late for a micro-batch was settled by the one before the last.
+    parts = [
+        [("10:00:00", "a", False, "d", "http://x")], [("10:30:00", "a", False, "d", "www.x")], [("10:30:01", "c", False, "d")],
+        [("10:00:01", "a", False, "d", "late 1234567"), ("10:29:59", "b", False, "d", "http://in time")], [("12:00:00", "z", False, "d")]]
+    for part in parts:
+        events(*part).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+
+    def stream():
+        return file_source(spark, source, EVENTS, files_per_trigger=1)
+
+    query = finished(jobs.start_spam_alerts(stream(), sinks.table_sink(path), folder(), **NOW))
+    assert jobs.dropped_late_rows(query) == 1
+    kept = events(*parts[0], *parts[1], *parts[2], parts[3][1], *parts[4])
+    expected = spam.spam_alerts(kept)
+    assert rows(sinks.read_table(spark, path, HUMAN_SPAM, ["window_start", "user_name"])) == rows(expected)
+    query = finished(jobs.start_spam_messages(stream(), sinks.table_sink(messages), folder(), **NOW))
+    assert jobs.dropped_late_rows(query) >= 1
+    stored = sinks.read_rows(spark, messages, MESSAGES)
+    assert sorted(t for r in stored.collect() for t in r.titles) == ["http://in time", "http://x", "www.x"]
+
+
 def test_spikes_latest_windows(spark, batch, feed, folder):
-    path = folder()
+    path, titles = folder(), folder()
+    finished(jobs.start_first_titles(feed(), titles, folder(), "1 hour", **NOW))
     finished(jobs.start_activity_spikes(
-        feed(), sinks.table_sink(path), folder(), folder(), "12 hours", "1 hour", None, **NOW))
+        feed(), sinks.table_sink(path), titles, folder(), "12 hours", "1 hour", None, **NOW))
+    stored = sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
+    assert rows(stored) == rows(spikes.activity_spikes(batch, "12 hours", "1 hour", None))
+
+
+def test_samples_that_come_later_are_there_when_spikes_are_read(spark, batch, feed, folder):
+    path, titles = folder(), folder()
+    finished(jobs.start_activity_spikes(feed(), sinks.table_sink(path), titles, folder(), "12 hours", "1 hour", **NOW))
     stored = sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
+    assert {tuple(r.sample_pages) for r in stored.collect()} == {()}
+    finished(jobs.start_first_titles(feed(), titles, folder(), "1 hour", **NOW))
+    expected = spikes.activity_spikes(batch, "12 hours", "1 hour")
+    columns = expected.columns
+    assert rows(jobs.sampled_spikes(stored, titles, "1 hour").select(columns)) == rows(expected)
+
+
+def test_closed_spikes_come_once_and_equal_the_batch(spark, batch, closed_feed, folder):
+    path, titles = folder(), folder()
+    finished(jobs.start_first_titles(closed_feed(), titles, folder(), "1 hour", **NOW))
+    finished(jobs.start_closed_spikes(closed_feed(), sinks.table_sink(path), titles, folder(), "12 hours", "1 hour", None, **NOW))
+    stored = sinks.read_rows(spark, path, SPIKES).drop(sinks.BATCH).where("domain <> 'closing'")
     assert rows(stored) == rows(spikes.activity_spikes(batch, "12 hours", "1 hour", None))
 
 
-def test_late_pages_are_handed_over_and_the_rest_counts(spark, events, folder):
-    """Three micro-batches: the second holds a page too late for any window, and one late for some windows only."""
-    source, path, late = folder(), folder(), []
+def test_pages_late_for_some_windows_count_in_the_others(spark, events, folder):
+    """The last micro-batch holds a page too late for any window, and one late for some windows only."""
+    source, path, titles = folder(), folder(), folder()
     first = [("10:00:00", "a", False, "d", "T1")]
     second = [("12:00:00", "a", False, "d", "T2"), ("12:00:01", "a", False, "d", "T0")]
+    other = [("12:00:01", "a", False, "e", "E")]
     third = [("10:30:00", "a", False, "d", "late"), ("11:30:00", "a", False, "d", "T3"), ("12:01:00", "a", False, "d", "T4")]
-    for part in (first, second, third):
+    for part in (first, second, other, third):
         events(*part).coalesce(1).write.mode("append").parquet(source)
         time.sleep(1.1)
-    finished(jobs.start_activity_spikes(
-        file_source(spark, source, EVENTS, files_per_trigger=1), sinks.table_sink(path), folder(), folder(),
-        threshold=None, late_sink=lambda frame, _: late.extend(frame.collect()), **NOW))
-    assert [r.page_title for r in late] == ["late"]
-    kept = spikes.activity_spikes(events(*first, *second, *third[1:]), threshold=None)
+
+    def stream():
+        return file_source(spark, source, EVENTS, files_per_trigger=1)
+
+    finished(jobs.start_first_titles(stream(), titles, folder(), **NOW))
+    query = finished(jobs.start_activity_spikes(stream(), sinks.table_sink(path), titles, folder(), threshold=None, **NOW))
+    # The watermark is 11:55:01: late for all twelve windows, and for those five that end before.
+    assert jobs.dropped_late_rows(query) == 12 + 5
+    kept = spikes.activity_spikes(events(*first, *second, *other, *third[1:]), threshold=None)
     stored = sinks.read_table(spark, path, SPIKES, ["domain", "window_start"])
-    closed = at("11:55:01")
-    open_ = kept.where(F.col("window_end") > F.lit(closed))
-    assert rows(stored.where(F.col("window_end") > F.lit(closed))) == rows(open_)
-    newest = stored.where(F.col("window_end") == F.lit(at("12:05:00"))).first()
+    open_ = F.col("window_end") > F.lit(at("11:55:01"))
+    assert rows(stored.where(open_)) == rows(kept.where(open_))
+    newest = stored.where((F.col("window_end") == F.lit(at("12:05:00"))) & (F.col("domain") == "d")).first()
     assert (newest.pages_last_1hour, newest.pages_last_5min, newest.sample_pages) == (4, 3, ["T2", "T0", "T4"])
 
 
+def test_trend_of_closed_windows_by_a_join_of_streams(spark, batch, closed_feed, events, folder):
+    path = folder()
+    finished(jobs.start_domain_trend(closed_feed(), sinks.table_sink(path), folder(), "1 day", **NOW))
+    expected = domains.with_trend(domains.domain_activity(batch, "1 day"), "1 day")
+    stored = sinks.read_rows(spark, path, LANGUAGE_ACTIVITY).drop(sinks.BATCH).where("domain <> 'closing'")
+    assert rows(stored) == rows(expected)
+    assert stored.where("trend_percent is null").count() == 0
+
+
+def test_stored_sketches_make_longer_windows(spark, batch, closed_feed, folder):
+    path = folder()
+    finished(jobs.start_domain_sketches(closed_feed(), sinks.table_sink(path, "window_start"), folder(), **NOW))
+    minutes = sinks.read_rows(spark, path, SKETCHES, "window_start").where("domain <> 'closing'")
+    for window in ("1 hour", "1 day", "10 days"):
+        assert rows(domains.activity_of_sketches(minutes, window)) == rows(domains.domain_activity(batch, window, exact=True))
+
+
+def test_file_sink_adds_no_row_twice(spark, batch, feed, folder):
+    path, checkpoint = folder(), folder()
+    for _ in range(2):
+        finished(jobs.start_archive_files(feed().drop("page_id", "user_id"), path, checkpoint, **NOW))
+    # A file that no finished micro-batch wrote is not read.
+    batch.limit(5).drop("page_id", "user_id").coalesce(1).write.mode("append").parquet(f"{path}/year=2024/month=1/day=1")
+    stored = spark.read.parquet(path)
+    assert rows(stored.drop("year", "month", "day")) == rows(batch.drop("page_id", "user_id"))
+    assert "_spark_metadata" in " ".join(str(p) for p in Path(path).iterdir())
+    assert stored.where("day = 3").select("day").distinct().collect()[0].day == 3
+
+
 def test_views_and_a_repeated_batch(spark, batch, feed, folder):
     paths = {name: folder() for name in views.VIEWS}
     targets = {name: sinks.table_sink(path, "created_at" if "by" in name else None) for name, path in paths.items()}
