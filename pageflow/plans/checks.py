@@ -385,14 +385,14 @@ def stored_page(spark, sf_dir):
 def stored_domain_pages(spark, sf_dir):
     """A domain's newest pages, from a table that is read from its newest day on."""
     path = _newest_first(spark, sf_dir, "pages_by_domain", "domain")
-    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN), 100)
+    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN), "created_at", 100)
     return serving.pages_of_domain(rows, DOMAIN)
 
 
 def stored_domain_pages_between(spark, sf_dir):
     path = _newest_first(spark, sf_dir, "pages_by_domain", "domain")
-    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN), 50,
-                             first=FROM[:10], last=TO[:10])
+    rows = sinks.read_newest(spark, path, PAGES["pages_by_domain"], TABLE_KEYS["pages_by_domain"], ("domain", DOMAIN),
+                             "created_at", 50, FROM, TO)
     return serving.pages_of_domain(rows, DOMAIN, FROM, TO, limit=50)
 
 

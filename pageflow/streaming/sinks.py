@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+from pageflow.functions.durations import instant
 from pageflow.operators.alerts import to_alert_json
 from pageflow.operators.upsert import latest
 from pageflow.sources.files import read_or_empty
@@ -72,14 +73,21 @@ def newest_first_sink(path: str, key: str, time: str, buckets: int = BUCKETS):
     return write
 
 
-def read_newest(spark: SparkSession, path: str, schema: str, keys: list, of: tuple, limit: int,
-                first: str | None = None, last: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+def read_newest(spark: SparkSession, path: str, schema: str, keys: list, of: tuple, time: str, limit: int,
+                since=None, until=None, buckets: int = BUCKETS) -> DataFrame:
     """Rows of one key of a `newest_first_sink` table that hold its newest `limit`: of = (column, value).
 
     The days of the key's bucket are taken from the newest on, twice as many each time, until they have enough rows; older
-    days are not read. `first` and `last` are dates that bound the days.
+    days are not read. `since` and `until` bound the column `time`, both inclusive; either may be left open.
     """
-    number = spark.range(1).select(bucket(F.lit(of[1]), buckets)).first()[0]
+    bounds = [None if t is None else instant(t) for t in (since, until)]
+    number, first, last = spark.range(1).select(bucket(F.lit(of[1]), buckets), *[
+        F.lit(None) if t is None else t.cast("date").cast("string") for t in bounds]).first()
+    wanted = F.col(of[0]) == of[1]
+    if since is not None:
+        wanted &= F.col(time) >= bounds[0]
+    if until is not None:
+        wanted &= F.col(time) <= bounds[1]
     stored = f"{schema}, bucket int, day date, {BATCH} long"
     names = {re.search(r"/day=([^/]+)/", f)[1] for f in read_or_empty(spark, f"{path}/bucket={number}", stored, base=path).inputFiles()}
     bounded = [d for d in names if (first is None or d >= first) and (last is None or d <= last)]
@@ -89,7 +97,7 @@ def read_newest(spark: SparkSession, path: str, schema: str, keys: list, of: tup
     taken = 1
     while True:
         where = f"{path}/bucket={number}/day={{{','.join(days[:taken])}}}"
-        rows = read_or_empty(spark, where, stored, base=path).where(F.col(of[0]) == of[1])
+        rows = read_or_empty(spark, where, stored, base=path).where(wanted)
         found = latest(rows.select(*StructType.fromDDL(schema).names, BATCH), keys, [BATCH]).drop(BATCH)
         if taken >= len(days) or found.limit(limit).count() >= limit:
             return found

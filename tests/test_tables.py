@@ -127,8 +127,8 @@ def test_newest_pages_come_from_the_newest_days(spark, pages, folder):
     def days(found):
         return {f.split("day=")[1].split("/")[0] for f in found.inputFiles()}
 
-    def newest(limit, **bounds):
-        return sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "hot"), limit, buckets=4, **bounds)
+    def newest(limit, *between):
+        return sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "hot"), "created_at", limit, *between, buckets=4)
 
     def expected(limit, *between):
         return [tuple(r) for r in serving.pages_of_domain(pages, "hot", *between, limit=limit).collect()]
@@ -139,15 +139,16 @@ def test_newest_pages_come_from_the_newest_days(spark, pages, folder):
     assert len(days(newest(100))) == 2 and len(days(newest(200))) == 4
     assert [tuple(r) for r in serving.pages_of_domain(newest(200), "hot", limit=200).collect()] == expected(200)
     between = ("2024-03-05 00:00:00", "2024-03-09 11:00:00")
-    some = newest(100, first="2024-03-05", last="2024-03-09")
-    assert days(some) == {"2024-03-08", "2024-03-09"}
+    # 38 pages up to 11:00 of the last day and 80 of the day before
+    assert days(newest(38, *between)) == {"2024-03-09"} and days(newest(39, *between)) == {"2024-03-08", "2024-03-09"}
+    some = newest(100, *between)
     assert [tuple(r) for r in serving.pages_of_domain(some, "hot", *between, limit=100).collect()] == expected(100, *between)
     everything = newest(10 ** 6)
     assert sinks.NO_DAY in days(everything)
     assert sorted(map(str, everything.collect())) == sorted(map(str, pages.where("domain = 'hot'").collect()))
     assert len(few.inputFiles()) < len(total.inputFiles()) / 20
-    assert sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "nobody"), 5, buckets=4).count() == 0
-    assert sinks.read_newest(spark, folder(), PAGE, KEYS, ("domain", "hot"), 5).count() == 0
+    assert sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "nobody"), "created_at", 5, buckets=4).count() == 0
+    assert sinks.read_newest(spark, folder(), PAGE, KEYS, ("domain", "hot"), "created_at", 5).count() == 0
 
 
 def test_files_are_clustered_by_key_and_newest_first(spark, pages, folder):
@@ -156,5 +157,5 @@ def test_files_are_clustered_by_key_and_newest_first(spark, pages, folder):
     for file in spark.read.parquet(path).inputFiles():
         found = [(r.domain, -r.created_at.timestamp()) for r in spark.read.parquet(file).collect()]
         assert found == sorted(found)
-    key = sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "hot"), 5, buckets=2)
+    key = sinks.read_newest(spark, path, PAGE, KEYS, ("domain", "hot"), "created_at", 5, buckets=2)
     assert "EqualTo(domain,hot)" in plan_of(key)
