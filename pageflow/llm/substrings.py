@@ -4,7 +4,8 @@ Every run of 35 words is an edge from its first 34 words to its last 34. `grams.
 each edge. In each document, neighbouring repeated edges with equal counts are one path; where a count changes, texts part or
 meet, and the path ends. Equal paths of all documents are joined by their ends and length. A path that occurs as
 often as its edges branches nowhere, and its occurrences are verified by the words at their coordinates. Where texts part and
-meet at one node, counts alone do not show it: such paths are taken apart into single edges, verified the same way.
+meet at one node, counts alone do not show it: each class of such paths with equal words is taken apart into single edges
+once, verified the same way with the number of its occurrences as weight.
 """
 
 import hashlib
@@ -81,26 +82,47 @@ def _texts(chunks: DataFrame, keys: DataFrame) -> DataFrame:
     return chunks.select("key", "doc_id", "text").join(F.broadcast(keys) if keys.count() <= SENT else keys, "key", "left_semi")
 
 
-def _single_edges(texts: DataFrame, suspects: DataFrame, k: int) -> DataFrame:
-    """(key, start) of the edges of suspect paths whose words occur twice or more."""
-    spans = suspects.groupBy("key").agg(F.collect_set(F.struct("start", (F.col("size") + F.col("times") - 1).alias("n"))).alias("spans"))
+def _class_windows(texts: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """path, place, digest, n: every window of each class of equal paths, taken from one of its occurrences, which are n."""
+    spans = classes.groupBy(F.col("at.key").alias("key")).agg(
+        F.collect_list(F.struct(F.col("digest").alias("path"), F.col("at.start").alias("start"), "size", "n")).alias("spans"))
 
     def run(batches):
         for batch in batches:
             out = []
-            for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "spans"))):
+            for text, own in zip(*(batch.column(c).to_pylist() for c in ("text", "spans"))):
                 words = words_of(text)
-                places = {s["start"] + i for s in own for i in range(s["n"])}
-                out += [(key, place, digest_of(words[place:place + k])) for place in sorted(places)]
-            columns = list(zip(*out)) or [()] * 3
+                out += [(s["path"], i, digest_of(words[s["start"] + i:s["start"] + i + k]), s["n"]) for s in own for i in range(s["size"])]
+            columns = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())],
-                ["key", "start", "digest"])
+                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.int64())],
+                ["path", "place", "digest", "n"])
 
-    edges = saved(texts.join(spans, "key").select("key", "text", "spans").mapInArrow(
-        run, "key bigint, start bigint, digest binary"), "single-edges")
-    again = edges.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    return edges.join(again, "digest", "left_semi").select("key", "start").distinct()
+    return saved(texts.dropDuplicates(["key"]).join(spans, "key").select("text", "spans").mapInArrow(
+        run, "path binary, place bigint, digest binary, n bigint"), "class-windows")
+
+
+def _verified(chunks: DataFrame, suspects: DataFrame, k: int) -> DataFrame:
+    """key, start, n: stretches of windows in suspect paths whose words occur twice or more.
+
+    All occurrences of a path with equal words are one class, and a class is taken apart once, whatever the number of its
+    occurrences. A class that occurs again is repeated as a whole. A window of one that does not is repeated if other
+    windows, weighted with the occurrences of their classes, have the same words. The answer goes back to occurrences as a
+    whole path each.
+    """
+    classes = saved(suspects.groupBy("digest").agg(
+        F.sum("times").alias("n"), F.min(F.struct("key", "start")).alias("at"), F.max("size").alias("size")), "classes")
+    windows = _class_windows(_texts(chunks, classes.select(F.col("at.key").alias("key")).distinct()), classes, k)
+    again = windows.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1")
+    alone = windows.where("n = 1").join(again, "digest", "left_semi").groupBy(F.col("path").alias("digest")).agg(
+        F.collect_list(F.struct(F.col("place").alias("from"), F.lit(1).cast("long").alias("n"))).alias("found"))
+    whole = classes.where("n > 1").select(
+        "digest", F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("size").alias("n"))).alias("found"))
+    verdicts = saved(whole.union(alone), "verdicts")
+    size = verdicts.agg(F.sum(F.size("found"))).first()[0] or 0
+    joined = suspects.join(F.broadcast(verdicts) if size <= SENT else verdicts, "digest")
+    return joined.select("key", "start", "times", F.explode("found").alias("f")).select(
+        "key", (F.col("start") + F.col("f.from")).alias("start"), (F.col("f.n") + F.col("times") - 1).alias("n"))
 
 
 def without_repeats(docs: DataFrame, k: int = K) -> DataFrame:
@@ -108,7 +130,8 @@ def without_repeats(docs: DataFrame, k: int = K) -> DataFrame:
 
     All occurrences of a repeated window go, the first included. Null and empty texts have no words, and nothing of texts under
     k words is removed. Rows with null or repeated doc_id are documents of their own, so rows equal in doc_id and text
-    repeat each other. Other columns are ignored.
+    repeat each other. No documents give no rows. Texts of any length are compared whole; there are no ties to break, as
+    all occurrences go. Other columns are ignored.
     """
     total = characters(docs)
     bits = part_bits(total, 1)
@@ -124,13 +147,12 @@ def without_repeats(docs: DataFrame, k: int = K) -> DataFrame:
     done = found.where("not is_path")
     if not parted.limit(1).count():
         return done.select(columns)
-    suspects = saved(own.join(parted, ["first", "last", "size"], "left_semi").select("key", "start", "size", "times"), "suspects")
+    suspects = saved(own.join(parted, ["first", "last", "size"], "left_semi").select("key", "start", "size", "times", "digest"), "suspects")
     keys = saved(suspects.select("key").distinct(), "keys")
     texts = _texts(chunks, keys)
     sure = own.join(parted, ["first", "last", "size"], "left_anti").join(keys, "key", "left_semi").select(
         "key", "start", (F.col("size") + F.col("times") - 1).alias("n"))
-    single = _single_edges(texts, suspects, k).select("key", "start", F.lit(1).cast("long").alias("n"))
-    spans = sure.union(single).groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    spans = sure.union(_verified(chunks, suspects, k)).groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
 
     def remove(batches):
         for batch in batches:

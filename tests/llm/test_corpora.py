@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -130,6 +131,25 @@ def test_texts_that_part_and_meet_at_one_node(docs):
     assert sorted(map(tuple, found), key=repr) == without(rows, 3)
 
 
+def test_a_class_of_paths_is_taken_apart_once(docs, monkeypatch):
+    """500 near copies: single windows grow with the different paths, not with their occurrences."""
+    rnd, seen = random.Random(4), {}
+    base = [f"b{n}" for n in range(200)]
+    rows = []
+    for n in range(500):
+        own = list(base)
+        for at in rnd.sample(range(200), 4):
+            own[at] = f"x{rnd.randint(0, 3)}"
+        rows.append((n, " ".join(own)))
+    real = substrings.saved
+    monkeypatch.setattr(substrings, "saved", lambda frame, name: seen.setdefault(name, real(frame, name)))
+    found = substrings.without_repeats(docs(rows), 10).collect()
+    assert sorted(map(tuple, found), key=repr) == without(rows, 10)
+    occurrences = seen["suspects"].agg(F.sum("size")).first()[0]
+    assert seen["suspects"].count() > 500
+    assert seen["class-windows"].count() < occurrences / 10
+
+
 # -- language model -------------------------------------------------------------------------
 
 def test_scores_against_the_other_documents(odd, rows, none):
