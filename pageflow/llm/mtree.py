@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pageflow.llm.common import prepared, saved, table
+from pageflow.llm.dense import LARGEST
 
 SCALE = 1024
 # Routing vectors, fitted on a sample of as many rows times four, vectors of a page, and queries of a block.
@@ -22,14 +23,22 @@ ROUTES, PAGE, QUERIES = 128, 2048, 1024
 SLACK = 1e-6
 
 
+# Digits to the base 2^60 of a score, the first with its sign, so that arrays of them are in the order of the scores. Single
+# precision gives scores below 2^300.
+DIGITS, DIGIT = 5, 60
+
+
 def whole(embedding: Column) -> Column:
-    """floor(1024 * x) of every component."""
-    return F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE))
+    """floor(1024 * x) of every component, as doubles: beyond 2^53 a double is a whole number itself."""
+    def floor(y: Column) -> Column:
+        return F.when(F.abs(y) < 2.0 ** 53, F.floor(y).cast("double")).otherwise(y)
+
+    return F.transform(embedding, lambda x: floor(x.cast("double") * SCALE))
 
 
 def usable(rows: DataFrame) -> DataFrame:
     """vec_id and v (whole numbers): rows with an id and only finite components."""
-    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > LARGEST))
     return rows.where("vec_id is not null and embedding is not null").where(~bad).select(
         F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v"))
 
@@ -37,16 +46,37 @@ def usable(rows: DataFrame) -> DataFrame:
 def vectors(column, width: int) -> np.ndarray:
     """Lists of numbers as rows, shorter ones filled up with zeros."""
     lists = column.to_pylist()
-    out = np.zeros((len(lists), width), np.int64)
+    out = np.zeros((len(lists), width))
     for k, one in enumerate(lists):
         out[k, :len(one)] = one
     return out
 
 
-def lifted(v: np.ndarray, most: int) -> np.ndarray:
+def products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers: in doubles or LONG where these hold every sum, else as Python's numbers."""
+    largest = np.abs(v).max(initial=0) * np.abs(q).max(initial=0) * max(1, v.shape[1])
+    if largest < 2.0 ** 52:
+        return (v @ q).astype(np.int64)
+    if largest < 2.0 ** 62:
+        return v.astype(np.int64) @ q.astype(np.int64)
+    exact = np.frompyfunc(int, 1, 1)
+    return (exact(v).astype(object) * exact(q).astype(object)[None, :]).sum(axis=1)
+
+
+def below(score: int) -> float:
+    """A double that is not above the score."""
+    return math.nextafter(float(score), -math.inf)
+
+
+def digits(score: int) -> list[int]:
+    top = DIGITS - 1
+    return [score >> DIGIT * top, *[(score >> DIGIT * place) & (2 ** DIGIT - 1) for place in range(top - 1, -1, -1)]]
+
+
+def lifted(v: np.ndarray, most: float) -> np.ndarray:
     """The vectors with their further component."""
-    rest = np.sqrt(np.maximum(0, most - (v * v).sum(axis=1)).astype(np.float64))
-    return np.concatenate([v.astype(np.float64), rest[:, None]], axis=1)
+    rest = np.sqrt(np.maximum(0, most - (v * v).sum(axis=1)))
+    return np.concatenate([v, rest[:, None]], axis=1)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -57,7 +87,7 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Page:
     """Leaves with centre and radius, and their vectors with the distance to the centre."""
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray, most: int):
+    def __init__(self, ids: np.ndarray, v: np.ndarray, most: float):
         points = lifted(v, most)
         count = max(1, math.isqrt(len(ids)))
         centres = [0]  # each next centre is the vector farthest from those before
@@ -75,9 +105,9 @@ class Page:
         self.starts = np.r_[0, self.ends[:-1]]
         self.radius = np.array([self.parent[s:e].max() if e > s else 0.0 for s, e in zip(self.starts, self.ends)])
 
-    def search(self, q: np.ndarray, own: int, to_centres: np.ndarray, least: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and products of the k best, none under `least`, equal ones by smaller id."""
-        size = int((q * q).sum())
+    def search(self, q: np.ndarray, own: int, to_centres: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """ids and products of the k best, equal ones by smaller id. None that a `least` below the k-th rules out."""
+        size = float((q * q).sum())
         ids, scores = np.empty(0, np.int64), np.empty(0, np.int64)
         bound = np.maximum(0, to_centres - self.radius)
         room = SLACK * (math.sqrt(size + self.most) + 1)
@@ -88,14 +118,17 @@ class Page:
             s, e = int(self.starts[leaf]), int(self.ends[leaf])
             near = np.flatnonzero(np.abs(self.parent[s:e] - to_centres[leaf]) <= reach) + s
             near = near[self.ids[near] != own]
-            found = self.v[near] @ q
-            good = found >= least
+            found = products(self.v[near], q)
+            good = np.asarray(found >= least, bool)
             if good.any():
                 ids, scores = np.r_[ids, self.ids[near[good]]], np.r_[scores, found[good]]
-                best = np.lexsort((ids, -scores))[:k]
+                if scores.dtype == object:
+                    best = sorted(range(len(ids)), key=lambda n: (-scores[n], ids[n]))[:k]
+                else:
+                    best = np.lexsort((ids, -scores))[:k]
                 ids, scores = ids[best], scores[best]
                 if len(ids) == k:
-                    least = max(least, int(scores[-1]))
+                    least = max(least, below(int(scores[-1])))
         return ids, scores
 
 
@@ -103,9 +136,9 @@ def _packed(*arrays: np.ndarray) -> list[bytes]:
     return [np.ascontiguousarray(a).tobytes() for a in arrays]
 
 
-def _page_of(row: dict, width: int, most: int) -> Page:
+def _page_of(row: dict, width: int, most: float) -> Page:
     page = Page.__new__(Page)
-    page.ids, page.v = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["v"], np.int64).reshape(-1, width)
+    page.ids, page.v = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["v"], np.float64).reshape(-1, width)
     page.parent, page.radius = np.frombuffer(row["parent"], np.float64), np.frombuffer(row["radii"], np.float64)
     page.centres = np.frombuffer(row["centres"], np.float64).reshape(-1, width + 1)
     page.starts, page.ends, page.most = np.frombuffer(row["starts"], np.int64), np.frombuffer(row["ends"], np.int64), most
@@ -118,7 +151,7 @@ PAGE_SCHEMA = "route int, share int, reach double, ids binary, v binary, parent
 class Index:
     """The routing vectors and the table of pages."""
 
-    def __init__(self, pages: DataFrame, routes: np.ndarray, width: int, most: int):
+    def __init__(self, pages: DataFrame, routes: np.ndarray, width: int, most: float):
         self.pages, self.routes, self.width, self.most = pages, routes, width, most
 
 
@@ -130,8 +163,8 @@ def build(rows: DataFrame) -> Index:
     do not end in one page.
     """
     row = rows.agg(F.max(F.size("v")).alias("width"), F.max(F.aggregate(
-        "v", F.lit(0).cast("long"), lambda s, x: s + x * x)).alias("most")).first()
-    width, most = int(row["width"] or 0), int(row["most"] or 0)
+        "v", F.lit(0.0), lambda s, x: s + x * x)).alias("most")).first()
+    width, most = int(row["width"] or 0), float(row["most"] or 0)
     sample = rows.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(4 * ROUTES).select("v").toArrow()
     points = lifted(vectors(sample.column("v"), width), most)
     chosen = [0] if len(points) else []
@@ -157,7 +190,7 @@ def build(rows: DataFrame) -> Index:
 
     def make(group: pa.Table) -> pa.Table:
         route = group.column("route")[0].as_py()
-        v = np.frombuffer(b"".join(group.column("v").to_pylist()), np.int64).reshape(-1, width)
+        v = np.frombuffer(b"".join(group.column("v").to_pylist()), np.float64).reshape(-1, width)
         page = Page(group.column("vec_id").to_numpy(), v, most)
         reach = float(distances(lifted(v, most), routes[route:route + 1]).max())
         data = _packed(page.ids, page.v, page.parent, page.radius, page.centres, page.starts, page.ends)
@@ -169,7 +202,7 @@ def build(rows: DataFrame) -> Index:
     return Index(saved(pages, "pages"), routes, width, most)
 
 
-BEST = "query_id bigint, q binary, least bigint, vec_id bigint, score bigint"
+BEST = "query_id bigint, vec_id bigint, score bigint, low double, digits array<bigint>"
 
 
 def _searched(pairs: DataFrame, index: Index, k: int) -> DataFrame:
@@ -181,21 +214,22 @@ def _searched(pairs: DataFrame, index: Index, k: int) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 page = _page_of(row, width, most)
-                qs = np.frombuffer(b"".join(row["qs"]), np.int64).reshape(-1, width)
-                flat = np.concatenate([qs.astype(np.float64), np.zeros((len(qs), 1))], axis=1)
+                qs = np.frombuffer(b"".join(row["qs"]), np.float64).reshape(-1, width)
+                flat = np.concatenate([qs, np.zeros((len(qs), 1))], axis=1)
                 to_centres = distances(flat, page.centres)
                 for query, q, least, far in zip(row["query_ids"], qs, row["leasts"], to_centres):
                     ids, scores = page.search(q, query, far, least, k)
-                    out += [(query, q.tobytes(), least, int(i), int(s)) for i, s in zip(ids, scores)]
+                    out += [(query, int(i), s if -2 ** 63 <= s < 2 ** 63 else None, below(s), digits(s))
+                            for i, s in zip(ids, map(int, scores))]
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
-                ["query_id", "q", "least", "vec_id", "score"])
+                [pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64())))],
+                ["query_id", "vec_id", "score", "low", "digits"])
 
     return pairs.mapInArrow(run, BEST)
 
 
-LOWEST = -(1 << 62)
+LOWEST = -math.inf
 
 
 def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
@@ -212,7 +246,7 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     def nearest(batches):
         for batch in batches:
             v = vectors(batch.column(1), width)
-            flat = np.concatenate([v.astype(np.float64), np.zeros((len(v), 1))], axis=1)
+            flat = np.concatenate([v, np.zeros((len(v), 1))], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r.tobytes() for r in v], pa.binary()),
                  pa.array(distances(flat, routes).argmin(axis=1).astype(np.int32))], ["query_id", "q", "route"])
@@ -229,7 +263,7 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     lowest = asked.select("query_id", "q", "route", F.lit(LOWEST).alias("least"), blocks)
     home = index.pages.where("share = 0").join(listed(lowest, "route", "block"), "route")
     first = _searched(home, index, k)
-    bound = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= k)
+    bound = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("low").alias("least")).where(F.col("n") >= k)
     known = saved(asked.join(bound.select("query_id", "least"), "query_id", "left").select(
         "query_id", "q", F.coalesce("least", F.lit(LOWEST)).alias("least"), blocks), "bounds")
     block_lists = saved(listed(known, "block"), "blocks")
@@ -239,8 +273,8 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             out = []
             for block, qs, leasts in zip(*(batch.column(c).to_pylist() for c in ("block", "qs", "leasts"))):
-                q = np.frombuffer(b"".join(qs), np.int64).reshape(-1, width)
-                flat = np.concatenate([q.astype(np.float64), np.zeros((len(q), 1))], axis=1)
+                q = np.frombuffer(b"".join(qs), np.float64).reshape(-1, width)
+                flat = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
                 size = (flat * flat).sum(axis=1) + most
                 reach = np.sqrt(np.maximum(0.0, size - 2.0 * np.array(leasts, np.float64))) + SLACK * (np.sqrt(size) + 1)
                 need = (distances(flat, routes) - reach[:, None]).min(axis=0)
@@ -254,7 +288,7 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     met = index.pages.select("route", "share", "reach").join(needed, "route").where("reach >= need").select("route", "share", "block")
     pairs = index.pages.join(met, ["route", "share"]).join(block_lists, "block")
     best = _searched(pairs.repartition("route", "share", "block"), index, k)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("digits"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
@@ -262,7 +296,8 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
 def top_products(rows: DataFrame, asked: DataFrame, k: int = 10) -> DataFrame:
     """The k largest products of the rows `asked` with all `rows` (vec_id, embedding).
 
-    Rows whose id is null, or whose embedding is null or holds null or non-finite components, take no part. Shorter vectors
+    Rows whose id is null, or whose embedding is null or holds null or non-finite components, or any beyond single precision,
+    take no part. All others are ranked by their exact products; a score beyond LONG is null. No rows give none. Shorter vectors
     count as filled up with zeros. Of asked rows with one id the smallest vector asks; no row with that id is a
     candidate. Candidates with equal ids are told apart by nothing and listed each. Other columns are ignored.
     """

@@ -307,3 +307,18 @@ def test_top_products(llm):
     few = frame.where("vec_id < 4")
     assert mtree.top_products(few, few.where("vec_id = 0")).count() == 3
     assert mtree.top_products(frame.limit(0), frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("power", [6, 7, 12, 37])
+def test_products_of_huge_components_are_ranked_exactly(llm, power):
+    rnd = random.Random(power)
+    rows = [(n, [float(np.float32(rnd.choice((0, 1, -1)) * rnd.random() * 10 ** rnd.choice((0, power)))) for _ in range(6)]) for n in range(300)]
+    rows += [(300 + n, list(rows[n][1])) for n in range(40)]
+    frame = llm.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    v = {n: [math.floor(1024 * c) for c in e] for n, e in rows}
+    expected = []
+    for q in range(0, 340, 20):
+        best = sorted((-sum(a * b for a, b in zip(v[q], v[n])), n) for n in v if n != q)[:10]
+        expected += [(q, k + 1, n, -s if abs(s) < 2 ** 63 else None) for k, (s, n) in enumerate(best)]
+    found = mtree.top_products(frame, frame.where("vec_id % 20 = 0")).collect()
+    assert sorted(map(tuple, found)) == expected
