@@ -26,19 +26,20 @@ NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Words of a candidate span at most, more than any positive variant below has; longer words are cut into pieces.
-MOST_WORDS, MOST_CHARS = 16, 80
-# Documents the field is fitted on at most, and how much better than nothing a span must score.
-SAMPLE, MARGIN = 400, 1.0
+# Pieces of words in a candidate span at most, more than any positive variant below has.
+MOST_WORDS = 16
+# Documents the field is fitted on at most, their characters at most, and how much better than nothing a span must score.
+SAMPLE, SAMPLE_CHARS, MARGIN = 400, 20_000, 1.0
+# Spans up to this length keep their scores for when they come again.
+KEPT_CHARS = 200
 
 ACTIVE = re.compile(r"[0-9@]|[(\[](?:at|dot)[)\]]", re.IGNORECASE)
 TAIL = re.compile(r"[^\x20\x09-\x0D]*")
 SPELT = re.compile(r"[(\[](at|dot)[)\]]", re.IGNORECASE)
 RUNS = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.DOTALL)
 WHITE = " \t\n\x0b\x0c\r"
-# Pieces of an over-long word: characters that spans are made of, and of still longer ones letters and digits or one sign.
+# Pieces of a word: characters that spans are made of. Quotes, colons, equals signs, commas and other scripts part them.
 PIECE = re.compile(r"[A-Za-z0-9._%+@()\[\]-]+")
-ATOM = re.compile(r"[(\[](?:at|dot|\.)[)\]]|[A-Za-z0-9]+|[^A-Za-z0-9]", re.IGNORECASE)
 
 EXAMPLES = {
     "email": ("mary.smith@mail.example.org", "info@example.com", "k-lee+news@post.example.co.uk"),
@@ -90,59 +91,53 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """A word, or the pieces of an over-long one. Only letters and digits in one piece can still be over-long; they hold no span."""
-    if end - start <= MOST_CHARS:
-        return [(start, end)]
-    found = []
-    for piece in PIECE.finditer(text, start, end):
-        if not ACTIVE.search(text, *piece.span()):
-            continue
-        if piece.end() - piece.start() <= MOST_CHARS:
-            found.append(piece.span())
-        else:
-            found += [a.span() for a in ATOM.finditer(text, *piece.span()) if a.end() - a.start() <= MOST_CHARS]
-    return found
+def pieces(text: str, start: int, end: int, beside: str = "") -> list[tuple[int, int]]:
+    """The active pieces of a word; of one `beside` a spelt-out sign also the piece next to it ("before" or "after")."""
+    found = [m.span() for m in PIECE.finditer(text, start, end)]
+    near = {"before": len(found) - 1, "after": 0}.get(beside)
+    return [p for k, p in enumerate(found) if k == near or ACTIVE.search(text, *p)]
 
 
 def runs(text: str, taken: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring active words as (start, end), without words that overlap a base span."""
-    words: list[tuple[int, int]] = []
+    """Runs of neighbouring active pieces of words as (start, end), without pieces that overlap a base span.
 
-    def word_at(place: int) -> tuple[int, int] | None:
-        start = place
-        while start > floor and text[start - 1] not in WHITE:
-            start -= 1
-        return start, TAIL.match(text, place).end()
+    Every word is cut, whatever its length; as pieces of one word lie in one run, the whole word is a candidate as well.
+    """
+    found_, place, floor, size = [], 0, 0, len(text)
+
+    def start_of(place: int) -> int:
+        while place > floor and text[place - 1] not in WHITE:
+            place -= 1
+        return place
 
-    place, floor, size = 0, 0, len(text)
     while (found := ACTIVE.search(text, place)) is not None:
-        start, end = word_at(found.start())
+        start, end = start_of(found.start()), TAIL.match(text, found.start()).end()
         place = max(end, found.end())
-        own = [(start, end)]
+        own = [(start, end, "")]
         if SPELT.search(text, start, end):
             before = start
             while before > 0 and text[before - 1] == " ":
                 before -= 1
             if 0 < before and text[before - 1] not in WHITE:
-                own.insert(0, (word_at(before - 1)[0], before))
+                own.insert(0, (start_of(before - 1), before, "before"))
             after = end
             while after < size and text[after] == " ":
                 after += 1
             if after < size and text[after] not in WHITE:
-                own.append((after, TAIL.match(text, after).end()))
-        words += [p for w in own if w[0] >= floor for p in pieces(text, *w)]
+                own.append((after, TAIL.match(text, after).end(), "after"))
+        found_ += [p for s, e, beside in own if s >= floor for p in pieces(text, s, e, beside)]
         place = floor = max(place, own[-1][1])
     result, ends = [], -10
     fixed = sorted((s, e) for _, s, e in taken)
     k, reach = 0, -1
-    for start, end in words:
+    for start, end in found_:
         while k < len(fixed) and fixed[k][0] < end:
             reach, k = max(reach, fixed[k][1]), k + 1
         if reach > start:
             ends = -10
             continue
-        if 0 <= start - ends <= 3 and "\n" not in text[ends:start] and not text[ends:start].strip(WHITE):
+        gap = text[ends:start] if 0 <= start - ends <= 3 else "\n"
+        if "\n" not in gap and (not gap.strip(WHITE) or not any(c in WHITE for c in gap)):
             result[-1].append((start, end))
         else:
             result.append([(start, end)])
@@ -208,7 +203,8 @@ class Field:
             known = [sum(self.weights.get((k, f), 0.0) for f in own) - MARGIN for k in range(len(KINDS))]
             if len(self.scores) > 100_000:
                 self.scores.clear()
-            self.scores[span] = known
+            if len(span) <= KEPT_CHARS:
+                self.scores[span] = known
         return known
 
     def best(self, text: str, words: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -288,7 +284,7 @@ def trained(texts: list[str], rounds: int = 10, rate: float = 0.5, decay: float
     runs_of = []
     for written, label in cases:
         parts = label if isinstance(label, tuple) else ((written, label),)
-        words = [m.span() for m in re.finditer(r"\S+", written)]
+        words = [m.span() for m in PIECE.finditer(written)]
         gold, at = set(), 0
         for part, kind in parts:
             if kind is not None:
@@ -332,8 +328,9 @@ def _logsum(values: list[float]) -> float:
 
 
 def fit(docs: DataFrame) -> Field:
-    """Trained on at most `SAMPLE` different texts with a digit or an @, those with the smallest hashes."""
-    likely = docs.where(F.length("text") < 20_000).where(F.col("text").rlike("@|[0-9]{7}|[0-9][.][0-9]+[.]|[+][0-9]"))
+    """Trained on at most `SAMPLE` different texts with a digit or an @ and under `SAMPLE_CHARS` characters, those with the
+    smallest hashes. Without any, on the examples alone."""
+    likely = docs.where(F.length("text") < SAMPLE_CHARS).where(F.col("text").rlike("@|[0-9]{7}|[0-9][.][0-9]+[.]|[+][0-9]"))
     return trained(sorted(row["text"] for row in sampled(likely, SAMPLE).collect()))
 
 
@@ -344,8 +341,9 @@ def joined(spans) -> str:
 def personal_data(docs: DataFrame, field: Field) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (the base spans) and spans (all of them) of every document.
 
-    One pass, no shuffle. A null text counts as empty. Rows with null or repeated doc_id are kept; other columns are
-    ignored. Spans that the field adds never overlap a base span.
+    One pass, no shuffle. A null text counts as empty; texts and words of any length are searched whole, and cut the same way.
+    Rows with null or repeated doc_id are kept; no rows give none; other columns are ignored. Spans that the field adds never
+    overlap a base span; of equally good sets of spans the one found first, with the shorter spans at its end, counts.
     """
     weights = field.weights
 

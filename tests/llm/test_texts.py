@@ -181,6 +181,57 @@ def test_long_spans_and_over_long_words():
         field.spans(text)
 
 
+@pytest.mark.parametrize("before, after", [
+    ('{"a":"', '"}'), ("tel:", ""), ("phone=", ";"), ("x,", ",y"), ("mailto:", ""), ("ip=", ""), ("<b>", "</b>"), ("a|", "|b"), ("漢", "字"), ("q?to=", "&x=1")])
+def test_words_are_cut_alike_whatever_their_length(before, after):
+    field = pii.trained([])
+    for kind, span in ((3, "386-555-3733"), (3, "(386) 555-3733"), (0, "bob[at]example.com"), (1, "83[.]64[.]220[.]33")):
+        for fill in (0, 1, 100):
+            text = f"see {'b;' * fill}{before}{span}{after}{';b' * fill} end"
+            at = 4 + 2 * fill + len(before)
+            assert field.spans(text) == ([], [(kind, at, at + len(span))]), text
+
+
+def test_the_dynamic_program_finds_the_best_of_all_segmentations():
+    """Against every way to cut short runs into spans of a kind and gaps, with random weights."""
+    rnd = random.Random(12)
+    words = ["386", "555-3733", "12", "bob", "[at]", "x.org", "83.64", "4111", "(12)"]
+
+    def most(text, run, field, at):
+        if at == len(run):
+            return 0.0
+        best = most(text, run, field, at + 1)
+        for j in range(at + 1, len(run) + 1):
+            start, end = pii.trimmed(text, run[at][0], run[j - 1][1])
+            if start < end:
+                best = max(best, max(field.score(text[start:end])) + most(text, run, field, j))
+        return best
+
+    for _ in range(60):
+        text = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 7)))
+        run = [m.span() for m in re.finditer(r"\S+", text)]
+        names = {f for i in range(len(run)) for j in range(i, len(run)) for f in pii.features(text[run[i][0]:run[j][1]])}
+        field = pii.Field({(k, f): rnd.gauss(0, 1) for k in range(4) for f in sorted(names)})
+        found = field.best(text, run)
+        assert sum(field.score(text[s:e])[k] for k, s, e in found) == pytest.approx(most(text, run, field, 0))
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
+def test_counts_and_hash_of_personal_data(llm):
+    rows = [(1, "a@b.cd and 83.64.220.33, 4111111111111111 +1 826 555 4081"), (2, None), (3, ""), (None, "a@b.cd"), (2, "tel:386-555-3733")]
+    frame = llm.createDataFrame([(n, t, "z") for n, t in rows], "doc_id bigint, text string, n_email string")
+    field = pii.trained([])
+    expected = []
+    for n, text in rows:
+        base, spans = field.spans(text or "")
+        listed = [",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in some) for some in (base, spans)]
+        counts = [sum(k == kind for k, _, _ in base) for kind in range(4)]
+        expected.append((n, *counts, hashlib.sha256(listed[0].encode()).hexdigest(), listed[1]))
+    found = list(map(tuple, pii.personal_data(frame, field).collect()))
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert sorted(r[1:5] for r in found) == [(0, 0, 0, 0)] * 3 + [(1, 0, 0, 0), (1, 1, 1, 1)]
+
+
 # -- licences -------------------------------------------------------------------------------
 
 def test_licences(llm, odd, rows, none):
