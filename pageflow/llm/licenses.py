@@ -4,11 +4,13 @@ A paragraph is a line with a word. Paragraphs that name a licence, a permission
 one- and two-word sequences and classified by logistic regression: a licence family, a licence of no known family, or no
 licence. The classifier is trained on windows of words of the notices below and on lines of the corpus; its
 probabilities are calibrated on windows held back, and what is less sure than the threshold found there is unknown.
-A family is confirmed if the paragraph shares enough word pairs with one of the family's notices. The trained weights are a constant of
+A family is confirmed if the paragraph has its name and a word pair that only this family's notices have, or half of the
+word pairs of a long notice, which needs no name. The trained weights are a constant of
 fixed size in one expression over the text, so that documents are read once and nothing is shuffled.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -22,30 +24,36 @@ NOTICES = {
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
         "This project is licensed under the terms of the Apache 2.0 license",
-        "SPDX-License-Identifier: Apache-2.0", "Distributed under the terms of Apache 2.0", "Released under Apache 2.0"),
+        "SPDX-License-Identifier: Apache-2.0", "Distributed under the terms of Apache 2.0", "Released under Apache 2.0",
+        "License: Apache 2.0"),
     "bsd": (
         "Released under the BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
-        "This software is licensed under the BSD license", "Distributed under the terms of BSD 2-Clause", "Released under BSD 3-Clause"),
+        "This software is licensed under the BSD license", "Distributed under the terms of BSD 2-Clause", "Released under BSD 3-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause", "License: BSD"),
     "cc": (
         "Licensed under CC BY-NC 4.0", "Licensed under CC BY-SA 4.0", "Licensed under CC BY 4.0", "Available under CC BY 4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
-        "This article is available under the Creative Commons Attribution-NonCommercial licence"),
+        "This article is available under the Creative Commons Attribution-NonCommercial licence",
+        "SPDX-License-Identifier: CC-BY-4.0"),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "You should have received a copy of the GNU General Public License along with this program",
         "Released under the GNU GPL version 2 or later", "Released under the GPL 3", "Released under GPL 3", "Distributed under the GPL 2 or later",
+        "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: LGPL-2.1-or-later", "License: GPL 2",
         "Distributed under the LGPL 2.1 or later", "Available under the AGPL 3.0",
         "Licensed under the GNU Lesser General Public License, LGPL 3", "Licensed under the GNU Affero General Public License, AGPL 3.0"),
     "mit": (
         "Released under the MIT License", "This project is licensed under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-        "SPDX-License-Identifier: MIT", "Distributed under the terms of MIT", "Released under MIT"),
+        "SPDX-License-Identifier: MIT", "Distributed under the terms of MIT", "Released under MIT",
+        "The MIT License (MIT)"),
     "mozilla": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-        "Licensed under the Mozilla Public License 2.0", "Released under the MPL 2.0", "Available under MPL 2", "Released under MPL 2"),
+        "Licensed under the Mozilla Public License 2.0", "Released under the MPL 2.0", "Available under MPL 2", "Released under MPL 2",
+        "SPDX-License-Identifier: MPL-2.0"),
     "reserved": (
         "Copyright 2020 Example Corporation. All rights reserved", "Copyright 2011 Smith. All rights reserved", "All rights reserved", "All rights reserved. No part of this publication may be reproduced",
         "Reproduction or redistribution in whole or in part without written permission of the publisher is prohibited"),
@@ -59,7 +67,10 @@ NOTICES = {
         "He was granted permission to build a house", "The council released its report under pressure",
         "Taxi drivers need a licence from the city", "They copied the recipe without asking",
         "She studied physics at MIT", "The Apache lived in the south west", "Firefox is a browser made by Mozilla",
-        "A gnu grazed beside the river", "The server runs Apache on a BSD system"),
+        "A gnu grazed beside the river", "The server runs Apache on a BSD system",
+        "The GNU compiler is written in C", "The GNU tools were ported to other machines in 1991", "The BSD kernel boots in seconds",
+        "A BSD machine served the pages", "The Apache foundation hosts many projects", "The MIT campus lies on the river",
+        "Mozilla was founded in 1998", "The creative commons of the village was a meadow"),
 }
 LABELS = tuple(sorted(NOTICES))
 FAMILIES = tuple(x for x in LABELS if x not in ("unknown", "none"))
@@ -71,8 +82,11 @@ NAMES = {
 STEMS = "(?i)" + "|".join((r"licen[cs]|redistribut|permission|spdx|public\s+domain", *NAMES.values()))
 # Lines of the corpus that train the classifier at most, hashed features, and words of a training window at least.
 SAMPLE, FEATURES, FEWEST = 400, 1 << 11, 4
-# Share of right answers asked of what is not called unknown, and of a notice's word pairs in a confirmed paragraph.
-SURE, SHARED = 0.95, 0.5
+# They are from texts of under so many characters, and have at least and at most so many themselves.
+SAMPLE_CHARS, SAMPLE_LINE = 20_000, (10, 400)
+# Share of right answers asked of what is not called unknown, and of the word pairs of a notice with so many at least that
+# confirm a family without its name.
+SURE, SHARED, LONG = 0.95, 0.5, 8
 
 
 def tokens(text: Column) -> Column:
@@ -101,19 +115,23 @@ def notices(spark: SparkSession) -> DataFrame:
 @dataclass
 class Classifier:
     """Weights by label and feature, a bias by label, the temperature that calibrates them, the probability below which a
-    family is unknown, and the word pairs of the notices."""
+    family is unknown, the word pairs of the families' long notices, and of each family those that no other label has."""
 
     weights: list[float]
     biases: list[float]
     temperature: float
     threshold: float
     notices: list[tuple[str, list[str]]]
+    particular: dict[str, list[str]]
 
     def judged(self, lines: Column) -> Column:
         """label, probability and confirmed of each line of an array."""
         weights, biases = F.lit(self.weights), F.lit(self.biases)
         known = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(own).alias("pairs")) for label, own in self.notices])
 
+        def kept(x):
+            return x["line"].alias("line"), x["pairs"].alias("pairs")
+
         def raw(on):
             return F.transform(F.sequence(F.lit(0), F.lit(len(LABELS) - 1)), lambda k: F.aggregate(
                 on, F.element_at(biases, k + 1), lambda total, i: total + F.element_at(weights, k * FEATURES + i + 1)))
@@ -121,18 +139,25 @@ class Classifier:
         def named(x):
             best = F.element_at(F.lit(list(LABELS)), F.array_position(x["p"], F.array_max(x["p"])).cast("int"))
             sure = (F.array_max(x["p"]) >= self.threshold) | (best == "none")
-            return F.struct(F.when(sure, best).otherwise("unknown").alias("label"), F.array_max(x["p"]).alias("p"), x["pairs"].alias("pairs"))
+            return F.struct(F.when(sure, best).otherwise("unknown").alias("label"), F.array_max(x["p"]).alias("p"), *kept(x))
 
         def confirmed(x):
             def shared(notice):
-                least = F.greatest(F.lit(1), F.least(F.size(notice["pairs"]), F.size(x["pairs"])))
-                return (notice["label"] == x["label"]) & (F.size(F.array_intersect(notice["pairs"], x["pairs"])) / least >= SHARED)
-            return F.struct(x["label"].alias("label"), F.round(x["p"], 3).alias("probability"), F.exists(known, shared).alias("confirmed"))
-
-        each = F.transform(lines, lambda t: tokens(t))
-        each = F.transform(each, lambda w: F.struct(F.array_distinct(pairs(w)).alias("pairs"), features(w).alias("on")))
-        each = F.transform(each, lambda x: F.struct(x["pairs"].alias("pairs"), raw(x["on"]).alias("raw")))
-        each = F.transform(each, lambda x: F.struct(x["pairs"].alias("pairs"), _probabilities(x["raw"], F.lit(self.temperature)).alias("p")))
+                return (notice["label"] == x["label"]) & (
+                    F.size(F.array_intersect(notice["pairs"], x["pairs"])) >= F.size(notice["pairs"]) * SHARED)
+
+            def called(label):
+                return (x["label"] == label) & x["line"].rlike(f"(?i){NAMES[label]}") & F.arrays_overlap(x["pairs"], F.lit(self.particular[label]))
+
+            names = reduce(lambda a, b: a | b, map(called, FAMILIES))
+            return F.struct(x["label"].alias("label"), F.round(x["p"], 3).alias("probability"),
+                            (names | F.exists(known, shared)).alias("confirmed"))
+
+        each = F.transform(lines, lambda t: F.struct(t.alias("line"), tokens(t).alias("words")))
+        each = F.transform(each, lambda x: F.struct(
+            x["line"].alias("line"), F.array_distinct(pairs(x["words"])).alias("pairs"), features(x["words"]).alias("on")))
+        each = F.transform(each, lambda x: F.struct(*kept(x), raw(x["on"]).alias("raw")))
+        each = F.transform(each, lambda x: F.struct(*kept(x), _probabilities(x["raw"], F.lit(self.temperature)).alias("p")))
         return F.transform(F.transform(each, named), confirmed)
 
 
@@ -154,8 +179,8 @@ def _training(spark: SparkSession, plain: DataFrame) -> DataFrame:
 
 def plain_lines(docs: DataFrame) -> DataFrame:
     """At most `SAMPLE` different lines of the corpus without a stem: those with the smallest hashes."""
-    lines = docs.where(F.length("text") < 20_000).select(F.explode(F.split("text", "\n")).alias("text")).where(
-        F.length("text").between(10, 400) & ~F.col("text").rlike(STEMS))
+    lines = docs.where(F.length("text") < SAMPLE_CHARS).select(F.explode(F.split("text", "\n")).alias("text")).where(
+        F.length("text").between(*SAMPLE_LINE) & ~F.col("text").rlike(STEMS))
     return sampled(lines, SAMPLE)
 
 
@@ -180,10 +205,15 @@ def fit(docs: DataFrame) -> Classifier:
         F.lit([x / 20 for x in range(6, 20)])).alias("x")).where("p >= x")
     shares = sure.groupBy("x").agg(F.avg("ok").alias("right")).collect()
     threshold = min((r["x"] for r in shares if r["right"] >= SURE), default=0.95)
-    own = notices(spark).where(F.col("label").isin(*FAMILIES)).select("label", F.array_distinct(pairs(F.col("words"))).alias("p")).collect()
+    own = [(r["label"], r["p"]) for r in notices(spark).select("label", F.array_distinct(pairs(F.col("words"))).alias("p")).collect()]
+    held_by: dict[str, set[str]] = {}
+    for label, some in own:
+        for pair in some:
+            held_by.setdefault(pair, set()).add(label)
+    particular = {label: sorted(p for p, labels in held_by.items() if labels == {label}) for label in FAMILIES}
     weights = model.coefficientMatrix.toArray().round(6).ravel().tolist()
     return Classifier(weights, model.interceptVector.toArray().round(6).tolist(), float(temperature), float(threshold),
-                      [(r["label"], r["p"]) for r in own])
+                      [(label, some) for label, some in own if label in FAMILIES and len(some) >= LONG], particular)
 
 
 def _probabilities(raw: Column, temperature: Column) -> Column:
@@ -198,7 +228,9 @@ def licenses(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame
 
     `license` is the family of the surest confirmed notice, else 'unknown' if there is a notice of any kind, else null, and
     `probability` that notice's; `families` are all confirmed families by name, joined by commas. One row per row of `docs`,
-    whatever its doc_id; null texts have no notices; other columns are ignored.
+    whatever its doc_id; null and empty texts have no notices, no rows give none, and texts of any length are read whole. Of
+    equally sure notices the label last by name counts. Other columns are ignored. Lines without a name or stem of `STEMS` are
+    not scored.
     """
     model = classifier or fit(docs)
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: line.rlike(STEMS))

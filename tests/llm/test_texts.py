@@ -247,6 +247,23 @@ def test_licences(llm, odd, rows, none):
     assert licenses.licenses(none, model).count() == 0
 
 
+def test_other_licences_are_not_confirmed_as_a_known_family(llm, none):
+    """None of these sentences is one that trains the classifier."""
+    model = licenses.fit(none)
+    texts = {"licensed under the Foo license": False, "ISC license": False, "Microsoft Public License": False, "Eclipse Public License 2.0": False,
+             "Licensed under the EUPL": False, "Released under the Boost Software License": False, "The GNU project was started in 1983": False,
+             "The BSD operating system is fast": False, "Licensed under the Python Software Foundation License": False,
+             "License: MIT": "mit", "SPDX-License-Identifier: GPL-3.0-only": "gpl", "Licensed under the GNU GPL, version 2": "gpl",
+             "the software is provided under the MIT license terms": "mit", "SPDX-License-Identifier: MPL-2.0-no-copyleft-exception": "mozilla",
+             "Redistribution and use in source and binary forms, with or without modification, are permitted provided that you comply": "bsd"}
+    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.licenses(frame, model).collect()}
+    for n, (text, family) in enumerate(texts.items()):
+        assert found[n].confirmed == bool(family), (text, found[n])
+        assert not family or found[n].license == family, (text, found[n])
+        assert family or found[n].license in (None, "unknown"), (text, found[n])
+
+
 def test_short_names_with_versions_are_notices(llm, none):
     model = licenses.fit(none)
     texts = {"Released under the GPLv3.": "gpl", "Distributed under LGPL-2.1 or later.": "gpl", "Available under AGPL-3.0.": "gpl",
