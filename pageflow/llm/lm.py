@@ -13,13 +13,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from pageflow.llm.common import prepared, saved, table
-from pageflow.llm.grams import Words, characters, chunked, counted, counts_of, part_bits
+from pageflow.llm.grams import Words, bundled, characters, counted, counts_of, part_bits, rows_in
 
 # What a step back costs, and the count of a word no other document has.
 BACKOFF, UNSEEN = 0.4, 0.5
 ORDER, KEEP = 2, 6
 # Words of the longest n-gram of the query.
 QUERY_ORDER = 3
+# Characters of a chunk.
+BUNDLE = 8_000_000
 
 
 def _all_grams(words: Words, order: int) -> np.ndarray:
@@ -31,13 +33,15 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     Words are as written. A text without words, null included, has sum_log 0 and mean_log null. Rows with null or repeated
     doc_id are scored each for itself. Other columns are ignored. With one document alone nothing has been seen elsewhere.
+    No documents give no rows, texts of any length are scored whole, and there are no ties to break.
     """
     total = characters(docs)
     bits = part_bits(total, order)
-    chunks = chunked(docs, total)
-    counts = counted(chunks, lambda words: _all_grams(words, order), bits, KEEP)
+    chunks = bundled(docs, total, BUNDLE)
+    counts = counted(chunks, lambda words: _all_grams(words, order), bits, KEEP, lambda rows: rows_in(rows).column("text").to_pylist())
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
+        rows = rows_in(rows)
         words = Words(rows.column("text").to_pylist())
         distinct, which = np.unique(_all_grams(words, order), return_inverse=True)
         every = counts_of(found)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pageflow.llm import graphs, lm, mixing, mtree, near_dup, substrings, warc
+from pageflow.llm import grams as grams_, graphs, lm, mixing, mtree, near_dup, substrings, warc
 from tests.llm.conftest import words_of
 
 
@@ -211,6 +211,28 @@ def test_the_query_scores_triples(llm, odd, rows, tmp_path):
     assert sorted(r.sum_log for r in found) == pytest.approx(sorted(x[3] for x in expected), abs=1e-4)
 
 
+@pytest.mark.parametrize("width", [1, 8, 13, 39, 48, 56, 58])
+def test_packed_values_come_back(width):
+    rnd = np.random.default_rng(width)
+    for size in (0, 1, 63, 64, 65, 1000, 20_000):
+        values = np.sort(rnd.integers(0, 1 << width, size, dtype=np.uint64))
+        assert (grams_.unpacked(grams_.packed(values, width), size, width) == values).all()
+    ends = np.repeat(np.array([0, (1 << width) - 1], np.uint64), 100)
+    assert (grams_.unpacked(grams_.packed(ends, width), 200, width) == ends).all()
+
+
+def test_counts_of_any_size_come_back():
+    for counts in ([], [1], [255, 256], [1, 2 ** 32, 2 ** 40 + 3], [2 ** 62, 0]):
+        assert grams_.from_planes(grams_.planes(np.array(counts, np.int64))).tolist() == counts
+
+
+def test_bundles_hold_every_row_once(odd, rows):
+    bundles = grams_.bundled(odd, grams_.characters(odd), 2000).toArrow()
+    assert len(set(bundles.column("chunk").to_pylist())) == bundles.num_rows > 1
+    back = grams_.rows_in(bundles)
+    assert Counter(zip(back.column("doc_id").to_pylist(), back.column("text").to_pylist())) == Counter(map(tuple, rows))
+
+
 # -- mixing ---------------------------------------------------------------------------------
 
 def test_mixing(llm, odd, none):
