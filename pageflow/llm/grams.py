@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.llm.common import gram_hashes, saved, word_hashes, words_of
+from pageflow.llm.common import gram_hashes, word_hashes, words_of
 
 # Characters of a chunk, distinct n-grams of a part, and the least number of both.
 CHUNK, PART, LEAST = 4_000_000, 2_000_000, 64
@@ -35,8 +35,9 @@ def chunked(docs: DataFrame, total: int | None = None) -> DataFrame:
 def bundled(docs: DataFrame, total: int, most: int) -> DataFrame:
     """chunk, rows: documents as they come, in bundles of about `most` characters, compressed.
 
-    A task fills its bundles one after the other, so that equal rows and rows without an id spread as others do. They are
-    written, because a task that ran again could meet its rows in another order. `rows_in` opens a bundle.
+    A task fills its bundles one after the other, so that equal rows and rows without an id spread as others do. A task that
+    runs again has to meet the same rows in the same order, as it does where `docs` is read from files; what comes from a
+    shuffle is to be written first. `rows_in` opens a bundle.
     """
     limit = max(1, min(most, total // LEAST))
 
@@ -63,7 +64,7 @@ def bundled(docs: DataFrame, total: int, most: int) -> DataFrame:
             yield close(rows, first + done)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return saved(rows.mapInArrow(bundle, "chunk bigint, rows binary"), "bundles")
+    return rows.mapInArrow(bundle, "chunk bigint, rows binary")
 
 
 def rows_in(bundles: pa.Table) -> pa.Table:
@@ -81,15 +82,20 @@ def part_bits(total: int, per_word: int) -> int:
 
 
 class Words:
-    """The words of a chunk, document after document."""
-
-    def __init__(self, texts: list):
-        self.lists = [words_of(text) for text in texts]
-        self.sizes = np.array([len(w) for w in self.lists], np.int64)
+    """The words of a chunk, document after document; `lists` has the words themselves if asked."""
+
+    def __init__(self, texts: list, lists: bool = True):
+        self.lists, hashes = [], [np.empty(0, np.uint64)]
+        for text in texts:
+            words = words_of(text)
+            hashes.append(word_hashes(words))
+            if lists:
+                self.lists.append(words)
+        self.sizes = np.array([len(h) for h in hashes[1:]], np.int64)
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
-        self.hashes = np.concatenate([word_hashes(w) for w in self.lists]) if self.lists else np.empty(0, np.uint64)
-        self.owner = np.repeat(np.arange(len(self.lists)), self.sizes)
+        self.hashes = np.concatenate(hashes)
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the n-grams that lie in one document, and the places of their first words."""
@@ -166,7 +172,7 @@ def counted(chunks: DataFrame, grams, bits: int, keep: int, texts=lambda rows: r
     width = min(8 * keep, 64 - bits)
 
     def send(rows: pa.Table) -> pa.Table:
-        hashes, counts = np.unique(grams(Words(texts(rows))), return_counts=True)
+        hashes, counts = np.unique(grams(Words(texts(rows), lists=False)), return_counts=True)
         parts = (hashes >> np.uint64(64 - bits)).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1]]) if len(parts) else np.empty(0, np.int64)
         ends = np.r_[starts[1:], len(parts)]

@@ -21,7 +21,7 @@ ORDER, KEEP = 2, 6
 # Words of the longest n-gram of the query.
 QUERY_ORDER = 3
 # Characters of a chunk.
-BUNDLE = 8_000_000
+BUNDLE = 6_000_000
 
 
 def _all_grams(words: Words, order: int) -> np.ndarray:
@@ -33,7 +33,8 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     Words are as written. A text without words, null included, has sum_log 0 and mean_log null. Rows with null or repeated
     doc_id are scored each for itself. Other columns are ignored. With one document alone nothing has been seen elsewhere.
-    No documents give no rows, texts of any length are scored whole, and there are no ties to break.
+    No documents give no rows, texts of any length are scored whole, and there are no ties to break. `docs` are best read
+    from files, see `grams.bundled`.
     """
     total = characters(docs)
     bits = part_bits(total, order)
@@ -42,7 +43,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def score(rows: pa.Table, found: pa.Table) -> pa.Table:
         rows = rows_in(rows)
-        words = Words(rows.column("text").to_pylist())
+        words = Words(rows.column("text").to_pylist(), lists=False)
         distinct, which = np.unique(_all_grams(words, order), return_inverse=True)
         every = counts_of(found)
         size, at, rest = len(words.hashes), 0, []
