@@ -19,6 +19,8 @@ from pageflow.llm.common import gram_hashes, word_hashes, words_of
 
 # Characters of a chunk, distinct n-grams of a part, and the least number of both.
 CHUNK, PART, LEAST = 4_000_000, 2_000_000, 64
+# What a row counts in a bundle beside its text, so that rows without text fill bundles too.
+ROW = 8
 # Values under which a list of them is written without a code.
 FEW = 64
 
@@ -54,7 +56,7 @@ def bundled(docs: DataFrame, total: int, most: int) -> DataFrame:
         for batch in batches:
             start = 0
             for at, length in enumerate(pc.utf8_length(batch.column("text")).to_pylist()):
-                size += length or 0
+                size += (length or 0) + ROW
                 if size >= limit:
                     yield close([*rows, batch.slice(start, at + 1 - start)], first + done)
                     done, rows, size, start = done + 1, [], 0, at + 1

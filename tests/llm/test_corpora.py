@@ -233,6 +233,12 @@ def test_bundles_hold_every_row_once(odd, rows):
     assert Counter(zip(back.column("doc_id").to_pylist(), back.column("text").to_pylist())) == Counter(map(tuple, rows))
 
 
+def test_rows_without_text_fill_bundles_too(llm):
+    empty = llm.createDataFrame([(None, None)] * 3000, "doc_id bigint, text string").coalesce(1)
+    bundles = grams_.bundled(empty, 64 * 800, 10 ** 6).toArrow()
+    assert bundles.num_rows == 30 and grams_.rows_in(bundles).num_rows == 3000
+
+
 # -- mixing ---------------------------------------------------------------------------------
 
 def test_mixing(llm, odd, none):
