@@ -2,8 +2,8 @@
 
 Rules vote for a document, against it, or abstain. How far each rule can be trusted is not set by hand: expectation
 maximisation estimates every rule's accuracy and the share of good documents from how the votes agree, and a
-document is kept by its posterior probability of being good. Documents are counted by their pattern of votes (at most 3
-to the number of rules), so that all steps after the first pass run on a table of fixed size.
+document is kept by its posterior probability of being good. Documents are counted by their pattern of votes and whether they
+fail the base rules (at most 2 times 3 to the number of rules), so that all steps after the first pass run on a table of fixed size.
 """
 
 import math
@@ -18,6 +18,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 FEW_WORDS, MOST_REPEATED = 10, 20  # words; per cent of the words
+# What is held likely before any vote is seen: the share of good documents, and of right votes on good and on bad ones; rules look
+# for different faults, so each misses most bad documents. The prior weighs as much as this share of all documents.
+PRIOR_GOOD, PRIOR_ON_GOOD, PRIOR_ON_BAD, PRIOR = 0.85, 0.97, 0.2, 0.05
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
             "n_stops", "n_distinct", "n_letters", "n_bare"]
 
@@ -129,17 +132,14 @@ def pattern(votes: dict[str, Column]) -> Column:
 
 
 def fitted(patterns: DataFrame, names: list[str], rounds: int = 40, close: float = 1e-4) -> Model:
-    """Expectation maximisation over (pattern, n), one small aggregation a round.
+    """Expectation maximisation over (pattern, failed, n), one small aggregation a round.
 
-    Rules are right on 0.95 to 0.995 of the good documents they vote on and on 0.05 to 0.5 of the bad ones, and 0.5 to 0.95
-    of the documents are good: no rule sees more than half of all kinds of faults, and rules err on the side of the
-    document, which also fixes which of the two classes is the good one. Without documents the starting values are
-    returned.
+    Two things tell which of the two classes is the good one: documents that fail the base rules count as bad throughout, and
+    each parameter starts from, and is drawn towards, a prior as if `PRIOR` of all documents had voted that way. So no
+    estimate reaches 0 or 1 or needs a limit, and the model of a table is that of many copies of it. Without documents
+    the priors are returned.
     """
-    def share(part, whole, before, low, high):
-        return round(min(high, max(low, part / whole)), 6) if whole else before
-
-    model = Model(0.85, dict.fromkeys(names, 0.97), dict.fromkeys(names, 0.2))
+    model = Model(PRIOR_GOOD, dict.fromkeys(names, PRIOR_ON_GOOD), dict.fromkeys(names, PRIOR_ON_BAD))
     for _ in range(rounds):
         # One constant array, so that all rounds run the same generated code.
         weights = [math.log(model.good / (1 - model.good))]
@@ -149,7 +149,8 @@ def fitted(patterns: DataFrame, names: list[str], rounds: int = 40, close: float
         known = F.lit(weights)
         each = F.transform("pattern", lambda vote, j: F.element_at(known, j * 3 + vote + 2))
         odds = F.aggregate(each, F.element_at(known, 1), lambda x, y: x + y)
-        scored = patterns.select("n", (1 / (1 + F.exp(-odds))).alias("p"), F.posexplode("pattern").alias("rule", "vote"))
+        p = F.when(F.col("failed"), 0.0).otherwise(1 / (1 + F.exp(-odds)))
+        scored = patterns.select("n", p.alias("p"), F.posexplode("pattern").alias("rule", "vote"))
         good, bad = {}, {}
         for row in scored.groupBy("rule", "vote").agg(
                 F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")).collect():
@@ -158,10 +159,15 @@ def fitted(patterns: DataFrame, names: list[str], rounds: int = 40, close: float
             break
         of = lambda table_, j, *votes: sum(table_.get((j, v), 0.0) for v in votes)
         all_good, all_bad = of(good, 0, 0, 1, 2), of(bad, 0, 0, 1, 2)
+        pseudo = PRIOR * (all_good + all_bad)
+
+        def share(part, whole, prior):
+            return round((part + pseudo * prior) / (whole + pseudo), 6)
+
         before, model = model, Model(
-            share(all_good, all_good + all_bad, model.good, 0.5, 0.95),
-            {x: share(of(good, j, 2), of(good, j, 1, 2), model.on_good[x], 0.95, 0.995) for j, x in enumerate(names)},
-            {x: share(of(bad, j, 1), of(bad, j, 1, 2), model.on_bad[x], 0.05, 0.5) for j, x in enumerate(names)})
+            share(all_good, all_good + all_bad, PRIOR_GOOD),
+            {x: share(of(good, j, 2), of(good, j, 1, 2), PRIOR_ON_GOOD) for j, x in enumerate(names)},
+            {x: share(of(bad, j, 1), of(bad, j, 1, 2), PRIOR_ON_BAD) for j, x in enumerate(names)})
         moved = max(abs(before.good - model.good), *(abs(before.on_good[x] - model.on_good[x]) for x in names),
                     *(abs(before.on_bad[x] - model.on_bad[x]) for x in names))
         if moved < close:
@@ -169,25 +175,29 @@ def fitted(patterns: DataFrame, names: list[str], rounds: int = 40, close: float
     return model
 
 
+def base_failed() -> Column:
+    """Whether a document fails whatever the rules say, over `MEASURES`."""
+    return (F.col("n_words") < FEW_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+
+
 def verdict(model: Model, least: float = 0.5) -> dict[str, Column]:
     """Columns over `MEASURES`: base_failed, the posterior, and kept."""
-    failed = (F.col("n_words") < FEW_WORDS) | (
-        100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     posterior = model.posterior(rules())
-    return {"base_failed": failed, "quality": F.round(posterior, 6), "kept": ~failed & (posterior >= least)}
+    return {"base_failed": base_failed(), "quality": F.round(posterior, 6), "kept": ~base_failed() & (posterior >= least)}
 
 
 def fit(measured: DataFrame) -> Model:
     """The model of all documents measured."""
     votes = rules()
-    counts = measured.groupBy(pattern(votes).alias("pattern")).agg(F.count("*").alias("n"))
+    counts = measured.groupBy(pattern(votes).alias("pattern"), base_failed().alias("failed")).agg(F.count("*").alias("n"))
     return fitted(saved(counts, "vote-patterns"), list(votes))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the measures, base_failed, quality (posterior) and kept of every document.
 
-    One row per row of `docs`, whatever its doc_id; null texts count as empty and fail, other columns are ignored.
+    One row per row of `docs`, whatever its doc_id; null texts count as empty and fail, other columns are ignored. Equal texts
+    get equal verdicts, and a posterior of just one half keeps. Texts of any length are measured whole. An empty table gives no rows.
     """
     measured = saved(measures(docs).select("row.doc_id", *MEASURES), "measures")
     return measured.select("*", *[c.alias(name) for name, c in verdict(fit(measured)).items()])

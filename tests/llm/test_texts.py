@@ -53,28 +53,54 @@ def test_the_documents_kept_come_as_they_were(odd):
         str(r[0]) for r in judged.where("kept").select("doc_id").collect())
 
 
+def posterior(model, votes):
+    """Of votes 0 (abstains), 1 (against), 2 (for), by Bayes' rule without logarithms."""
+    good, bad = model.good, 1 - model.good
+    for vote, a, b in zip(votes, model.on_good.values(), model.on_bad.values()):
+        good *= {0: 1, 1: 1 - a, 2: a}[vote]
+        bad *= {0: 1, 1: b, 2: 1 - b}[vote]
+    return good / (good + bad)
+
+
 def test_expectation_maximisation_against_plain_python(llm):
-    import math
-    patterns = {(2, 2, 2): 900, (1, 1, 2): 40, (1, 0, 2): 5, (2, 2, 0): 50, (0, 0, 0): 5}
-    frame = llm.createDataFrame([(list(p), n) for p, n in patterns.items()], "pattern array<int>, n bigint")
+    patterns = {((2, 2, 2), False): 900, ((1, 1, 2), False): 40, ((1, 0, 2), True): 5, ((2, 2, 2), True): 7, ((2, 2, 0), False): 50,
+                ((0, 0, 0), False): 5}
+    frame = llm.createDataFrame([(list(p), f, n) for (p, f), n in patterns.items()], "pattern array<int>, failed boolean, n bigint")
     names = ["x", "y", "z"]
     model = quality.fitted(frame, names, rounds=3, close=0)
-    g, a, b = 0.85, [0.97] * 3, [0.2] * 3
+    expected = quality.Model(0.85, dict.fromkeys(names, 0.97), dict.fromkeys(names, 0.2))
+    pseudo = 0.05 * sum(patterns.values())
     for _ in range(3):
-        p = {}
-        for votes in patterns:
-            odds = math.log(g / (1 - g)) + sum(
-                math.log(a[j] / (1 - b[j])) if v == 2 else math.log((1 - a[j]) / b[j]) if v == 1 else 0 for j, v in enumerate(votes))
-            p[votes] = 1 / (1 + math.exp(-odds))
-        held = lambda x, low, high: round(min(high, max(low, x)), 6)
-        new_a, new_b = [], []
-        for j in range(3):
-            yes = sum(n * p[v] for v, n in patterns.items() if v[j] == 2)
-            no = sum(n * (1 - p[v]) for v, n in patterns.items() if v[j] == 1)
-            new_a.append(held(yes / sum(n * p[v] for v, n in patterns.items() if v[j]), 0.95, 0.995))
-            new_b.append(held(no / sum(n * (1 - p[v]) for v, n in patterns.items() if v[j]), 0.05, 0.5))
-        g, a, b = held(sum(n * p[v] for v, n in patterns.items()) / 1000, 0.5, 0.95), new_a, new_b
-    assert model == quality.Model(g, dict(zip(names, a)), dict(zip(names, b)))
+        p = {key: 0 if key[1] else posterior(expected, key[0]) for key in patterns}
+        on_good, on_bad = {}, {}
+        for j, x in enumerate(names):
+            voted = [key for key in patterns if key[0][j]]
+            right = sum(patterns[key] * p[key] for key in voted if key[0][j] == 2)
+            on_good[x] = round((right + 0.97 * pseudo) / (sum(patterns[key] * p[key] for key in voted) + pseudo), 6)
+            right = sum(patterns[key] * (1 - p[key]) for key in voted if key[0][j] == 1)
+            on_bad[x] = round((right + 0.2 * pseudo) / (sum(patterns[key] * (1 - p[key]) for key in voted) + pseudo), 6)
+        good = sum(n * p[key] for key, n in patterns.items())
+        expected = quality.Model(round((good + 0.85 * pseudo) / (sum(patterns.values()) + pseudo), 6), on_good, on_bad)
+    found = [model.good, *model.on_good.values(), *model.on_bad.values()]
+    assert found == pytest.approx([expected.good, *expected.on_good.values(), *expected.on_bad.values()], abs=2e-6)
+    many = quality.fitted(frame.withColumn("n", frame.n * 1_000_000), names, rounds=3, close=0)
+    assert found == pytest.approx([many.good, *many.on_good.values(), *many.on_bad.values()], abs=2e-6)
+    assert quality.fitted(frame.limit(0), names) == quality.Model(0.85, dict.fromkeys(names, 0.97), dict.fromkeys(names, 0.2))
+
+
+def test_accuracies_are_estimated_and_posteriors_follow_from_them(llm):
+    from pageflow.llm.common import table
+    measured = quality.measures(table(llm, "/root/testdata/sf0.01", "documents")).select("row.doc_id", *quality.MEASURES).cache()
+    votes, model = quality.rules(), quality.fit(measured)
+    estimates = [model.good, *model.on_good.values(), *model.on_bad.values()]
+    assert all(0 < x < 1 for x in estimates)
+    assert len(set(model.on_bad.values())) == len(votes) and len(set(model.on_good.values())) > len(votes) / 2
+    judged = quality.verdict(model)
+    rows = measured.select(quality.pattern(votes), *[judged[c] for c in ("base_failed", "quality", "kept")]).collect()
+    for pattern, failed, found, kept in rows:
+        expected = posterior(model, pattern)
+        assert found == pytest.approx(expected, abs=2e-6)
+        assert kept == (not failed and expected >= 0.5)
 
 
 # -- byte-pair encoding ---------------------------------------------------------------------
