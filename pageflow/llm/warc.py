@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from pageflow.llm.common import opened, prepared, saved, table
+from pageflow.llm.common import opened, prepared, saved, share_of, table
 from pageflow.session import scratch_dir
 
 # Fixed values of the Zstandard seekable format.
@@ -23,6 +23,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 # Bytes of records in a frame, and of frames in a bundle, at least.
 FRAME, BUNDLE = 1 << 20, 256 << 20
 LEVEL = 3
+# Frames a task reads, about, and those it reads one after another from a bundle.
+READ, RUN = 64, 8
 
 
 class BundleWriter:
@@ -139,7 +141,8 @@ def archive(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", l
 
     Every attempt of a task writes files of its own name, and only those of the attempt that counted are in the map: what
     a lost executor leaves behind is never read. A null html has an empty payload, a null url an empty target. Pages with a null
-    page_id are records without a number: revisits of a numbered page if one has their payload, else responses.
+    page_id are records without a number: revisits of a numbered page if one has their payload, else responses. Rows with one page_id
+    and the same payload are all responses, or all revisits of the same page. Empty pages write no file and give an empty map.
     """
     def run(batches):
         def closed():
@@ -170,7 +173,8 @@ def archive(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", l
 def read_back(places: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of the mapped records, read from the bundles.
 
-    The records of a frame are read together: one seek, one decompression.
+    The records of a frame are read together: one seek, one decompression. A task has some `READ` frames whatever their number of
+    records; a long record makes its frame longer. An empty map gives no rows, a map with repeated rows repeats them.
     """
     def run(batches):
         files, path = opened(folder)
@@ -196,8 +200,11 @@ def read_back(places: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    dealt = places.select("bundle", "frame", "at").repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "at")
-    return dealt.mapInArrow(
+    # The number of tasks follows the frames: what is shuffled is only the map, which says nothing of the bytes to read.
+    frames = places.groupBy("bundle").agg((F.max("frame") + 1).alias("frames"))
+    tasks = share_of(frames, F.col("frames"), READ, places.sparkSession.sparkContext.defaultParallelism)
+    dealt = places.select("bundle", "frame", "at").repartition(tasks, "bundle", F.expr(f"frame div {RUN}"))
+    return dealt.sortWithinPartitions("bundle", "frame", "at").mapInArrow(
         run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 

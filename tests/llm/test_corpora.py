@@ -299,6 +299,19 @@ def test_archives(llm, tmp_path):
     assert warc.read_back(none, str(tmp_path / "l")).where("record_type = 'revisit'").count() == 0
 
 
+def test_reading_archives_is_split_by_frames(llm, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ", 2)
+    monkeypatch.setattr(warc, "RUN", 2)
+    pages = llm.range(0, 48, numPartitions=1).selectExpr("id AS page_id", "'u' AS url", "repeat(uuid(), 30000) AS html")
+    places = warc.archive(pages, str(tmp_path / "w"))
+    frames = places.select("bundle", "frame").distinct().count()
+    tasks = warc.read_back(places, str(tmp_path / "w")).groupBy(F.spark_partition_id()).count().collect()
+    assert frames >= 24 and sum(t["count"] for t in tasks) == 48
+    assert len(tasks) >= frames // 6 and max(t["count"] for t in tasks) <= 24
+    few = warc.read_back(places.where("frame = 3"), str(tmp_path / "w"))
+    assert few.count() == places.where("frame = 3").count() > 0
+
+
 def test_bundles_have_independent_frames(tmp_path):
     path = str(tmp_path / "b.zst")
     writer = warc.BundleWriter(pa.OSFile(path, "wb"))
