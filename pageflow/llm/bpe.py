@@ -34,6 +34,27 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def refuse_unsupported(file: dict) -> None:
+    """Raises ValueError if a vocabulary file asks for anything this encoder does not do.
+
+    Supported is byte-level BPE over unchanged text, cut by `PIECES`, with a token for every byte. Token ids may be any below
+    2^32. Steps after encoding are not looked at, as they add special tokens alone.
+    """
+    model, cut, back = file.get("model") or {}, file.get("pre_tokenizer") or {}, file.get("decoder") or {}
+    faults = {
+        "model.type": model.get("type", "BPE") != "BPE",
+        **{f"model.{name}": bool(model.get(name)) for name in (
+            "dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")},
+        "normalizer": file.get("normalizer") is not None,
+        "pre_tokenizer": cut.get("type") != "ByteLevel" or cut.get("add_prefix_space", True) or not cut.get("use_regex", True),
+        "decoder": back.get("type") != "ByteLevel",
+        "added_tokens": any(t.get(name) for t in file.get("added_tokens") or [] for name in ("single_word", "lstrip", "rstrip")),
+        "model.vocab": not byte_letters().keys() <= model.get("vocab", {}).keys()}
+    found = [name for name, fault in faults.items() if fault]
+    if found:
+        raise ValueError(f"vocabulary file not supported: {', '.join(found)}")
+
+
 class Suffixes:
     """An automaton that, fed bytes, is in the state of the longest suffix that begins a token.
 
@@ -92,6 +113,7 @@ class Bpe:
 
     def __init__(self, data: bytes):
         file, letters = json.loads(data), byte_letters()
+        refuse_unsupported(file)
         model = file["model"]
         as_bytes = {word: bytes(letters[c] for c in word) for word in model["vocab"]}
         self.bytes = {number: as_bytes[word] for word, number in model["vocab"].items()}
@@ -122,7 +144,7 @@ class Bpe:
         the border must not join before the next merge on either side. The leftmost of equal merges goes first:
         a join at the border yields to an equal merge on its left and precedes one on its right.
         """
-        known = self.follows.get(left << 20 | right)
+        known = self.follows.get(left << 32 | right)
         if known is None:
             known, limit = True, (len(self.joins), 0)
             a, b = left, right
@@ -140,7 +162,7 @@ class Bpe:
                     limit, b = (rb, 2), self.parts[b][0]
             if len(self.follows) > 2_000_000:
                 self.follows.clear()
-            self.follows[left << 20 | right] = known
+            self.follows[left << 32 | right] = known
         return known
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -225,6 +247,7 @@ def vocabulary(spark, path: str):
         data = file.read(MOST_BYTES + 1)
     if len(data) > MOST_BYTES:
         raise ValueError(f"{path} is larger than {MOST_BYTES} bytes")
+    refuse_unsupported(json.loads(data))
     return spark.sparkContext.broadcast(data)
 
 
@@ -232,7 +255,8 @@ def encode_decode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every text.
 
     One pass, no shuffle. A null text counts as empty: no tokens, and the hashes of nothing. Rows with null or repeated
-    doc_id are kept, each on its own; other columns are ignored. Long texts are encoded block by block.
+    doc_id are kept, each on its own; other columns are ignored. Long texts are encoded block by block. No rows give none, and
+    equal texts equal ids. ValueError if the file is over `MOST_BYTES` or asks for what is not supported.
     """
     data = vocabulary(docs.sparkSession, path)
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

@@ -124,6 +124,38 @@ def test_encoding_equals_the_library(odd, rows, none, encoder):
     assert bpe.encode_decode(none, bpe.default_path()).count() == 0
 
 
+def test_files_that_ask_for_something_else_are_refused(none):
+    import json
+
+    import public_tokenizers
+    with pytest.raises(ValueError, match="end_of_word_suffix, normalizer, pre_tokenizer, decoder"):
+        bpe.encode_decode(none, public_tokenizers.path("word_bpe_49k.json"))
+    file = json.load(open(bpe.default_path()))
+    bpe.refuse_unsupported(file)
+    vocab = {word: n for word, n in file["model"]["vocab"].items() if word != "a"}
+    for name, changed in {
+            "normalizer": {"normalizer": {"type": "NFC"}}, "decoder": {"decoder": None},
+            "pre_tokenizer": {"pre_tokenizer": {**file["pre_tokenizer"], "add_prefix_space": True}},
+            "model.ignore_merges": {"model": {**file["model"], "ignore_merges": True}},
+            "model.dropout": {"model": {**file["model"], "dropout": 0.1}}, "model.vocab": {"model": {**file["model"], "vocab": vocab}},
+            "added_tokens": {"added_tokens": [{**file["added_tokens"][0], "lstrip": True}]}}.items():
+        with pytest.raises(ValueError, match=f"supported: {name}$"):
+            bpe.refuse_unsupported({**file, **changed})
+
+
+def test_large_token_numbers(rows, encoder):
+    import json
+    file = json.load(open(bpe.default_path()))
+    shift = 2 ** 21 + 1
+    file["model"]["vocab"] = {word: n * shift % 2 ** 31 for word, n in file["model"]["vocab"].items()}
+    assert len(set(file["model"]["vocab"].values())) == len(file["model"]["vocab"])
+    file["added_tokens"] = []
+    moved = bpe.Bpe(json.dumps(file).encode())
+    for _, text in rows[:200]:
+        plain = encoder[1].encode((text or "")[:5000], add_special_tokens=False).ids
+        assert [n for ids in moved.blocks((text or "")[:5000]) for n in ids] == [n * shift % 2 ** 31 for n in plain]
+
+
 def test_odd_pieces_equal_the_library(encoder):
     mine, library = encoder
     rnd = random.Random(1)
