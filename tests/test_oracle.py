@@ -19,6 +19,12 @@ def test_same_as_sql(spark, con, name):
     assert_same(checks.registered()[name](spark, SF), con, oracle.statements()[name])
 
 
+@pytest.mark.parametrize("name", ["domain_activity", "domain_activity_sketch", "domain_activity_from_sketches"])
+def test_sketches_are_close_on_more_rows_too(spark, name):
+    larger = str(TABLES / "sf0.01")
+    assert_same(checks.registered()[name](spark, larger), connection(larger), oracle.statements()[name])
+
+
 def test_every_query_has_sql_and_is_registered():
     assert set(checks.registered()) == set(oracle.statements())
     assert set(checks.registered()) <= set(registry.queries())
