@@ -3,7 +3,7 @@
 Windows are aligned to the epoch and half-open, as Spark's own `window` function cuts them.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pageflow.functions.durations import panes_per_window, seconds
 
@@ -13,8 +13,8 @@ def sliding_counts(events: DataFrame, keys: list, window: str, slide: str, above
     """Rows per (keys, window) with more than `above` events: keys, window_start, window_end, pages.
 
     Both methods give the same rows for any window. "blocks" copies each event twice at most, into rows with a
-    column per slide; it suits windows of up to some dozens of slides. "panes" counts slides first and copies those
-    counts into each window; it suits windows of any number of slides.
+    column per slide; it suits windows of up to some dozens of slides. "panes" counts slides first and sums up
+    how the count changes from window to window; it suits windows of any number of slides.
     """
     width, step, panes = seconds(window), seconds(slide), panes_per_window(window, slide)
     timed = events.where(F.col("event_time").isNotNull())
@@ -57,13 +57,31 @@ def _block_counts(timed: DataFrame, keys: list, width: int, step: int, panes: in
 
 
 def _pane_counts(timed: DataFrame, keys: list, width: int, slide: str, step: int, above: int) -> DataFrame:
-    """The same by slides: events are counted per slide, and the counts copied into windows."""
+    """The same by slides: events are counted per slide, and a running sum over the slides gives the windows.
+
+    As a window moves on, its count changes only where a slide with events enters or leaves it. Each slide gives at most three
+    such changes in the blocks of one window length (as above) that the windows' starts lie in, whatever the number of
+    slides. Between two changes all windows have the same count, and only those with enough events are written out.
+    """
+    pane, pages = F.unix_seconds("pane"), F.col("pages")
     panes = timed.groupBy(*keys, pane_start(slide).alias("pane")).agg(F.count("*").alias("pages"))
-    offset = F.explode(F.sequence(F.lit(0), F.lit(width - step), F.lit(step)))
-    copies = panes.select(*keys, "pane", "pages", offset.alias("offset"))
-    start = F.unix_seconds("pane") - F.col("offset")
-    windows = copies.groupBy(*keys, start.alias("start")).agg(F.sum("pages").alias("pages"))
-    return windows.where(F.col("pages") > above)
+    own = pane - F.pmod(pane, F.lit(width))
+
+    def change(block, at, pages):
+        return F.struct(block.alias("block"), at.alias("at"), pages.alias("pages"))
+
+    # In its own block a slide is in the windows from the first one up to that it starts; in the block before, from the
+    # window that it ends to the last one.
+    changes = F.array(
+        change(own, own, pages), change(own, pane + step, -pages), change(own - width, pane + step - width, pages))
+    within = F.filter(changes, lambda c: c["at"] < c["block"] + width)
+    by_start = Window.partitionBy(*keys, "block").orderBy("at")
+    runs = panes.select(*keys, F.inline(within)).select(
+        *keys, "at", F.lead("at").over(by_start).alias("next"), (F.col("block") + width).alias("end"),
+        F.sum("pages").over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("pages"))
+    until = F.coalesce("next", "end")
+    busy = runs.where((F.col("at") < until) & (F.col("pages") > max(above, 0)))
+    return busy.select(*keys, F.explode(F.sequence("at", until - step, F.lit(step).cast("bigint"))).alias("start"), "pages")
 
 
 def pane_start(slide: str):

@@ -83,6 +83,21 @@ def test_sliding_counts_equal_the_expansion(spark, window, slide):
     assert sorted(map(tuple, by_panes.collect())) == wanted
 
 
+@pytest.mark.parametrize("above", [-1, 0, 2])
+def test_wide_windows_write_only_what_they_return(spark, above):
+    rows = spark.sql("""
+        select case when id % 7 = 0 then null else 'd' || id % 3 end as domain, 'u' as user_name,
+            timestamp_seconds(pmod(xxhash64(id % 150), 3600 * 800) - 3600 * 300) as event_time from range(200)
+        union all select 'd0', 'u', timestamp'1970-01-11 00:00:00' union all select 'd0', 'u', null""")
+    expected = rows.groupBy(F.window("event_time", "10 days", "1 hour"), "domain", "user_name").agg(
+        F.count("*").alias("pages")).select("domain", "user_name", "window.start", "window.end", "pages").where(F.col("pages") > above)
+    actual = sliding_counts(rows, ["domain", "user_name"], "10 days", "1 hour", above, method="panes")
+    assert sorted(map(tuple, actual.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    # The windows are spelled out after the last shuffle.
+    plan = plan_of(actual)
+    assert plan.index("Generate explode(sequence") < plan.index("Exchange")
+
+
 def test_window_must_be_whole_slides(events):
     with pytest.raises(ValueError):
         bots.bot_spam(events(("10:00:00", "a", True, "d")), "10 minutes", "3 minutes")
