@@ -26,14 +26,17 @@ def spam_alerts(events: DataFrame, window: str = "5 minutes", velocity: int = 10
 
 
 def scored_windows(events: DataFrame, window: str = "5 minutes", velocity: int = 10,
-                   min_len: int = 3, max_len: int = 80, pattern: str = SUSPICIOUS_TITLE) -> DataFrame:
-    """The same with the window as one column, which a stream's joins need."""
+                   min_len: int = 3, max_len: int = 80, pattern: str = SUSPICIOUS_TITLE,
+                   more: dict | None = None) -> DataFrame:
+    """The same with the window as one column, which a stream's joins need. `more` are further aggregates, by name."""
+    more = more or {}
     title, length = F.col("page_title"), F.length("page_title")
     scored = human_pages(events).groupBy(F.window("event_time", window), "user_name").agg(
         F.count("*").alias("page_count"),
         F.sort_array(F.collect_set("domain")).alias("domains"),
         F.coalesce(F.bool_or(title.rlike(pattern)), F.lit(False)).alias("suspicious"),
-        F.coalesce(F.bool_or((length < min_len) | (length > max_len)), F.lit(False)).alias("odd_length"))
+        F.coalesce(F.bool_or((length < min_len) | (length > max_len)), F.lit(False)).alias("odd_length"),
+        *[value.alias(name) for name, value in more.items()])
     fast, wide = F.col("page_count") > velocity, F.size("domains") > 1
     suspicious, odd_length = F.col("suspicious"), F.col("odd_length")
     severity = (
@@ -46,7 +49,7 @@ def scored_windows(events: DataFrame, window: str = "5 minutes", velocity: int =
     # would otherwise add to one of its uses, so that they can share one shuffle.
     found = scored.where(F.col("window.start").isNotNull())
     return found.where(suspicious | fast | wide | odd_length).select(
-        "window", "user_name", severity.alias("severity"), "page_count", "domains", reasons.alias("reasons"))
+        "window", "user_name", severity.alias("severity"), "page_count", "domains", reasons.alias("reasons"), *more)
 
 
 def _alert_rows(scored: DataFrame) -> DataFrame:
@@ -86,12 +89,14 @@ def alert_pages(events: DataFrame, window: str = "5 minutes", salts: int = 16, *
     """Of a stream with a watermark, each closed window's alert with each of its pages: alert columns, page_title, draw.
 
     Both sides are in Spark's state until the window closes: flags per user and window, and a row per page, which is
-    evicted with its window. A user's pages of a window are dealt over `salts` tasks; alerts, which are few, are copied to them.
+    evicted with its window. A user's pages of a window are dealt over at most `salts` tasks; alerts are copied to those that
+    have pages of theirs, so that there are never more copies than pages.
     """
-    alerts = scored_windows(events, window, **rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     draw = _draw(events)
+    salt = F.pmod(draw, F.lit(salts)).cast("int")
+    alerts = scored_windows(events, window, **rules, more={"salts": F.collect_set(salt)}).withColumn("salt", F.explode("salts"))
     pages = human_pages(events).select(
-        F.window("event_time", window), "user_name", "page_title", draw.alias("draw"), F.pmod(draw, F.lit(salts)).cast("int").alias("salt"))
+        F.window("event_time", window), "user_name", "page_title", draw.alias("draw"), salt.alias("salt"))
     return alerts.join(pages, ["window", "user_name", "salt"]).select(
         F.col("window.start").alias("window_start"), "user_name", "severity", "page_count", "domains", "reasons", "page_title", "draw")
 

@@ -34,6 +34,30 @@ def start_each_batch(rows: DataFrame, handle, checkpoint: str, mode: str, trigge
         .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY_MINUTE)).start())
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions for a stream's state: `spark.sql.shuffle.partitions`, but two a core at most.
+
+    Each partition keeps a state store or more for every operator, opened and committed in every micro-batch however few its
+    rows; adaptive execution, which would merge small ones, does not apply to state. As cores may yet come where Spark
+    allocates them as needed, the number is then left as set.
+    """
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return most
+    return min(most, 2 * spark.sparkContext.defaultParallelism)
+
+
+def start_stateful(rows: DataFrame, handle, checkpoint: str, mode: str, trigger: dict) -> StreamingQuery:
+    """`start_each_batch` for a stream with state. Its checkpoint keeps the number of partitions it was first started with."""
+    spark = rows.sparkSession
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions(spark))
+    try:
+        return start_each_batch(rows, handle, checkpoint, mode, trigger)  # the query takes a copy of the settings
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def start_ingest(raw: DataFrame, sink, reject_sink, checkpoint: str, **trigger) -> StreamingQuery:
     """Raw messages cleaned on their way in: kept ones as (key, value), unsound ones apart.
 
@@ -76,7 +100,7 @@ def start_bot_activity(events: DataFrame, metrics_sink, alert_sink, checkpoint:
             metrics.unpersist()
 
     counts = bots.user_counts(events.withWatermark("event_time", delay), window)
-    return start_each_batch(counts, publish, checkpoint, "append", trigger)
+    return start_stateful(counts, publish, checkpoint, "append", trigger)
 
 
 def start_bot_spam(events: DataFrame, sink, checkpoint: str, window: str = "10 minutes",
@@ -84,7 +108,7 @@ def start_bot_spam(events: DataFrame, sink, checkpoint: str, window: str = "10 m
                    **trigger) -> StreamingQuery:
     """Bot spam as soon as a count passes the threshold, and again as it grows."""
     spam_rows = bots.bot_spam_stream(events.withWatermark("event_time", delay), window, slide, threshold)
-    return start_each_batch(spam_rows, sink, checkpoint, "update", trigger)
+    return start_stateful(spam_rows, sink, checkpoint, "update", trigger)
 
 
 def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str, checkpoint: str,
@@ -121,7 +145,7 @@ def start_domain_activity(events: DataFrame, activity_path: str, stats_path: str
             rows.unpersist()
 
     windows = domains.activity_windows(events.withWatermark("event_time", delay), window)
-    return start_each_batch(windows, publish, checkpoint, "update", trigger)
+    return start_stateful(windows, publish, checkpoint, "update", trigger)
 
 
 def start_domain_trend(events: DataFrame, sink, checkpoint: str, window: str = "1 minute", delay: str = "1 minute",
@@ -135,7 +159,7 @@ def start_domain_sketches(events: DataFrame, sink, checkpoint: str, window: str
                           **trigger) -> StreamingQuery:
     """Mergeable figures of closed windows, each once, from which `activity_of_sketches` makes those of longer windows."""
     rows = domains.domain_sketches(events.withWatermark("event_time", delay), window)
-    return start_each_batch(rows, sink, checkpoint, "append", trigger)
+    return start_stateful(rows, sink, checkpoint, "append", trigger)
 
 
 def start_spam_alerts(events: DataFrame, sink, checkpoint: str, window: str = "5 minutes", delay: str = "2 minutes",
@@ -145,7 +169,7 @@ def start_spam_alerts(events: DataFrame, sink, checkpoint: str, window: str = "5
     Spark's state has flags, a count and the set of domains for each user and window, until the watermark closes it.
     """
     alerts = spam.spam_alerts(events.withWatermark("event_time", delay), window, **(rules or {}))
-    return start_each_batch(alerts, sink, checkpoint, "update", trigger)
+    return start_stateful(alerts, sink, checkpoint, "update", trigger)
 
 
 def start_spam_messages(events: DataFrame, sink, checkpoint: str, window: str = "5 minutes", delay: str = "2 minutes",
@@ -157,7 +181,7 @@ def start_spam_messages(events: DataFrame, sink, checkpoint: str, window: str =
     one micro-batch, so its messages are put together there.
     """
     rows = spam.alert_pages(events.withWatermark("event_time", delay), window, salts, **(rules or {}))
-    return start_each_batch(
+    return start_stateful(
         rows, lambda pages, batch_id: sink(spam.messages_of_pages(pages, part_size), batch_id), checkpoint, "append", trigger)
 
 
@@ -182,7 +206,7 @@ def start_activity_spikes(events: DataFrame, sink, titles: str, checkpoint: str,
     behind, `sampled_spikes` gives stored spikes the samples known at the time of reading.
     """
     rows = spikes.spike_stream(events.withWatermark("event_time", delay), window, slide, threshold, min_baseline, exclude_namespaces)
-    return start_each_batch(
+    return start_stateful(
         rows, lambda found, batch_id: sink(sampled_spikes(found, titles, slide, samples), batch_id), checkpoint, "update", trigger)
 
 
@@ -193,7 +217,7 @@ def start_closed_spikes(events: DataFrame, sink, titles: str, checkpoint: str, w
     """Spikes of closed windows, each once. Takes less than `start_activity_spikes`, as no page is copied into windows."""
     rows = spikes.closed_spike_stream(
         events.withWatermark("event_time", delay), window, slide, threshold, min_baseline, exclude_namespaces)
-    return start_each_batch(
+    return start_stateful(
         rows, lambda found, batch_id: sink(sampled_spikes(found, titles, slide, samples), batch_id), checkpoint, "append", trigger)
 
 

@@ -182,6 +182,13 @@ def test_spam_messages_have_all_their_titles_once(spark, batch, closed_feed, fol
     assert titled.where("titles <> pages").count() == 0
 
 
+def test_alerts_are_copied_only_to_tasks_with_their_pages(batch, closed_feed, folder):
+    query = finished(jobs.start_spam_messages(closed_feed(), sinks.table_sink(folder()), folder(), "1 day", salts=16, **NOW))
+    joined = sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"] if o["operatorName"] == "symmetricHashJoin")
+    pages = spam.human_pages(batch).count()
+    assert pages < joined <= 2 * (pages + 1)
+
+
 def test_pages_later_than_the_watermark_make_no_spam_and_are_counted(spark, events, folder):
     source, path, messages = folder(), folder(), folder()
     # What is late for a micro-batch was settled by the one before the last.
