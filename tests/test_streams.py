@@ -276,6 +276,19 @@ def test_trend_of_closed_windows_by_a_join_of_streams(spark, batch, closed_feed,
     assert stored.where("trend_percent is null").count() == 0
 
 
+def test_state_has_two_partitions_a_core_at_most(spark, events, folder):
+    source, cores, was = folder(), spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    events(("10:00:00", "a", False, "d"), ("10:05:00", "a", False, "d")).coalesce(1).write.parquet(source)
+    try:
+        for asked, given in ((2 * cores + 1, 2 * cores), (3, 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", asked)
+            query = finished(jobs.start_domain_trend(file_source(spark, source, EVENTS), ignore, folder(), **NOW))
+            assert {o["numShufflePartitions"] for p in query.recentProgress for o in p["stateOperators"]} == {given}
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(asked)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_stored_sketches_make_longer_windows(spark, batch, closed_feed, folder):
     path = folder()
     finished(jobs.start_domain_sketches(closed_feed(), sinks.table_sink(path, "window_start"), folder(), **NOW))
